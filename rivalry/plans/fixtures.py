@@ -60,3 +60,64 @@ def games_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = games(spark, sf_dir)
     blank = F.pmod(F.col("home_score") * 7 + F.col("away_score"), F.lit(17)) == 0
     return g.withColumn("away_score", F.when(~blank, F.col("away_score"))).select(*GAMES_COLS)
+
+
+def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = games(spark, sf_dir)
+    return g.filter(F.pmod("home_score", F.lit(5)) != 0)
+
+
+def merge_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = games(spark, sf_dir)
+    return (g.filter(F.pmod("home_score", F.lit(3)) == 0)
+             .withColumn("home_score", (F.col("home_score") + 1).cast("int")))
+
+
+def merge_stage_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``merge_stage`` plus a second, different row for keys with ``away % 7 = 0``."""
+    s = merge_stage(spark, sf_dir)
+    extra = (s.filter(F.pmod("away_score", F.lit(7)) == 0)
+              .withColumn("away_score", (F.col("away_score") + 1).cast("int")))
+    return s.unionByName(extra)
+
+
+def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API payload documents derived from ``games`` (schema ``schemas.PAYLOAD``).
+
+    One document per game, requested for the game's date: status
+    ``Scheduled`` when ``(h + a) % 11 = 0``; start time at hour
+    ``(3h + a) % 24`` UTC; integer season start year.  Games with
+    ``(5h + a) % 19 = 0`` also get a document with an empty ``response`` and
+    those with ``(5h + a) % 23 = 0`` one with no ``response`` at all.
+    A document per game keeps every document small whatever the games per date.
+    """
+    g = games(spark, sf_dir)
+    h, a = F.col("home_score"), F.col("away_score")
+    day = F.date_format("date", "yyyy-MM-dd")
+    start = F.concat(day, F.lit("T"), F.lpad(F.pmod(h * 3 + a, F.lit(24)).cast("string"), 2, "0"),
+                     F.lit(":00:00.000Z"))
+    game = F.struct(
+        F.struct(F.when(F.pmod(h + a, F.lit(11)) == 0, "Scheduled")
+                  .otherwise("Finished").alias("long")).alias("status"),
+        F.struct(start.alias("start")).alias("date"),
+        F.substring("season", 1, 4).cast("int").alias("season"),
+        F.struct(F.struct(F.col("home_team").alias("name")).alias("home"),
+                 F.struct(F.col("away_team").alias("name")).alias("visitors")).alias("teams"),
+        F.struct(F.struct(h.alias("points")).alias("home"),
+                 F.struct(a.alias("points")).alias("visitors")).alias("scores"))
+    params = F.struct(day.alias("date"))
+    empty = F.array().cast("array<" + _game_type_ddl() + ">")
+    none = F.lit(None).cast("array<" + _game_type_ddl() + ">")
+    docs = F.array(
+        F.struct(params.alias("parameters"), F.array(game).alias("response")),
+        F.when(F.pmod(h * 5 + a, F.lit(19)) == 0,
+               F.struct(params.alias("parameters"), empty.alias("response"))),
+        F.when(F.pmod(h * 5 + a, F.lit(23)) == 0,
+               F.struct(params.alias("parameters"), none.alias("response"))))
+    return (g.select(F.explode(docs).alias("doc")).filter(F.col("doc").isNotNull())
+             .select("doc.parameters", "doc.response"))
+
+
+def _game_type_ddl() -> str:
+    from rivalry.schemas import PAYLOAD_GAME
+    return PAYLOAD_GAME.simpleString()

@@ -1 +1,126 @@
-"""placeholder"""
+"""Queries over ingest: CSV load, payload flatten, MERGE, daily load, stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rivalry.functions.dates import game_date, previous_day_text
+from rivalry.functions.text import season_label
+from rivalry.operators.upsert import merge_conflicts, merge_upsert
+from rivalry.plans import fixtures as X
+from rivalry.plans import oracle as O
+from rivalry.plans.catalog import register
+from rivalry.plans.loads import daily_load, full_refresh, read_table
+from rivalry.schemas import GAMES_COLS
+from rivalry.session import work_dir
+from rivalry.sources.csv import write_games_csv
+from rivalry.sources.payload import flatten_payloads, read_payloads
+from rivalry.sources.store import VersionedTable, write_partitioned
+from rivalry.sources.tables import read_table as read_src
+from rivalry.streaming.ingest import ingest
+
+KEYS_EQ = "t.date = s.date AND t.home_team = s.home_team AND t.away_team = s.away_team"
+
+
+def merge_sql(target: str, stage: str) -> str:
+    return f"""
+SELECT t.date, CASE WHEN s.hit THEN s.season ELSE t.season END AS season, t.home_team, t.away_team,
+       CASE WHEN s.hit THEN s.home_score ELSE t.home_score END AS home_score,
+       CASE WHEN s.hit THEN s.away_score ELSE t.away_score END AS away_score
+FROM {target} t LEFT JOIN (SELECT *, TRUE AS hit FROM {stage}) s ON {KEYS_EQ}
+UNION ALL
+SELECT s.date, s.season, s.home_team, s.away_team, s.home_score, s.away_score FROM {stage} s
+WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE {KEYS_EQ})
+"""
+
+
+MERGE_TARGET = "SELECT * FROM games WHERE home_score % 5 <> 0"
+MERGE_STAGE = ("SELECT date, season, home_team, away_team, CAST(home_score + 1 AS INTEGER) AS home_score, "
+               "away_score FROM games WHERE home_score % 3 = 0")
+STAGE_RAW = """
+SELECT CASE WHEN (home_score * 3 + away_score) % 24 < 8 THEN CAST(date - INTERVAL 1 DAY AS DATE)
+            ELSE date END AS date,
+       CAST(CAST(substr(season, 1, 4) AS INTEGER) AS VARCHAR) || '-' ||
+       CAST(CAST(substr(season, 1, 4) AS INTEGER) + 1 AS VARCHAR) AS season,
+       home_team, away_team, home_score, away_score, date AS request_date
+FROM games WHERE (home_score + away_score) % 11 <> 0
+"""
+STAGE_LATEST = """
+SELECT date, season, home_team, away_team, home_score, away_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, home_team, away_team ORDER BY request_date DESC) AS rn
+  FROM stage_raw) WHERE rn = 1
+"""
+DAILY_SQL = O.with_ctes(merge_sql("target", "stage"), games=O.GAMES, target=MERGE_TARGET,
+                        stage_raw=STAGE_RAW, stage=STAGE_LATEST)
+
+
+@register("csv_bulk_load", O.with_ctes("SELECT * FROM games", games=O.GAMES))
+def q_csv_bulk_load(spark, sf_dir):
+    """Games -> headed CSV -> strict CSV load -> published month-partitioned version."""
+    base = work_dir(spark, "csv")
+    write_games_csv(X.games(spark, sf_dir), f"{base}/csv")
+    full_refresh(spark, f"{base}/csv", f"{base}/table")
+    return VersionedTable(spark, f"{base}/table").read().select(*GAMES_COLS)
+
+
+@register("payload_flatten", O.with_ctes("SELECT * FROM stage_raw", games=O.GAMES, stage_raw=STAGE_RAW))
+def q_payload_flatten(spark, sf_dir):
+    """Payload documents (JSON Lines, incl. empty/missing responses) -> staging rows."""
+    path = work_dir(spark, "payloads")
+    X.payload_documents(spark, sf_dir).write.json(path)
+    return flatten_payloads(read_payloads(spark, path))
+
+
+@register("merge_upsert", O.with_ctes(merge_sql("target", "stage"), games=O.GAMES,
+                                      target=MERGE_TARGET, stage=MERGE_STAGE))
+def q_merge_upsert(spark, sf_dir):
+    return merge_upsert(X.merge_target(spark, sf_dir), X.merge_stage(spark, sf_dir))
+
+
+@register("merge_conflicts", O.with_ctes(
+    "SELECT s.date, s.home_team, s.away_team, COUNT(*) AS stage_rows FROM stage s "
+    f"WHERE EXISTS (SELECT 1 FROM target t WHERE {KEYS_EQ}) "
+    "GROUP BY s.date, s.home_team, s.away_team HAVING COUNT(*) > 1",
+    games=O.GAMES, target=MERGE_TARGET, stage1=MERGE_STAGE,
+    stage="SELECT * FROM stage1 UNION ALL SELECT date, season, home_team, away_team, home_score, "
+          "CAST(away_score + 1 AS INTEGER) AS away_score FROM stage1 WHERE away_score % 7 = 0"))
+def q_merge_conflicts(spark, sf_dir):
+    return merge_conflicts(X.merge_target(spark, sf_dir), X.merge_stage_dups(spark, sf_dir))
+
+
+@register("daily_load", DAILY_SQL)
+def q_daily_load(spark, sf_dir):
+    """Landed payloads upserted into the month-partitioned fact table."""
+    base = work_dir(spark, "daily")
+    X.payload_documents(spark, sf_dir).write.json(f"{base}/landing")
+    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games")
+    daily_load(spark, f"{base}/landing", f"{base}/games")
+    return read_table(spark, f"{base}/games")
+
+
+@register("stream_ingest", DAILY_SQL)
+def q_stream_ingest(spark, sf_dir):
+    """The daily load as an availableNow file stream with foreachBatch MERGE."""
+    base = work_dir(spark, "stream")
+    X.payload_documents(spark, sf_dir).write.json(f"{base}/landing")
+    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games")
+    ingest(spark, f"{base}/landing", f"{base}/games", f"{base}/_checkpoint", multiline=False)
+    return read_table(spark, f"{base}/games")
+
+
+@register("game_date_shift", """
+SELECT event_id, CAST(ts - INTERVAL 8 HOURS AS DATE) AS game_date,
+       strftime(CAST(ts AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS previous_day
+FROM events""")
+def q_game_date_shift(spark, sf_dir):
+    ev = read_src(spark, sf_dir, "events", "event_id", "ts")
+    return ev.select("event_id", game_date(F.to_date("ts"), F.col("ts")).alias("game_date"),
+                     previous_day_text(F.to_date("ts")).alias("previous_day"))
+
+
+@register("season_label", """
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(year(o_orderdate) + 1 AS VARCHAR)
+       AS season FROM orders""")
+def q_season_label(spark, sf_dir):
+    o = read_src(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    return o.select("o_orderkey", season_label(F.year("o_orderdate")).alias("season"))
