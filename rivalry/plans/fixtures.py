@@ -121,3 +121,108 @@ def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _game_type_ddl() -> str:
     from rivalry.schemas import PAYLOAD_GAME
     return PAYLOAD_GAME.simpleString()
+
+
+# --- lookup requests and alias dictionaries ---------------------------------
+
+KINDS = ("seasonperformance", "biggestwin", "biggestloss")
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One lookup request per customer: ``(request_id, kind, text)``.
+
+    Team spelled four ways by ``custkey % 4`` (alias, spaced alias, upper
+    case with the letter A dropped, unknown club); season by
+    ``(custkey div 4) % 3`` as a year, a two-year label or a bad string;
+    every 13th request has the season only (too few tokens).
+    """
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    k = F.col("c_custkey")
+    name = F.col("n_name")
+    team = (F.when(F.pmod(k, F.lit(4)) == 0, F.lower(name))
+             .when(F.pmod(k, F.lit(4)) == 1, F.regexp_replace(F.lower(name), "_", " "))
+             .when(F.pmod(k, F.lit(4)) == 2, F.replace(name, F.lit("A"), F.lit("")))
+             .otherwise(F.concat(F.lit("club "), k.cast("string"))))
+    y = (F.lit(1994) + F.pmod(k, F.lit(9))).cast("bigint")
+    form = F.pmod(F.call_function("div", k, F.lit(4)), F.lit(3))
+    season = (F.when(form == 0, y.cast("string"))
+               .when(form == 1, F.concat(y.cast("string"), F.lit("-"), (y + 1).cast("string")))
+               .otherwise(F.concat(y.cast("string"), F.lit("x"))))
+    kind = (F.when(F.pmod(k, F.lit(3)) == 0, KINDS[0])
+             .when(F.pmod(k, F.lit(3)) == 1, KINDS[1]).otherwise(KINDS[2]))
+    text = F.when(F.pmod(k, F.lit(13)) == 0, season).otherwise(F.concat(team, F.lit(" "), season))
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
+             .select(k.alias("request_id"), kind.alias("kind"), text.alias("text")))
+
+
+def alias_dim_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(alias, canonical, ord)``: each nation as ``nation_3`` and ``nation 3``."""
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    base = F.col("n_nationkey").cast("bigint") * 1_000_000
+    a = n.select(F.lower("n_name").alias("alias"), F.col("n_name").alias("canonical"), base.alias("ord"))
+    b = n.select(F.regexp_replace(F.lower("n_name"), "_", " ").alias("alias"),
+                 F.col("n_name").alias("canonical"), (base + 1).alias("ord"))
+    return a.unionByName(b)
+
+
+def nation_alias_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(canonical, cord, aliases)`` with the region name as a shared alias."""
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
+             .select(F.col("n_name").alias("canonical"), F.col("n_nationkey").alias("cord"),
+                     F.array(F.lower("n_name"), F.regexp_replace(F.lower("n_name"), "_", " "),
+                             F.lower("r_name")).alias("aliases")))
+
+
+def alias_dim_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct part names and their two words reversed; ``ord`` is a string key."""
+    p = read_table(spark, sf_dir, "part", "p_name").distinct()
+    name = F.col("p_name")
+    flipped = F.concat(F.split_part(name, F.lit(" "), F.lit(2)), F.lit(" "),
+                       F.split_part(name, F.lit(" "), F.lit(1)))
+    e = p.select(name.alias("alias"), name.alias("canonical"), F.concat(name, F.lit("#0")).alias("ord")) \
+         .unionByName(p.select(flipped.alias("alias"), name.alias("canonical"),
+                               F.concat(name, F.lit("#1")).alias("ord")))
+    return (e.groupBy("alias").agg(F.min("ord").alias("ord"), F.max_by("canonical", "ord").alias("canonical"))
+             .select("alias", "canonical", "ord"))
+
+
+def fuzzy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct misspelt part names: third character dropped, upper case, or junk."""
+    p = read_table(spark, sf_dir, "part", "p_name").distinct()
+    name = F.col("p_name")
+    v = F.pmod(F.length(name), F.lit(3))
+    spelt = (F.when(v == 0, F.concat(F.substring(name, 1, 2), F.substring(name, 4, 1 << 20)))
+              .when(v == 1, F.upper(name))
+              .otherwise(F.concat(F.lit("zq"), F.reverse(name))))
+    return p.select(spelt.alias("input")).distinct()
+
+
+def date_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(request_id, text)`` per order: ISO date, unpadded date, US format, 30 February."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    v = F.pmod(k, F.lit(4))
+    text = (F.when(v == 0, F.date_format(d, "yyyy-MM-dd"))
+             .when(v == 1, F.date_format(d, "yyyy-M-d"))
+             .when(v == 2, F.date_format(d, "MM/dd/yyyy"))
+             .otherwise(F.concat(F.year(d).cast("string"), F.lit("-02-30"))))
+    return o.select(k.alias("request_id"), text.alias("text"))
+
+
+def season_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, text)`` per customer in seven season spellings."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey")
+    k = F.col("c_custkey")
+    y = (F.lit(1994) + F.pmod(k, F.lit(9))).cast("string")
+    v = F.pmod(k, F.lit(7))
+    text = (F.when(v == 0, y)
+             .when(v == 1, F.concat(y, F.lit("-"), (y.cast("int") + 1).cast("string")))
+             .when(v == 2, F.concat(F.substring(y, 1, 2), F.lit("x"), F.substring(y, 4, 1)))
+             .when(v == 3, F.concat(F.lit("+"), y))
+             .when(v == 4, F.concat(F.lit(" "), y, F.lit(" ")))
+             .when(v == 5, F.concat(F.substring(y, 1, 1), F.lit("_"), F.substring(y, 2, 3)))
+             .otherwise(F.lit("-5")))
+    return c.select(k.alias("id"), text.alias("text"))

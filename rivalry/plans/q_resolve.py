@@ -1 +1,50 @@
-"""placeholder"""
+"""Queries over alias dictionaries and fuzzy name resolution."""
+
+from __future__ import annotations
+
+from rivalry.operators.resolve import alias_dim_from_lists, resolve_names
+from rivalry.plans import fixtures as X
+from rivalry.plans import oracle as O
+from rivalry.plans.catalog import register
+from rivalry.plans.q_serve import best_alias_sql
+
+PART_DIM = """
+SELECT alias, arg_max(canonical, ord) AS canonical, min(ord) AS ord FROM (
+  SELECT p_name AS alias, p_name AS canonical, p_name || '#0' AS ord FROM (SELECT DISTINCT p_name FROM part)
+  UNION ALL
+  SELECT split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1), p_name, p_name || '#1'
+  FROM (SELECT DISTINCT p_name FROM part)) GROUP BY alias
+"""
+FUZZY_IN = """
+SELECT DISTINCT CASE length(p_name) % 3 WHEN 0 THEN substr(p_name, 1, 2) || substr(p_name, 4)
+                     WHEN 1 THEN upper(p_name) ELSE 'zq' || reverse(p_name) END AS input
+FROM (SELECT DISTINCT p_name FROM part)
+"""
+
+
+@register("alias_dim", """
+WITH e AS (
+  SELECT lower(n_name) AS alias, n_name AS canonical, CAST(n_nationkey AS BIGINT) * 1000000 AS ord FROM nation
+  UNION ALL SELECT replace(lower(n_name), '_', ' '), n_name, CAST(n_nationkey AS BIGINT) * 1000000 + 1 FROM nation
+  UNION ALL SELECT lower(r_name), n_name, CAST(n_nationkey AS BIGINT) * 1000000 + 2
+            FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT alias, arg_max(canonical, ord) AS canonical, min(ord) AS ord FROM e GROUP BY alias""")
+def q_alias_dim(spark, sf_dir):
+    """Dictionary inversion: first position kept, last canonical wins for shared aliases."""
+    return alias_dim_from_lists(X.nation_alias_lists(spark, sf_dir))
+
+
+@register("fuzzy_resolve_lev", O.with_ctes(
+    "SELECT i.input, b.canonical, b.score FROM fin i JOIN best b ON lower(i.input) = b.q",
+    part_dim=PART_DIM, fin=FUZZY_IN, inp="SELECT DISTINCT lower(input) AS q FROM fin",
+    best=best_alias_sql("inp", "part_dim")))
+def q_fuzzy_resolve_lev(spark, sf_dir):
+    return resolve_names(X.fuzzy_inputs(spark, sf_dir), "input", X.alias_dim_part(spark, sf_dir),
+                         scorer="levenshtein")
+
+
+@register("fuzzy_resolve_weighted", None)
+def q_fuzzy_resolve_weighted(spark, sf_dir):
+    """Weighted-ratio scorer (pandas UDF); no SQL oracle, unit-tested on known values."""
+    return resolve_names(X.fuzzy_inputs(spark, sf_dir), "input", X.alias_dim_part(spark, sf_dir),
+                         scorer="weighted")
