@@ -11,8 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import os
+
 from rivalry.functions.text import season_of_date
 from rivalry.schemas import GAMES_COLS
+from rivalry.session import work_dir
+from rivalry.sources.store import path_exists
 from rivalry.sources.tables import read_table
 
 # Fixed values of the fixture definition (must equal the oracle SQL).
@@ -21,7 +25,27 @@ SCORE_MOD = 61
 N_NATIONS = 25
 
 
+# Derived match tables already written in this application: (app id, sf_dir) -> path.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match fact derived from ``sf_dir``, as a stored parquet table.
+
+    Like the production fact table, it is written once (to the shared work
+    folder) and then read by every query; the derivation runs again only
+    in a new application or if the files are gone.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _STORED.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = work_dir(spark, "games")
+        derive_games(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path).select(*GAMES_COLS)
+
+
+def derive_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (ship date, home nation, away nation).
 
     Scores are ``80 + (sum of per-play terms) mod 61``.  Each term is reduced

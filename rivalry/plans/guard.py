@@ -1,33 +1,49 @@
-"""Size-checked broadcast.
-
-A side is hinted for broadcast only after it has been materialised to the
-reliable checkpoint folder and its row count is below a bound; otherwise the
-plain DataFrame is returned and Catalyst/AQE plan a shuffle join (with AQE
-skew-join splitting hot keys).  The checkpoint also cuts lineage, so the
-count and the later join read the same rows and a lost executor does not
-trigger recomputation of the upstream plan.
+"""Size-checked broadcast and lineage cuts.
+
+``bounded_broadcast`` hints a join side for broadcast only after measuring
+it:
+
+1. up to ``local_rows`` rows: the rows are collected (one job — the same
+   trip a broadcast makes anyway) and re-enter the plan as local data;
+2. otherwise the side is written as a parquet table in the shared work
+   folder (lineage cut, survives executor loss) and counted from the file
+   footers; broadcast if at most ``max_rows`` rows;
+3. above that the side is returned unhinted and Catalyst/AQE plan a shuffle
+   join, with AQE skew-join splitting hot keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rivalry.session import ensure_checkpoint_dir
+from rivalry.session import work_dir
 
-# Rows allowed on the broadcast side.  At ~100 bytes per row this keeps the
-# broadcast well under the default 8 GB broadcast limit and executor memory.
+# Rows allowed on a broadcast side (~100 B/row keeps it far below executor
+# memory and the 8 GB broadcast limit).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                      ) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` and broadcast it only if it has at most ``max_rows`` rows.
-
-    Returns ``(frame, broadcasted)``.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    frozen = df.checkpoint(eager=True)
-    n = frozen.count()
-    if n <= max_rows:
+# Rows small enough to collect directly.
+DEFAULT_LOCAL_ROWS = 10_000
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to a fresh parquet table in the shared folder and read it back."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      local_rows: int = DEFAULT_LOCAL_ROWS) -> tuple[DataFrame, bool]:
+    """Return ``(frame, broadcasted)``; see the module docstring."""
+    spark = df.sparkSession
+    if max_rows <= 0:
+        return df, False
+    cap = min(local_rows, max_rows)
+    head = df.limit(cap + 1).collect()
+    if len(head) <= cap:
+        local = spark.createDataFrame(head, schema=df.schema, verifySchema=False)
+        return F.broadcast(local), True
+    frozen = materialize(df, "side")
+    if frozen.count() <= max_rows:
         return F.broadcast(frozen), True
     return frozen, False

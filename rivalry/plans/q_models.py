@@ -72,14 +72,12 @@ def q_point_margin(spark, sf_dir):
     "FROM team_results GROUP BY team, season", **GT))
 def q_safe_ratio(spark, sf_dir):
     """SUM(x) / NULLIF(SUM(flag), 0): groups without a draw give NULL, not 0."""
-    from rivalry.functions.rounding import round_ratio
+    from rivalry.functions.rounding import round_ratio_sql
     r = team_results(X.games(spark, sf_dir))
-    drew = F.col("result") == "draw"
-    flags = F.sum(F.when(drew, 1).otherwise(0))
+    flags = "sum(CASE WHEN result = 'draw' THEN 1 ELSE 0 END)"
+    pts = "sum(CASE WHEN result = 'draw' THEN points_scored ELSE 0 END)"
     return r.groupBy("team", "season").agg(
-        flags.alias("draws"),
-        round_ratio(F.sum(F.when(drew, F.col("points_scored")).otherwise(0)), flags, 2)
-        .alias("avg_ppg_in_draws"))
+        F.expr(flags).alias("draws"), F.expr(round_ratio_sql(pts, flags, 2)).alias("avg_ppg_in_draws"))
 
 
 @register("margin_extremes", O.with_ctes(
