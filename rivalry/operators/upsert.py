@@ -49,7 +49,7 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY
     if check:
         assert_unambiguous(target, stage, keys)
     cols = target.columns
-    st, _ = bounded_broadcast(
+    st, small = bounded_broadcast(
         stage.select(*[F.col(c).alias(f"_s_{c}") for c in stage.columns])
              .withColumn("_hit", F.lit(True)))
     hit = F.col("_hit").isNotNull()
@@ -62,6 +62,10 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY
                .join(st.select(*[F.col(f"_s_{k}") for k in keys]),
                      _key_eq(target, "_s_", keys), "left_semi")
                .distinct())
+    if small:
+        # matched keys are a subset of the stage keys: the stage's measured
+        # size bounds them, so the anti join can broadcast them too.
+        matched = F.broadcast(matched)
     inserted = (st.join(matched, [F.col(f"_s_{k}") == matched[k] for k in keys], "left_anti")
                 .select(*[F.col(f"_s_{c}").alias(c) for c in cols]))
     return updated.unionByName(inserted)

@@ -1,0 +1,40 @@
+import datetime as dt
+
+from conftest import games_df
+from rivalry.operators import models as M
+from rivalry.operators import serve as S
+from rivalry.operators.resolve import reference_alias_dim
+from rivalry.operators.results import team_results
+
+
+def test_answer_requests_statuses_and_ties(spark):
+    g = games_df(spark, [("2016-11-01", "2016-2017", "San Antonio Spurs", "Utah Jazz", 110, 90),
+                         ("2016-11-02", "2016-2017", "San Antonio Spurs", "Miami Heat", 100, 80),
+                         ("2016-11-03", "2016-2017", "Utah Jazz", "San Antonio Spurs", 95, 90)])
+    r = team_results(g)
+    stats, extremes = M.team_season_stats(r), M.biggest_win_loss(r)
+    req = spark.createDataFrame(
+        [(1, "seasonperformance", "spurs 2016"), (2, "biggestwin", "san antonio 2016"),
+         (3, "biggestloss", "Spurs 2016-2017"), (4, "seasonperformance", "spurs"),
+         (5, "seasonperformance", "zzzzzz 2016"), (6, "biggestwin", "spurs 20x6"),
+         (7, "seasonperformance", "spurs 2010")], "request_id long, kind string, text string")
+    out = S.answer_requests(req, stats, extremes, reference_alias_dim(spark)).collect()
+    by = {}
+    for row in out:
+        by.setdefault(row.request_id, []).append(row)
+    assert by[1][0].status == "ok" and by[1][0].total_games == 3 and by[1][0].win_pct_text == "66.7%"
+    assert sorted((x.date, x.margin_text) for x in by[2]) == [(dt.date(2016, 11, 1), "+20"),
+                                                             (dt.date(2016, 11, 2), "+20")]
+    assert [(x.status, x.margin_text, x.home_away) for x in by[3]] == [("ok", "-5", "Away")]
+    assert by[4][0].status == "invalid_request"
+    assert by[5][0].status == "invalid_team"
+    assert by[6][0].status == "invalid_season"
+    assert by[7][0].status == "no_data" and by[7][0].season == "2010-2011"
+
+
+def test_games_on_dates_statuses(spark):
+    g = games_df(spark, [("2024-01-05", "s", "A", "B", 1, 2), ("2024-01-05", "s", "C", "D", 3, 4)])
+    req = spark.createDataFrame([(1, "2024-1-5"), (2, "2024-02-30"), (3, "2024-01-06")],
+                                "request_id long, text string")
+    out = sorted((r.request_id, r.status, r.home_team) for r in S.games_on_dates(req, g).collect())
+    assert out == [(1, "ok", "A"), (1, "ok", "C"), (2, "invalid_date", None), (3, "no_data", None)]
