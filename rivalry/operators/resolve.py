@@ -59,6 +59,8 @@ DEFAULT_THRESHOLD = 70.0
 
 # Aliases per scoring chunk (a literal array / broadcast list per pass).
 CHUNK = 5_000
+# Dictionaries up to this many aliases are collected once to the driver.
+LOCAL_DICT = 100_000
 ORD_STRIDE = 1_000_000
 
 ALIAS_DIM_SCHEMA = "alias string, canonical string, ord bigint"
@@ -93,6 +95,12 @@ def exact_lookup(df: DataFrame, col: str, alias_dim: DataFrame, out: str = "cano
     return df.join(dim, F.lower(F.col(col)) == F.col("_alias"), "left").drop("_alias")
 
 
+def _sort_key(row):
+    # Spark's ascending order: NULLs first.
+    o, a = row["ord"], row["alias"]
+    return (o is not None, o if o is not None else 0, a is not None, a or "")
+
+
 def _chunks(alias_dim: DataFrame, size: int = CHUNK):
     chunk = []
     for r in alias_dim.select("alias", "canonical", "ord").orderBy("ord", "alias").toLocalIterator():
@@ -104,6 +112,26 @@ def _chunks(alias_dim: DataFrame, size: int = CHUNK):
         yield chunk
 
 
+def dictionary(alias_dim: DataFrame, local_limit: int = LOCAL_DICT):
+    """``(exact_dim, chunks)``: the dictionary as a join side and as scoring chunks.
+
+    A dictionary of up to ``local_limit`` aliases is collected once (it is
+    shipped to every task either way) and serves both the exact-match join
+    and the scoring chunks; a larger one streams to the driver chunk by
+    chunk in dictionary order and joins exactly through ``bounded_broadcast``.
+    """
+    spark = alias_dim.sparkSession
+    dim = alias_dim.select("alias", "canonical", "ord")
+    head = dim.limit(local_limit + 1).collect()
+    if len(head) <= local_limit:
+        ordered = sorted(head, key=_sort_key)
+        pairs = [(r["alias"], r["canonical"]) for r in ordered]
+        exact = F.broadcast(spark.createDataFrame(pairs, "_alias string, canonical string"))
+        return exact, [pairs[i:i + CHUNK] for i in range(0, len(pairs), CHUNK)]
+    exact, _ = bounded_broadcast(dim.select(F.col("alias").alias("_alias"), "canonical"))
+    return exact, _chunks(alias_dim)
+
+
 def _lev_best(q: Column, chunk: list[tuple[str, str]]) -> Column:
     arr = F.arrays_zip(F.lit([a for a, _ in chunk]).alias("alias"),
                        F.lit([c for _, c in chunk]).alias("canonical"))
@@ -145,12 +173,12 @@ def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
     """
     spark = df.sparkSession
     inputs = df.select(F.lower(F.col(col)).alias("_q")).distinct()
-    dim, _ = bounded_broadcast(alias_dim.select(F.col("alias").alias("_alias"), "canonical"))
+    dim, chunks = dictionary(alias_dim)
     exact = (inputs.join(dim, F.col("_q") == F.col("_alias"), "inner")
              .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")))
     rest = inputs.join(dim, F.col("_q") == F.col("_alias"), "left_anti")
     per_chunk = []
-    for i, chunk in enumerate(_chunks(alias_dim)):
+    for i, chunk in enumerate(chunks):
         if scorer == "levenshtein":
             best = _lev_best(F.col("_q"), chunk)
         elif scorer == "weighted":

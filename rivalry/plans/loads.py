@@ -10,18 +10,19 @@ from rivalry.operators.upsert import merge_upsert
 from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
 from rivalry.sources.payload import flatten_payloads, latest_per_key, read_payloads
-from rivalry.sources.store import (PARTITION_COL, VersionedTable, overwrite_partitions,
-                                   read_partitioned, with_month)
+from rivalry.plans.guard import materialize
+from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
+                                   read_partitioned, table_unit, with_partition)
 
 
-def full_refresh(spark: SparkSession, csv_path: str, table_root: str) -> int:
-    """Historical load: strict CSV -> new month-partitioned version, published atomically.
+def full_refresh(spark: SparkSession, csv_path: str, table_root: str, unit: str = "day") -> int:
+    """Historical load: strict CSV -> new date-partitioned version, published atomically.
 
     The write consumes every column, so FAILFAST validates every row before
     anything becomes visible.
     """
     games = read_games_csv(spark, csv_path)
-    return VersionedTable(spark, table_root).publish(with_month(games), partition_by=PARTITION_COL)
+    return VersionedTable(spark, table_root).publish(clustered(games, unit), partition_by=unit)
 
 
 def processing_date(run_date: _dt.date) -> _dt.date:
@@ -35,28 +36,29 @@ def stage_from_payloads(payloads: DataFrame) -> DataFrame:
 
 
 def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
-    """MERGE ``stage`` into a month-partitioned table; returns months rewritten.
+    """MERGE ``stage`` into a date-partitioned table; returns partitions rewritten.
 
-    Only the months present in the stage are read (partition pruning on the
-    distinct stage months — a handful of values for an increment) and only
-    those are rewritten (dynamic partition overwrite).  The merged rows are
-    checkpointed to the reliable folder before the overwrite, so the write
+    Only the partitions present in the stage are read (partition pruning on
+    the distinct stage partition values — a handful for an increment) and
+    only those are rewritten (dynamic partition overwrite).  The stage and
+    the merged rows are written to the shared folder first, so the overwrite
     never reads the partitions it replaces and a lost executor only reruns
-    tasks over the checkpoint.  An empty stage writes nothing.
+    tasks over written tables.  An empty stage writes nothing.
     """
-    staged = with_month(stage.select(*GAMES_COLS)).checkpoint(eager=True)
-    months = [r[0] for r in staged.select(PARTITION_COL).distinct().collect()]
-    if not months:
+    unit = table_unit(spark, table_path)
+    staged = materialize(with_partition(stage.select(*GAMES_COLS), unit), "stage")
+    parts = [r[0] for r in staged.select(unit).distinct().collect()]
+    if not parts:
         return 0
-    known = [m for m in months if m is not None]
-    in_months = F.col(PARTITION_COL).isin(known) if known else F.lit(False)
-    if len(known) < len(months):
-        in_months = in_months | F.col(PARTITION_COL).isNull()
-    target = spark.read.parquet(table_path).filter(in_months).select(*GAMES_COLS)
+    known = [v for v in parts if v is not None]
+    touched = F.col(unit).isin(known) if known else F.lit(False)
+    if len(known) < len(parts):
+        touched = touched | F.col(unit).isNull()
+    target = spark.read.parquet(table_path).filter(touched).select(*GAMES_COLS)
     merged = merge_upsert(target, staged.select(*GAMES_COLS))
-    frozen = with_month(merged).checkpoint(eager=True)
-    overwrite_partitions(frozen, table_path)
-    return len(months)
+    frozen = materialize(with_partition(merged, unit), "merged")
+    overwrite_partitions(frozen, table_path, unit)
+    return len(parts)
 
 
 def daily_load(spark: SparkSession, payload_path: str, table_path: str,

@@ -19,6 +19,10 @@ from rivalry.sources.store import VersionedTable, write_partitioned
 from rivalry.sources.tables import read_table as read_src
 from rivalry.streaming.ingest import ingest
 
+# The fixture loads replay every date at once (a backfill of a small table),
+# so they store months; production daily increments use the default, days.
+FIXTURE_UNIT = "month"
+
 KEYS_EQ = "t.date = s.date AND t.home_team = s.home_team AND t.away_team = s.away_team"
 
 
@@ -56,10 +60,10 @@ DAILY_SQL = O.with_ctes(merge_sql("target", "stage"), games=O.GAMES, target=MERG
 
 @register("csv_bulk_load", O.with_ctes("SELECT * FROM games", games=O.GAMES))
 def q_csv_bulk_load(spark, sf_dir):
-    """Games -> headed CSV -> strict CSV load -> published month-partitioned version."""
+    """Games -> headed CSV -> strict CSV load -> published date-partitioned version."""
     base = work_dir(spark, "csv")
     write_games_csv(X.games(spark, sf_dir), f"{base}/csv")
-    full_refresh(spark, f"{base}/csv", f"{base}/table")
+    full_refresh(spark, f"{base}/csv", f"{base}/table", unit=FIXTURE_UNIT)
     return VersionedTable(spark, f"{base}/table").read().select(*GAMES_COLS)
 
 
@@ -90,10 +94,10 @@ def q_merge_conflicts(spark, sf_dir):
 
 @register("daily_load", DAILY_SQL)
 def q_daily_load(spark, sf_dir):
-    """Landed payloads upserted into the month-partitioned fact table."""
+    """Landed payloads upserted into the date-partitioned fact table."""
     base = work_dir(spark, "daily")
     X.payload_documents(spark, sf_dir).write.json(f"{base}/landing")
-    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games")
+    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games", unit=FIXTURE_UNIT)
     daily_load(spark, f"{base}/landing", f"{base}/games")
     return read_table(spark, f"{base}/games")
 
@@ -103,7 +107,7 @@ def q_stream_ingest(spark, sf_dir):
     """The daily load as an availableNow file stream with foreachBatch MERGE."""
     base = work_dir(spark, "stream")
     X.payload_documents(spark, sf_dir).write.json(f"{base}/landing")
-    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games")
+    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games", unit=FIXTURE_UNIT)
     ingest(spark, f"{base}/landing", f"{base}/games", f"{base}/_checkpoint", multiline=False)
     return read_table(spark, f"{base}/games")
 

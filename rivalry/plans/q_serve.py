@@ -235,3 +235,11 @@ def q_biggest_loss(spark, sf_dir):
     keys = _valid_keys(spark, sf_dir).filter(F.col("kind") == S.KIND_LOSS)
     ex = build_biggest_win_loss(X.games(spark, sf_dir))
     return S.lookup_extremes(keys.select("request_id", "team", "season"), ex, "biggest_loss")
+
+
+@register("answer_requests_weighted", None)
+def q_answer_requests_weighted(spark, sf_dir):
+    """``answer_requests`` with the weighted-ratio scorer (no SQL oracle)."""
+    stats, extremes = _models(spark, sf_dir)
+    return S.answer_requests(X.requests(spark, sf_dir), stats, extremes,
+                             X.alias_dim_nation(spark, sf_dir), scorer="weighted")

@@ -1,4 +1,4 @@
-"""Parquet storage: versioned tables with atomic publish, month-partitioned facts.
+"""Parquet storage: versioned tables with atomic publish, date-partitioned facts.
 
 Versioned table layout::
 
@@ -10,17 +10,21 @@ A writer first writes ``v-<n>`` completely, then creates the marker
 Readers therefore see the old or the new version, never half of one, and two
 writers racing for the same ``n`` cannot both win.
 
-Month-partitioned fact: ``partitionBy("month")`` with ``month = trunc(date)``.
-The merge key contains ``date`` and never changes, so a row never moves
-between partitions; an upsert rewrites only the months its stage touches
-(dynamic partition overwrite), an empty stage rewrites nothing.
+Date-partitioned fact: ``partitionBy(unit)`` where the partition column is
+named after its unit — ``day`` (the date itself, the default) or ``month``
+(``trunc(date, 'MM')``).  The merge key contains ``date`` and never changes,
+so a row never moves between partitions; an upsert rewrites only the
+partitions its stage touches (dynamic partition overwrite), an empty stage
+rewrites nothing.  With daily increments, ``day`` keeps the rewrite to the
+increment's own days; ``month`` rewrites whole months but makes fewer,
+larger partitions for small tables.  The unit of an existing table is read
+from its directory layout, so an upsert always uses the table's own unit.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-PARTITION_COL = "month"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,7 +64,7 @@ class VersionedTable:
         if n is None:
             raise FileNotFoundError(f"table {self.root} has no published version")
         df = self.spark.read.parquet(self.version_path(n))
-        return df.drop(PARTITION_COL) if PARTITION_COL in df.columns else df
+        return df.drop(*[c for c in ("day", "month") if c in df.columns])
 
     def publish(self, df: DataFrame, partition_by: str | None = None) -> int:
         """Write ``df`` as the next version, then publish it atomically."""
@@ -74,26 +78,61 @@ class VersionedTable:
         return n
 
 
-def month_of(date_col: Column) -> Column:
-    return F.trunc(date_col, "MM")
+UNITS = ("day", "month")
+PARTITION_COLS = UNITS
 
 
-def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
-    return df.withColumn(PARTITION_COL, month_of(F.col(date_col)))
+def partition_value(date_col: Column, unit: str = "day") -> Column:
+    if unit == "day":
+        return date_col.cast("date")
+    if unit == "month":
+        return F.trunc(date_col, "MM")
+    raise ValueError(f"unknown partition unit {unit!r}")
 
 
-def write_partitioned(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Full write of a month-partitioned fact table."""
-    with_month(df, date_col).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(path)
+def with_partition(df: DataFrame, unit: str = "day", date_col: str = "date") -> DataFrame:
+    return df.withColumn(unit, partition_value(F.col(date_col), unit))
+
+
+def clustered(df: DataFrame, unit: str = "day", date_col: str = "date", files: int | None = None,
+              tie_cols: tuple[str, ...] = ("home_team", "away_team")) -> DataFrame:
+    """Add the partition column and range-partition by (partition, date, key columns).
+
+    Each write task then covers a contiguous key range — a few partitions —
+    instead of writing a file into every partition it happens to hold, and a
+    partition holding a large share of the rows is split over many tasks
+    because the range key continues into the (unique) match key.
+    """
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = with_partition(df, unit, date_col)
+    ties = [c for c in tie_cols if c in keyed.columns]
+    return keyed.repartitionByRange(n, unit, date_col, *ties)
+
+
+def write_partitioned(df: DataFrame, path: str, unit: str = "day", date_col: str = "date",
+                      files: int | None = None) -> None:
+    """Full write of a date-partitioned fact table."""
+    clustered(df, unit, date_col, files).write.mode("overwrite").partitionBy(unit).parquet(path)
+
+
+def table_unit(spark: SparkSession, path: str) -> str:
+    """Partition unit of an existing table, from its first-level directories."""
+    p, fs = _fs(spark, path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        for unit in UNITS:
+            if name.startswith(f"{unit}="):
+                return unit
+    raise ValueError(f"{path} is not a date-partitioned table")
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.drop(PARTITION_COL)
+    return df.drop(*[c for c in PARTITION_COLS if c in df.columns and c != "date"])
 
 
-def overwrite_partitions(df_with_month: DataFrame, path: str) -> None:
-    """Dynamic partition overwrite: only months present in ``df_with_month`` are replaced."""
-    (df_with_month.write.mode("overwrite")
+def overwrite_partitions(df_with_part: DataFrame, path: str, unit: str) -> None:
+    """Dynamic partition overwrite: only partitions present in ``df_with_part`` are replaced."""
+    (df_with_part.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COL).parquet(path))
+        .partitionBy(unit).parquet(path))

@@ -2,7 +2,7 @@
 
 Each newly landed payload file is read once (the file source tracks what it
 has seen in the checkpoint), flattened, reduced to one row per game key and
-MERGEd into the month-partitioned fact table in ``foreachBatch``.  The
+MERGEd into the date-partitioned fact table in ``foreachBatch``.  The
 upsert is idempotent, so a micro-batch replayed after a failure rewrites the
 same rows.  ``availableNow`` processes everything landed so far and stops,
 which suits a scheduled run; a continuous deployment uses

@@ -59,7 +59,7 @@ def test_merge_target_streamed_not_shuffled(spark):
 def _partition_files(path):
     out = {}
     for d in sorted(os.listdir(path.replace("file:", ""))):
-        if d.startswith("month="):
+        if d.startswith("month=") or d.startswith("day="):
             full = os.path.join(path.replace("file:", ""), d)
             out[d] = sorted(f for f in os.listdir(full) if f.endswith(".parquet"))
     return out
@@ -68,7 +68,7 @@ def _partition_files(path):
 def test_upsert_storage_rewrites_only_touched_months_and_is_idempotent(spark, tmpdir_spark):
     path = tmpdir_spark("games")
     target, stage = edge(spark)
-    write_partitioned(target, path)
+    write_partitioned(target, path, unit="month")
     before = _partition_files(path)
     stage_jan = stage.filter(F.col("home_team") == "x")
     assert upsert_into(spark, path, stage_jan) == 1
@@ -84,10 +84,12 @@ def test_upsert_storage_rewrites_only_touched_months_and_is_idempotent(spark, tm
     assert _partition_files(path) == settled
 
 
-def test_upsert_storage_null_dates_and_new_months(spark, tmpdir_spark):
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_upsert_storage_null_dates_and_new_partitions(spark, tmpdir_spark, unit):
     path = tmpdir_spark("games")
     target, stage = edge(spark)
-    write_partitioned(target, path)
+    write_partitioned(target, path, unit=unit)
     upsert_into(spark, path, stage)
     expected = sorted(map(str, merge_upsert(target, stage).select(*GAMES_COLS).collect()))
     assert sorted(map(str, read_table(spark, path).collect())) == expected
+    assert any(d.startswith(f"{unit}=") for d in os.listdir(path.replace("file:", "")))
