@@ -60,3 +60,8 @@ def test_reply_text(spark):
     df = spark.createDataFrame([("A", "B", 1, None)], "h string, a string, hs int, as_ int")
     r = df.select(T.matchup_text(F.col("h"), F.col("a")), T.score_text(F.col("hs"), F.col("as_"))).first()
     assert tuple(r) == ("A vs B", "Score: 1 - None")
+
+
+def test_processing_date_python_side():
+    from rivalry.plans.loads import processing_date
+    assert processing_date(dt.date(2024, 3, 1)) == dt.date(2024, 2, 29)
