@@ -38,7 +38,18 @@ def merge_conflicts(target: DataFrame, stage: DataFrame,
 
 def assert_unambiguous(target: DataFrame, stage: DataFrame,
                        keys: list[str] = GAME_KEY) -> None:
-    bad = merge_conflicts(target, stage, keys).limit(1).collect()
+    """Raise if two stage rows would update one target row.
+
+    Duplicate stage keys are found first (a partial aggregate over the stage
+    alone); the target is consulted only when there are some, through a
+    broadcast semi join of those keys (a subset of the measured stage).
+    """
+    dup = (stage.groupBy(*keys).agg(F.count(F.lit(1)).alias("stage_rows"))
+           .filter(F.col("stage_rows") > 1))
+    dup_keys, small = bounded_broadcast(dup)
+    if small and dup_keys.isEmpty():
+        return
+    bad = target.select(*keys).join(dup_keys, keys, "left_semi").limit(1).collect()
     if bad:
         raise ValueError(f"MERGE source has several rows for one target row: {bad[0].asDict()}")
 
@@ -46,12 +57,13 @@ def assert_unambiguous(target: DataFrame, stage: DataFrame,
 def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY,
                  update_cols: list[str] = UPDATE_COLS, check: bool = True) -> DataFrame:
     """Rows of ``target`` after MERGE with ``stage`` (columns in target order)."""
-    if check:
-        assert_unambiguous(target, stage, keys)
     cols = target.columns
     st, small = bounded_broadcast(
         stage.select(*[F.col(c).alias(f"_s_{c}") for c in stage.columns])
              .withColumn("_hit", F.lit(True)))
+    if check:
+        measured = st.select(*[F.col(f"_s_{c}").alias(c) for c in stage.columns])
+        assert_unambiguous(target, measured, keys)
     hit = F.col("_hit").isNotNull()
     updated = target.join(st, _key_eq(target, "_s_", keys), "left").select(
         *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols

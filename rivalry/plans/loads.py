@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivalry.operators.upsert import merge_upsert
 from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
-from rivalry.sources.payload import flatten_payloads, latest_per_key, read_payloads
+from rivalry.operators.quality import gate
+from rivalry.sources.payload import flatten_payloads, latest_per_key, payload_report, read_payloads
 from rivalry.plans.guard import materialize
 from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
                                    read_partitioned, table_unit, with_partition)
@@ -62,10 +63,16 @@ def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
 
 
 def daily_load(spark: SparkSession, payload_path: str, table_path: str,
-               multiline: bool = False) -> int:
-    """Extract (landed payloads) -> transform -> MERGE into the fact table."""
-    stage = stage_from_payloads(read_payloads(spark, payload_path, multiline))
-    return upsert_into(spark, table_path, stage)
+               multiline: bool = False, strict: bool = True) -> int:
+    """Extract (landed payloads) -> transform -> MERGE into the fact table.
+
+    With ``strict`` the payload data tests run first and a failure stops the
+    load before anything is written.
+    """
+    payloads = read_payloads(spark, payload_path, multiline)
+    if strict:
+        gate(payload_report(payloads))
+    return upsert_into(spark, table_path, stage_from_payloads(payloads))
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:

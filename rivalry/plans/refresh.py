@@ -15,6 +15,7 @@ from rivalry.operators import models as M
 from rivalry.operators import quality as Q
 from rivalry.operators.results import close_contest, team_results
 from rivalry.operators.snapshot import snapshot
+from rivalry.plans.guard import materialize
 from rivalry.sources.store import VersionedTable
 
 # Snapshot configurations of the reference.
@@ -38,7 +39,7 @@ SNAPSHOTS = {
 
 
 def build_models(games: DataFrame) -> dict[str, DataFrame]:
-    results = team_results(games).checkpoint(eager=True)
+    results = materialize(team_results(games), "team_results")
     close = results.filter(close_contest(F.col("points_scored"), F.col("opponent_score")))
     return {
         "team_season_stats": M.team_season_stats(results),

@@ -40,6 +40,23 @@ def flatten_payloads(payloads: DataFrame) -> DataFrame:
                     F.col("request_text").cast("date").alias("request_date")))
 
 
+def payload_report(payloads: DataFrame) -> DataFrame:
+    """Data tests on finished games: fields the load cannot do without.
+
+    A finished game without a start time (the date rule needs it) or a
+    season (the label needs it) makes the extract fail in the reference;
+    here they are counted so the load can stop before writing.
+    """
+    from rivalry.operators.quality import not_null
+    g = F.col("g")
+    finished = (payloads.select(F.explode("response").alias("g"))
+                .filter(g["status"]["long"] == FINISHED)
+                .select(g["date"]["start"].alias("start"), g["season"].alias("season"),
+                        g["teams"]["home"]["name"].alias("home_team"),
+                        g["teams"]["visitors"]["name"].alias("away_team")))
+    return not_null("payload", finished, ["start", "season", "home_team", "away_team"])
+
+
 def latest_per_key(stage: DataFrame, keys: list[str] = GAME_KEY,
                    order_col: str = "request_date") -> DataFrame:
     """Reduce staging rows to one per key: the one from the latest request.

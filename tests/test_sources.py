@@ -95,3 +95,17 @@ def test_latest_request_wins(spark):
         "date date, season string, home_team string, away_team string, home_score int, "
         "away_score int, request_date date")
     assert [r.home_score for r in latest_per_key(stage).collect()] == [2]
+
+
+def test_daily_load_stops_on_payload_without_start(spark, tmpdir_spark):
+    from rivalry.operators.quality import QualityGateError
+    from rivalry.plans.loads import daily_load
+    from rivalry.sources.store import write_partitioned
+    base = local(tmpdir_spark("landing"))
+    write_text(f"{base}/a.json", PAYLOAD.replace('"start": "2024-01-05T02:00:00.000Z"', '"start": null'))
+    table = tmpdir_spark("games")
+    write_partitioned(games_df(spark, [("2024-01-01", "s", "A", "B", 1, 2)]), table)
+    with pytest.raises(QualityGateError):
+        daily_load(spark, base, table, multiline=True)
+    # non-strict: the game without a start keeps the requested date (one day touched)
+    assert daily_load(spark, base, table, multiline=True, strict=False) == 1
