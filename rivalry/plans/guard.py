@@ -36,14 +36,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       local_rows: int = DEFAULT_LOCAL_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(frame, broadcasted)``; see the module docstring."""
     spark = df.sparkSession
-    if max_rows <= 0:
-        return df, False
     cap = min(local_rows, max_rows)
-    head = df.limit(cap + 1).collect()
-    if len(head) <= cap:
-        local = spark.createDataFrame(head, schema=df.schema, verifySchema=False)
-        return F.broadcast(local), True
+    if cap > 0:
+        head = df.limit(cap + 1).collect()
+        if len(head) <= cap:
+            local = spark.createDataFrame(head, schema=df.schema, verifySchema=False)
+            return F.broadcast(local), True
     frozen = materialize(df, "side")
-    if frozen.count() <= max_rows:
+    if max_rows > 0 and frozen.count() <= max_rows:
         return F.broadcast(frozen), True
     return frozen, False
