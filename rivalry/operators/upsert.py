@@ -55,12 +55,17 @@ def assert_unambiguous(target: DataFrame, stage: DataFrame,
 
 
 def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY,
-                 update_cols: list[str] = UPDATE_COLS, check: bool = True) -> DataFrame:
-    """Rows of ``target`` after MERGE with ``stage`` (columns in target order)."""
+                 update_cols: list[str] = UPDATE_COLS, check: bool = True,
+                 stage_rows: int | None = None) -> DataFrame:
+    """Rows of ``target`` after MERGE with ``stage`` (columns in target order).
+
+    ``stage_rows``: row count of a stage that is already a written table
+    (skips measuring it again).
+    """
     cols = target.columns
     st, small = bounded_broadcast(
         stage.select(*[F.col(c).alias(f"_s_{c}") for c in stage.columns])
-             .withColumn("_hit", F.lit(True)))
+             .withColumn("_hit", F.lit(True)), known_rows=stage_rows)
     if check:
         measured = st.select(*[F.col(f"_s_{c}").alias(c) for c in stage.columns])
         assert_unambiguous(target, measured, keys)

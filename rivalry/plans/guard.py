@@ -33,9 +33,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      local_rows: int = DEFAULT_LOCAL_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcasted)``; see the module docstring."""
+                      local_rows: int = DEFAULT_LOCAL_ROWS,
+                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Return ``(frame, broadcasted)``; see the module docstring.
+
+    ``known_rows`` is for a side that is already a written table whose row
+    count is known: it is used as is, without another measurement.
+    """
     spark = df.sparkSession
+    if known_rows is not None:
+        return (F.broadcast(df), True) if 0 < max_rows and known_rows <= max_rows else (df, False)
     cap = min(local_rows, max_rows)
     if cap > 0:
         head = df.limit(cap + 1).collect()

@@ -11,7 +11,11 @@ from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
 from rivalry.operators.quality import gate
 from rivalry.sources.payload import flatten_payloads, latest_per_key, payload_report, read_payloads
-from rivalry.plans.guard import materialize
+from rivalry.plans.guard import bounded_broadcast, materialize
+
+# Touched partitions listed on the driver for static pruning; beyond this the
+# read is pruned by a semi join instead.
+LOCAL_PARTITIONS = 10_000
 from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
                                    read_partitioned, table_unit, with_partition)
 
@@ -41,25 +45,35 @@ def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
 
     Only the partitions present in the stage are read (partition pruning on
     the distinct stage partition values — a handful for an increment) and
-    only those are rewritten (dynamic partition overwrite).  The stage and
-    the merged rows are written to the shared folder first, so the overwrite
-    never reads the partitions it replaces and a lost executor only reruns
-    tasks over written tables.  An empty stage writes nothing.
+    only those are rewritten (dynamic partition overwrite).  The stage is
+    written to the shared folder first (measured once, lineage cut); the
+    overwrite commits the touched partitions only after all of its tasks
+    have read them.  An empty stage writes nothing.
     """
     unit = table_unit(spark, table_path)
     staged = materialize(with_partition(stage.select(*GAMES_COLS), unit), "stage")
-    parts = [r[0] for r in staged.select(unit).distinct().collect()]
-    if not parts:
-        return 0
-    known = [v for v in parts if v is not None]
-    touched = F.col(unit).isin(known) if known else F.lit(False)
-    if len(known) < len(parts):
-        touched = touched | F.col(unit).isNull()
-    target = spark.read.parquet(table_path).filter(touched).select(*GAMES_COLS)
-    merged = merge_upsert(target, staged.select(*GAMES_COLS))
-    frozen = materialize(with_partition(merged, unit), "merged")
-    overwrite_partitions(frozen, table_path, unit)
-    return len(parts)
+    parts, small = bounded_broadcast(staged.select(unit).distinct(), max_rows=LOCAL_PARTITIONS)
+    table = spark.read.parquet(table_path)
+    if small:
+        values = [r[0] for r in parts.collect()]
+        if not values:
+            return 0
+        known = [v for v in values if v is not None]
+        touched = F.col(unit).isin(known) if known else F.lit(False)
+        if len(known) < len(values):
+            touched = touched | F.col(unit).isNull()
+        target = table.filter(touched)          # static partition pruning
+    else:
+        # Many partitions (a backfill): prune with a semi join on the
+        # partition column (dynamic partition pruning), nothing collected.
+        target = table.join(parts, table[unit].eqNullSafe(parts[unit]), "left_semi")
+    merged = merge_upsert(target.select(*GAMES_COLS), staged.select(*GAMES_COLS),
+                          stage_rows=staged.count())
+    # Dynamic overwrite stages its output and replaces the touched partitions
+    # only at job commit, after every task has read them; a retried task
+    # still reads the original files.
+    overwrite_partitions(with_partition(merged, unit), table_path, unit)
+    return parts.count()
 
 
 def daily_load(spark: SparkSession, payload_path: str, table_path: str,

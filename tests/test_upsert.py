@@ -45,7 +45,7 @@ def test_merge_shuffle_branch_equals_broadcast_branch(spark, monkeypatch):
     from rivalry.plans import guard
     target, stage = edge(spark)
     a = sorted(map(str, merge_upsert(target, stage).collect()))
-    monkeypatch.setattr(U, "bounded_broadcast", lambda df: guard.bounded_broadcast(df, max_rows=0))
+    monkeypatch.setattr(U, "bounded_broadcast", lambda df, **kw: guard.bounded_broadcast(df, max_rows=0))
     b = sorted(map(str, merge_upsert(target, stage).collect()))
     assert a == b
 
