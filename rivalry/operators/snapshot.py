@@ -13,8 +13,10 @@ source on the unique key:
 ``check`` strategy: changed = any check column differs (NULL-safe).
 ``timestamp`` strategy: changed = source ``updated_at`` > current
 ``valid_from``; new versions start at the source's ``updated_at``.
-The run timestamp is a parameter (never the wall clock) so runs replay
-deterministically.  The key must be unique in the source (run the
+The source is written to the shared folder once per run: both halves of the
+outer join read the same rows, and a source computed from a large fact table
+is computed once.  The run timestamp is a parameter (never the wall clock)
+so runs replay deterministically.  The key must be unique in the source (run the
 uniqueness test first); current rows are unique per key by construction,
 so the join has no hot key.
 """
@@ -26,6 +28,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivalry.plans.guard import materialize
 from rivalry.schemas import SCD_COLS
 
 
@@ -65,6 +68,7 @@ def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_
         raise ValueError(f"unknown strategy {strategy!r}")
     if current is None:
         return _versions(source, keys, src_from, cols).select(*cols, *SCD_COLS)
+    source = materialize(source, "snapshot_source")
 
     history = current.filter(F.col("valid_to").isNotNull())
     live = current.filter(F.col("valid_to").isNull())
