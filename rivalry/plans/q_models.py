@@ -66,9 +66,13 @@ def q_point_margin(spark, sf_dir):
                     (F.col("points_scored") - F.col("opponent_score")).alias("point_margin"))
 
 
+_DRAW_FLAGS = "SUM(CASE WHEN result = 'draw' THEN 1 ELSE 0 END)"
+_DRAW_POINTS = "SUM(CASE WHEN result = 'draw' THEN points_scored ELSE 0 END)"
+
+
 @register("safe_ratio", O.with_ctes(
-    "SELECT team, season, CAST(SUM(CASE WHEN result = 'draw' THEN 1 ELSE 0 END) AS BIGINT) AS draws, "
-    f"{O.rnd('SUM(CASE WHEN result = ' + chr(39) + 'draw' + chr(39) + ' THEN points_scored ELSE 0 END)', 'SUM(CASE WHEN result = ' + chr(39) + 'draw' + chr(39) + ' THEN 1 ELSE 0 END)', 2)} AS avg_ppg_in_draws "
+    f"SELECT team, season, CAST({_DRAW_FLAGS} AS BIGINT) AS draws, "
+    f"{O.rnd(_DRAW_POINTS, _DRAW_FLAGS, 2)} AS avg_ppg_in_draws "
     "FROM team_results GROUP BY team, season", **GT))
 def q_safe_ratio(spark, sf_dir):
     """SUM(x) / NULLIF(SUM(flag), 0): groups without a draw give NULL, not 0."""
