@@ -38,3 +38,15 @@ def test_games_on_dates_statuses(spark):
                                 "request_id long, text string")
     out = sorted((r.request_id, r.status, r.home_team) for r in S.games_on_dates(req, g).collect())
     assert out == [(1, "ok", "A"), (1, "ok", "C"), (2, "invalid_date", None), (3, "no_data", None)]
+
+
+def test_single_date_lookup_prunes_partitions(spark, tmpdir_spark):
+    from rivalry.sources.store import write_partitioned
+    for unit in ("day", "month"):
+        path = tmpdir_spark("games")
+        write_partitioned(games_df(spark, [("2024-01-05", "s", "A", "B", 1, 2), ("2024-01-06", "s", "C", "D", 3, 4),
+                                           ("2024-02-05", "s", "E", "F", 5, 6)]), path, unit=unit)
+        out = S.games_on_date(spark, path, dt.date(2024, 1, 5))
+        assert [tuple(r) for r in out.collect()] == [("s", "A", 1, "B", 2)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert f"PartitionFilters: [isnotnull({unit}" in plan
