@@ -190,14 +190,19 @@ def alias_dim_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
-def nation_alias_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(canonical, cord, aliases)`` with the region name as a shared alias."""
-    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
-             .select(F.col("n_name").alias("canonical"), F.col("n_nationkey").alias("cord"),
-                     F.array(F.lower("n_name"), F.regexp_replace(F.lower("n_name"), "_", " "),
-                             F.lower("r_name")).alias("aliases")))
+def customer_alias_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(canonical, cord, aliases)`` per customer, in customer-key order.
+
+    Aliases: the lower-cased name, the name with ``#`` and leading zeros
+    replaced by a space, and the customer's nation — an alias shared by
+    every customer of that nation.
+    """
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
+             .select(F.col("c_name").alias("canonical"), F.col("c_custkey").alias("cord"),
+                     F.array(F.lower("c_name"), F.regexp_replace(F.lower("c_name"), "#0*", " "),
+                             F.lower("n_name")).alias("aliases")))
 
 
 def alias_dim_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,13 +219,18 @@ def alias_dim_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fuzzy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct misspelt part names: third character dropped, upper case, or junk."""
-    p = read_table(spark, sf_dir, "part", "p_name").distinct()
-    name = F.col("p_name")
-    v = F.pmod(F.length(name), F.lit(3))
+    """Distinct misspellings of every part's name, picked by ``partkey % 4``.
+
+    Third character dropped, upper case, junk (reversed with a prefix), or a
+    trailing digit ``partkey % 10``.
+    """
+    p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
+    name, k = F.col("p_name"), F.col("p_partkey")
+    v = F.pmod(k, F.lit(4))
     spelt = (F.when(v == 0, F.concat(F.substring(name, 1, 2), F.substring(name, 4, 1 << 20)))
               .when(v == 1, F.upper(name))
-              .otherwise(F.concat(F.lit("zq"), F.reverse(name))))
+              .when(v == 2, F.concat(F.lit("zq"), F.reverse(name)))
+              .otherwise(F.concat(name, F.pmod(k, F.lit(10)).cast("string"))))
     return p.select(spelt.alias("input")).distinct()
 
 

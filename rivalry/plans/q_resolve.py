@@ -16,22 +16,23 @@ SELECT alias, arg_max(canonical, ord) AS canonical, min(ord) AS ord FROM (
   FROM (SELECT DISTINCT p_name FROM part)) GROUP BY alias
 """
 FUZZY_IN = """
-SELECT DISTINCT CASE length(p_name) % 3 WHEN 0 THEN substr(p_name, 1, 2) || substr(p_name, 4)
-                     WHEN 1 THEN upper(p_name) ELSE 'zq' || reverse(p_name) END AS input
-FROM (SELECT DISTINCT p_name FROM part)
+SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN substr(p_name, 1, 2) || substr(p_name, 4)
+                     WHEN 1 THEN upper(p_name) WHEN 2 THEN 'zq' || reverse(p_name)
+                     ELSE p_name || CAST(p_partkey % 10 AS VARCHAR) END AS input
+FROM part
 """
 
 
 @register("alias_dim", """
-WITH e AS (
-  SELECT lower(n_name) AS alias, n_name AS canonical, CAST(n_nationkey AS BIGINT) * 1000000 AS ord FROM nation
-  UNION ALL SELECT replace(lower(n_name), '_', ' '), n_name, CAST(n_nationkey AS BIGINT) * 1000000 + 1 FROM nation
-  UNION ALL SELECT lower(r_name), n_name, CAST(n_nationkey AS BIGINT) * 1000000 + 2
-            FROM nation JOIN region ON n_regionkey = r_regionkey)
+WITH c AS (SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+e AS (
+  SELECT lower(c_name) AS alias, c_name AS canonical, c_custkey * 1000000 AS ord FROM c
+  UNION ALL SELECT regexp_replace(lower(c_name), '#0*', ' '), c_name, c_custkey * 1000000 + 1 FROM c
+  UNION ALL SELECT lower(n_name), c_name, c_custkey * 1000000 + 2 FROM c)
 SELECT alias, arg_max(canonical, ord) AS canonical, min(ord) AS ord FROM e GROUP BY alias""")
 def q_alias_dim(spark, sf_dir):
     """Dictionary inversion: first position kept, last canonical wins for shared aliases."""
-    return alias_dim_from_lists(X.nation_alias_lists(spark, sf_dir))
+    return alias_dim_from_lists(X.customer_alias_lists(spark, sf_dir))
 
 
 @register("fuzzy_resolve_lev", O.with_ctes(
