@@ -165,18 +165,24 @@ def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
                   out: str = "canonical", score_col: str | None = "score") -> DataFrame:
     """Add ``out`` (canonical name or NULL) and optionally the best ``score``.
 
-    1. distinct ``lower(col)``;  2. exact alias hits score 100 (no other
-    alias can reach 100 under either scorer, so the exact hit is the top-1);
-    3. the rest are scored against every alias, best score wins, ties go to
-    the alias first in dictionary order;  4. accepted iff score > threshold;
+    1. distinct ``lower(col)``;  2. with a dictionary of several chunks,
+    exact alias hits are taken by an equi-join first and score 100 (no
+    other alias can reach 100 under either scorer, so the exact hit is the
+    top-1) — with one chunk the scoring pass finds them anyway;  3. the rest
+    are scored against every alias, best score wins, ties go to the alias
+    first in dictionary order;  4. accepted iff score > threshold;
     5. joined back to ``df`` on the lower-cased input.
     """
     spark = df.sparkSession
     inputs = df.select(F.lower(F.col(col)).alias("_q")).distinct()
     dim, chunks = dictionary(alias_dim)
-    exact = (inputs.join(dim, F.col("_q") == F.col("_alias"), "inner")
-             .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")))
-    rest = inputs.join(dim, F.col("_q") == F.col("_alias"), "left_anti")
+    single = isinstance(chunks, list) and len(chunks) <= 1
+    if single:
+        exact, rest = None, inputs
+    else:
+        exact = (inputs.join(dim, F.col("_q") == F.col("_alias"), "inner")
+                 .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")))
+        rest = inputs.join(dim, F.col("_q") == F.col("_alias"), "left_anti")
     per_chunk = []
     for i, chunk in enumerate(chunks):
         if scorer == "levenshtein":
@@ -196,9 +202,10 @@ def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
                 F.max_by("_b", F.struct(F.col("_b.score"), F.col("_chunk"))).alias("_b"))
         fuzzy = scored.select("_q", F.col("_b.score").alias("_score"),
                               F.col("_b.canonical").alias("_canon"))
-        resolved = exact.unionByName(fuzzy)
+        resolved = fuzzy if exact is None else exact.unionByName(fuzzy)
     else:
-        resolved = exact
+        resolved = exact if exact is not None else inputs.select(
+            "_q", F.lit(0.0).alias("_score"), F.lit(None).cast("string").alias("_canon"))
     resolved = resolved.select(
         "_q", F.when(F.col("_score") > F.lit(threshold), F.col("_canon")).alias(out),
         F.greatest(F.col("_score"), F.lit(0.0)).alias("_score"))
