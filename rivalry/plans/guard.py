@@ -3,8 +3,9 @@
 ``bounded_broadcast`` hints a join side for broadcast only after measuring
 it:
 
-1. up to ``local_rows`` rows: the rows are collected (one job — the same
-   trip a broadcast makes anyway) and re-enter the plan as local data;
+1. up to ``local_rows`` rows: the rows are collected as Arrow batches (one
+   job — the same trip a broadcast makes anyway) and re-enter the plan as
+   local data, so the side is computed once;
 2. otherwise the side is written as a parquet table in the shared work
    folder (lineage cut, survives executor loss) and counted from the file
    footers; broadcast if at most ``max_rows`` rows;
@@ -21,8 +22,8 @@ from rivalry.session import work_dir
 # Rows allowed on a broadcast side (~100 B/row keeps it far below executor
 # memory and the 8 GB broadcast limit).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-# Rows small enough to collect directly.
-DEFAULT_LOCAL_ROWS = 10_000
+# Rows small enough to collect directly (Arrow keeps 100 k rows cheap).
+DEFAULT_LOCAL_ROWS = 100_000
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -45,10 +46,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         return (F.broadcast(df), True) if 0 < max_rows and known_rows <= max_rows else (df, False)
     cap = min(local_rows, max_rows)
     if cap > 0:
-        head = df.limit(cap + 1).collect()
-        if len(head) <= cap:
-            local = spark.createDataFrame(head, schema=df.schema, verifySchema=False)
-            return F.broadcast(local), True
+        head = df.limit(cap + 1).toArrow()
+        if head.num_rows <= cap:
+            return F.broadcast(spark.createDataFrame(head, schema=df.schema)), True
     frozen = materialize(df, "side")
     if max_rows > 0 and frozen.count() <= max_rows:
         return F.broadcast(frozen), True
