@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivalry.plans import oracle as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
