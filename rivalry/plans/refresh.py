@@ -9,6 +9,8 @@ previous snapshot version and write the next.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.operators import models as M
@@ -51,9 +53,12 @@ def build_models(games: DataFrame) -> dict[str, DataFrame]:
 def refresh(spark: SparkSession, games: DataFrame, root: str, run_ts) -> dict[str, int]:
     """Build, test and snapshot; returns the published version per table."""
     models = build_models(games)
-    published = {}
-    for name, df in models.items():
-        published[name] = VersionedTable(spark, f"{root}/{name}").publish(df)
+    # The three builds are independent jobs over the same written input:
+    # submit them together so small model jobs share the cluster.
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        futures = {name: pool.submit(VersionedTable(spark, f"{root}/{name}").publish, df)
+                   for name, df in models.items()}
+        published = {name: f.result() for name, f in futures.items()}
     built = {name: VersionedTable(spark, f"{root}/{name}").read() for name in models}
     Q.gate(Q.report(built))
     for snap_name, cfg in SNAPSHOTS.items():
