@@ -160,8 +160,8 @@ FROM orders
 """
 DATE_PARSED = """
 SELECT request_id, text,
-       CASE WHEN regexp_full_match(text, '[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9])')
-            THEN TRY_CAST(text AS DATE) END AS date
+       CASE WHEN regexp_full_match(text, '[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])')
+            THEN TRY_CAST(replace(text, '- ', '-0') AS DATE) END AS date
 FROM date_req
 """
 

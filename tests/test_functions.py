@@ -24,9 +24,10 @@ def test_season_label_and_of_date(spark):
 
 
 def test_date_parse_cases(spark):
-    got = col_values(spark, ["2024-1-5", "2024-01-05", "zz", "2024-02-30", "24-01-05", "2024-13-01", "2024-02-29"],
-                     D.parse_ymd)
-    assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), None, None, None, None, dt.date(2024, 2, 29)]
+    got = col_values(spark, ["2024-1-5", "2024-01-05", "zz", "2024-02-30", "24-01-05", "2024-13-01", "2024-02-29",
+                             "2024-01- 5", "2024- 1-05", " 2024-01-05"], D.parse_ymd)
+    assert got == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), None, None, None, None, dt.date(2024, 2, 29),
+                   dt.date(2024, 1, 5), None, None]
 
 
 def test_previous_date_offset_rule(spark):
