@@ -2,13 +2,14 @@
 
 Versioned table layout::
 
-    root/v-<n>/...             immutable parquet versions
-    root/_versions/<n>         one empty marker per published version
+    root/v-<n>-<attempt>/...   immutable parquet versions (one folder per write attempt)
+    root/_versions/<n>         marker naming the attempt folder published as version n
 
-A writer first writes ``v-<n>`` completely, then creates the marker
-``_versions/<n>`` with create-if-absent; readers take the highest marker.
-Readers therefore see the old or the new version, never half of one, and two
-writers racing for the same ``n`` cannot both win.
+A writer first writes its attempt folder completely, then creates the marker
+``_versions/<n>`` with create-if-absent; readers take the highest marker and
+read the folder it names.  Readers therefore see the old or the new version,
+never half of one; two writers racing for the same ``n`` cannot both win; and
+a failed write attempt leaves an unpublished folder that a retry ignores.
 
 Date-partitioned fact: ``partitionBy(unit)`` where the partition column is
 named after its unit — ``day`` (the date itself, the default) or ``month``
@@ -23,6 +24,8 @@ from its directory layout, so an upsert always uses the table's own unit.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -57,7 +60,13 @@ class VersionedTable:
         return versions[-1] if versions else None
 
     def version_path(self, n: int) -> str:
-        return f"{self.root}/v-{n:08d}"
+        p, fs = _fs(self.spark, f"{self.root}/_versions/{n}")
+        stream = fs.open(p)
+        try:
+            name = stream.readUTF()
+        finally:
+            stream.close()
+        return f"{self.root}/{name}"
 
     def read(self, version: int | None = None) -> DataFrame:
         n = self.current_version() if version is None else version
@@ -69,12 +78,17 @@ class VersionedTable:
     def publish(self, df: DataFrame, partition_by: str | None = None) -> int:
         """Write ``df`` as the next version, then publish it atomically."""
         n = (self.current_version() or 0) + 1
+        name = f"v-{n:08d}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(partition_by)
-        w.parquet(self.version_path(n))
+        w.parquet(f"{self.root}/{name}")
         p, fs = _fs(self.spark, f"{self.root}/_versions/{n}")
-        fs.create(p, False).close()  # create-if-absent: fails if a racing writer won
+        out = fs.create(p, False)  # create-if-absent: fails if a racing writer won
+        try:
+            out.writeUTF(name)
+        finally:
+            out.close()
         return n
 
 

@@ -109,3 +109,14 @@ def test_daily_load_stops_on_payload_without_start(spark, tmpdir_spark):
         daily_load(spark, base, table, multiline=True)
     # non-strict: the game without a start keeps the requested date (one day touched)
     assert daily_load(spark, base, table, multiline=True, strict=False) == 1
+
+
+def test_failed_publish_attempt_is_ignored(spark, tmpdir_spark):
+    root = tmpdir_spark("vt")
+    t = VersionedTable(spark, root)
+    t.publish(games_df(spark, [("2020-01-01", "s", "A", "B", 1, 2)]))
+    # an attempt that died after writing part of its folder, before its marker
+    os.makedirs(local(f"{root}/v-00000002-deadbeef0000"), exist_ok=True)
+    assert t.current_version() == 1 and t.read().count() == 1
+    assert t.publish(games_df(spark, [("2020-01-02", "s", "A", "B", 3, 4)] * 2)) == 2
+    assert t.read().count() == 2 and t.read(1).count() == 1
