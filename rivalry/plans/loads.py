@@ -6,18 +6,18 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rivalry.operators.quality import gate
 from rivalry.operators.upsert import merge_upsert
+from rivalry.plans.guard import bounded_broadcast, materialize
 from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
-from rivalry.operators.quality import gate
 from rivalry.sources.payload import flatten_payloads, latest_per_key, payload_report, read_payloads
-from rivalry.plans.guard import bounded_broadcast, materialize
+from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
+                                   read_partitioned, table_unit, with_partition)
 
 # Touched partitions listed on the driver for static pruning; beyond this the
 # read is pruned by a semi join instead.
 LOCAL_PARTITIONS = 10_000
-from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
-                                   read_partitioned, table_unit, with_partition)
 
 
 def full_refresh(spark: SparkSession, csv_path: str, table_root: str, unit: str = "day") -> int:
@@ -64,9 +64,12 @@ def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
             touched = touched | F.col(unit).isNull()
         target = table.filter(touched)          # static partition pruning
     else:
-        # Many partitions (a backfill): prune with a semi join on the
-        # partition column (dynamic partition pruning), nothing collected.
-        target = table.join(parts, table[unit].eqNullSafe(parts[unit]), "left_semi")
+        # Many partitions (a backfill): prune with an equi semi join on the
+        # partition column (dynamic partition pruning), nothing collected;
+        # the NULL-date partition is added by a filter if the stage has one.
+        target = table.join(parts.filter(F.col(unit).isNotNull()), unit, "left_semi")
+        if not parts.filter(F.col(unit).isNull()).isEmpty():
+            target = target.unionByName(table.filter(F.col(unit).isNull()))
     merged = merge_upsert(target.select(*GAMES_COLS), staged.select(*GAMES_COLS),
                           stage_rows=staged.count())
     # Dynamic overwrite stages its output and replaces the touched partitions

@@ -93,3 +93,14 @@ def test_upsert_storage_null_dates_and_new_partitions(spark, tmpdir_spark, unit)
     expected = sorted(map(str, merge_upsert(target, stage).select(*GAMES_COLS).collect()))
     assert sorted(map(str, read_table(spark, path).collect())) == expected
     assert any(d.startswith(f"{unit}=") for d in os.listdir(path.replace("file:", "")))
+
+
+def test_upsert_many_partitions_uses_semi_join_pruning(spark, tmpdir_spark, monkeypatch):
+    import rivalry.plans.loads as L
+    monkeypatch.setattr(L, "LOCAL_PARTITIONS", 1)
+    path = tmpdir_spark("games")
+    target, stage = edge(spark)
+    write_partitioned(target, path, unit="day")
+    assert upsert_into(spark, path, stage) == 4
+    expected = sorted(map(str, merge_upsert(target, stage).select(*GAMES_COLS).collect()))
+    assert sorted(map(str, read_table(spark, path).collect())) == expected
