@@ -85,3 +85,12 @@ def test_resolve_chunked_dictionary_equals_single_chunk(spark, monkeypatch):
     monkeypatch.setattr(R, "CHUNK", 7)
     many = sorted(tuple(r) for r in resolve_names(df, "name", dim).collect())
     assert one == many
+
+
+def test_documented_example_values():
+    # worked examples from the public documentation of the weighted ratio family
+    assert Z.ratio("this is a test", "this is a test!") == pytest.approx(96.55172413793103)
+    assert Z.partial_ratio("this is a test", "this is a test!") == 100.0
+    assert Z.token_sort_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100.0
+    assert Z.token_set_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100.0
+    assert Z.wratio("this is a test", "this is a new test!!!") == pytest.approx(85.5)
