@@ -10,7 +10,7 @@ from rivalry.operators.upsert import merge_conflicts, merge_upsert
 from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
-from rivalry.plans.loads import daily_load, full_refresh, read_table
+from rivalry.plans.loads import daily_load, full_refresh, read_table, upsert_into
 from rivalry.schemas import GAMES_COLS
 from rivalry.session import work_dir
 from rivalry.sources.csv import write_games_csv
@@ -128,3 +128,32 @@ SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(year(o_orde
 def q_season_label(spark, sf_dir):
     o = read_src(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     return o.select("o_orderkey", season_label(F.year("o_orderdate")).alias("season"))
+
+
+# Fixed values of the incremental scenario: the increment is the payloads
+# requested from the start of the 2000-2001 season on.
+INCREMENT_FROM = "2000-10-01"
+
+
+@register("refresh_incremental", O.with_ctes(
+    O.team_season_stats_sql("team_results"), games=O.GAMES, target=MERGE_TARGET,
+    stage_raw=STAGE_RAW.replace("WHERE (home_score + away_score) % 11 <> 0",
+                                f"WHERE (home_score + away_score) % 11 <> 0 AND date >= DATE '{INCREMENT_FROM}'"),
+    stage=STAGE_LATEST, merged=merge_sql("target", "stage"),
+    team_results=O.team_results_sql("merged")))
+def q_refresh_incremental(spark, sf_dir):
+    """Models refreshed for the seasons an increment touches, after its MERGE."""
+    from rivalry.plans import incremental as I
+    from rivalry.plans.guard import materialize
+    from rivalry.sources.payload import flatten_payloads, latest_per_key
+    base = work_dir(spark, "incremental")
+    fact, root = f"{base}/games", f"{base}/models"
+    write_partitioned(X.merge_target(spark, sf_dir), fact, unit=FIXTURE_UNIT)
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    docs = X.payload_documents(spark, sf_dir).filter(
+        F.col("parameters.date") >= F.lit(INCREMENT_FROM))
+    stage = materialize(latest_per_key(flatten_payloads(docs)), "stage")
+    seasons = I.touched_seasons(spark, fact, stage)
+    upsert_into(spark, fact, stage)
+    I.refresh_seasons(spark, fact, root, seasons, stage)
+    return I.read_models(spark, root)["team_season_stats"]
