@@ -99,3 +99,26 @@ def read_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def current_fact(spark: SparkSession, table_path: str) -> DataFrame:
     return read_partitioned(spark, table_path).select(*GAMES_COLS)
+
+
+def daily_cycle(spark: SparkSession, payload_path: str, table_path: str, root: str, run_ts,
+                multiline: bool = False) -> list:
+    """One scheduled day: load the landed payloads, refresh, test, snapshot.
+
+    payloads -> staged rows (data tests first) -> touched seasons (before
+    the MERGE) -> MERGE into the fact table -> recompute the touched seasons
+    -> data tests on the models (gate) -> SCD2 snapshot runs.  Returns the
+    refreshed seasons.
+    """
+    from rivalry.operators.quality import gate
+    from rivalry.plans.loads import stage_from_payloads, upsert_into
+    from rivalry.plans.refresh import test_and_snapshot
+    from rivalry.sources.payload import payload_report, read_payloads
+    payloads = read_payloads(spark, payload_path, multiline)
+    gate(payload_report(payloads))
+    stage = materialize(stage_from_payloads(payloads), "stage")
+    seasons = touched_seasons(spark, table_path, stage)
+    upsert_into(spark, table_path, stage)
+    names = refresh_seasons(spark, table_path, root, seasons, stage)
+    test_and_snapshot(spark, root, MODEL_NAMES, run_ts)
+    return names

@@ -59,8 +59,15 @@ def refresh(spark: SparkSession, games: DataFrame, root: str, run_ts) -> dict[st
         futures = {name: pool.submit(VersionedTable(spark, f"{root}/{name}").publish, df)
                    for name, df in models.items()}
         published = {name: f.result() for name, f in futures.items()}
-    built = {name: VersionedTable(spark, f"{root}/{name}").read() for name in models}
+    published.update(test_and_snapshot(spark, root, list(models), run_ts))
+    return published
+
+
+def test_and_snapshot(spark: SparkSession, root: str, model_names, run_ts) -> dict[str, int]:
+    """Data tests on the published models (gate), then one SCD2 run per snapshot."""
+    built = {name: VersionedTable(spark, f"{root}/{name}").read() for name in model_names}
     Q.gate(Q.report(built))
+    published = {}
     for snap_name, cfg in SNAPSHOTS.items():
         table = VersionedTable(spark, f"{root}/{snap_name}")
         previous = table.read() if table.current_version() is not None else None

@@ -53,3 +53,32 @@ def test_refresh_reads_only_partitions_in_range(spark, tmpdir_spark):
     finally:
         mod.build_models = orig
     assert "PartitionFilters: [isnotnull(month" in seen["plan"]
+
+
+DOC = ('{{"parameters": {{"date": "{d}"}}, "response": [{{"status": {{"long": "Finished"}}, '
+       '"date": {{"start": "{d}T20:00:00Z"}}, "season": {y}, "teams": {{"home": {{"name": "{h}"}}, '
+       '"visitors": {{"name": "{a}"}}}}, "scores": {{"home": {{"points": {p}}}, "visitors": {{"points": 90}}}}}}]}}')
+
+
+def test_daily_cycle_matches_full_refresh(spark, tmpdir_spark):
+    import os
+    from rivalry.plans.refresh import SNAPSHOTS, refresh
+    from rivalry.sources.store import VersionedTable
+    fact, root, full_root = tmpdir_spark("fact"), tmpdir_spark("models"), tmpdir_spark("full")
+    base = games_df(spark, [("2019-11-01", "2019-2020", "A", "B", 100, 90),
+                            ("2020-11-01", "2020-2021", "A", "C", 70, 71)])
+    write_partitioned(base, fact, unit="day")
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    refresh(spark, I.current_fact(spark, fact), full_root, "2024-01-01 00:00:00")
+    from rivalry.plans.refresh import test_and_snapshot
+    test_and_snapshot(spark, root, I.MODEL_NAMES, "2024-01-01 00:00:00")
+    landing = tmpdir_spark("landing").replace("file:", "")
+    os.makedirs(landing)
+    with open(f"{landing}/d.json", "w") as f:
+        f.write(DOC.format(d="2020-11-01", y=2020, h="A", a="C", p=95))
+    assert I.daily_cycle(spark, landing, fact, root, "2024-01-02 00:00:00") == ["2020-2021"]
+    refresh(spark, I.current_fact(spark, fact), full_root, "2024-01-02 00:00:00")
+    for name in [*I.MODEL_NAMES, *SNAPSHOTS]:
+        a = VersionedTable(spark, f"{root}/{name}").read()
+        b = VersionedTable(spark, f"{full_root}/{name}").read()
+        assert rows(a) == rows(b), name
