@@ -14,9 +14,15 @@ dictionary size.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rivalry.functions import fuzzy as _fuzzy
 from rivalry.functions.fuzzy import best_match, lev_ratio
+
+# The weighted scorer runs in Python workers: ship its module with the UDF
+# (by value) so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(_fuzzy)
 from rivalry.plans.guard import bounded_broadcast
 
 # The reference's alias dictionary, canonical name -> aliases,
