@@ -120,3 +120,13 @@ def test_failed_publish_attempt_is_ignored(spark, tmpdir_spark):
     assert t.current_version() == 1 and t.read().count() == 1
     assert t.publish(games_df(spark, [("2020-01-02", "s", "A", "B", 3, 4)] * 2)) == 2
     assert t.read().count() == 2 and t.read(1).count() == 1
+
+
+def test_csv_gzip_read_in_place(spark, tmpdir_spark):
+    import gzip
+    base = local(tmpdir_spark("csvgz"))
+    os.makedirs(base, exist_ok=True)
+    with gzip.open(f"{base}/games.csv.gz", "wt") as f:
+        f.write(HEADER + "2020-01-01,2019-2020,A,B,100,90\n2020-01-02,2019-2020,B,A,80,85\n")
+    rows = sorted((r.home_team, r.home_score) for r in read_games_csv(spark, base).collect())
+    assert rows == [("A", 100), ("B", 80)]
