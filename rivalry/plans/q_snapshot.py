@@ -178,3 +178,35 @@ def q_refresh_report(spark, sf_dir):
     names = ["team_season_stats", "close_game_season_stats", "team_season_biggest_win_loss",
              *SNAPSHOTS]
     return summary(spark, root, names)
+
+
+def _daily_cycle_sql() -> str:
+    from rivalry.plans.q_ingest import INCREMENT_FROM, MERGE_TARGET, STAGE_LATEST, STAGE_RAW, merge_sql
+    c = {"games": O.GAMES, "target": MERGE_TARGET,
+         "stage_raw": STAGE_RAW.replace(
+             "WHERE (home_score + away_score) % 11 <> 0",
+             f"WHERE (home_score + away_score) % 11 <> 0 AND date >= DATE '{INCREMENT_FROM}'"),
+         "stage": STAGE_LATEST, "merged": merge_sql("target", "stage"),
+         "r1": O.team_results_sql("target"), "r2": O.team_results_sql("merged"),
+         "m1": O.team_season_stats_sql("r1"), "m2": O.team_season_stats_sql("r2")}
+    c.update(snapshot_sql("m1", "m2", STATS_CFG["keys"], TEAM_SEASON_STATS_COLS, "check", False,
+                          check=STATS_CFG["check_cols"]))
+    return O.with_ctes("SELECT * FROM snap2", **c)
+
+
+@register("daily_cycle_snapshot", _daily_cycle_sql())
+def q_daily_cycle_snapshot(spark, sf_dir):
+    """One incremental day: load payloads, MERGE, recompute touched seasons, test, snapshot."""
+    from rivalry.plans import incremental as I
+    from rivalry.plans.q_ingest import FIXTURE_UNIT, INCREMENT_FROM
+    from rivalry.plans.refresh import test_and_snapshot
+    from rivalry.sources.store import VersionedTable, write_partitioned
+    base = work_dir(spark, "cycle")
+    fact, root, landing = f"{base}/games", f"{base}/models", f"{base}/landing"
+    write_partitioned(X.merge_target(spark, sf_dir), fact, unit=FIXTURE_UNIT)
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    test_and_snapshot(spark, root, I.MODEL_NAMES, TS1)
+    (X.payload_documents(spark, sf_dir)
+       .filter(F.col("parameters.date") >= F.lit(INCREMENT_FROM)).write.json(landing))
+    I.daily_cycle(spark, landing, fact, root, TS2)
+    return VersionedTable(spark, f"{root}/snapshot_team_season_stats").read()
