@@ -23,7 +23,7 @@ from rivalry.schemas import GAME_KEY
 UPDATE_COLS = ["home_score", "away_score", "season"]
 
 
-def _key_eq(left: DataFrame, right_prefix: str, keys: list[str]):
+def _key_eq(right_prefix: str, keys: list[str]):
     return reduce(lambda a, b: a & b,
                   [F.col(k) == F.col(f"{right_prefix}{k}") for k in keys])
 
@@ -70,14 +70,14 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY
         measured = st.select(*[F.col(f"_s_{c}").alias(c) for c in stage.columns])
         assert_unambiguous(target, measured, keys)
     hit = F.col("_hit").isNotNull()
-    updated = target.join(st, _key_eq(target, "_s_", keys), "left").select(
+    updated = target.join(st, _key_eq("_s_", keys), "left").select(
         *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols
           else F.col(c) for c in cols])
     # Keys of target rows that some stage row matches (target streamed,
     # stage keys broadcast), then the stage rows with no such key.
     matched = (target.select(*keys)
                .join(st.select(*[F.col(f"_s_{k}") for k in keys]),
-                     _key_eq(target, "_s_", keys), "left_semi")
+                     _key_eq("_s_", keys), "left_semi")
                .distinct())
     if small:
         # matched keys are a subset of the stage keys: the stage's measured
