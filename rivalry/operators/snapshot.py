@@ -53,8 +53,13 @@ def _versions(src: DataFrame, keys: list[str], valid_from: Column, cols: list[st
 
 def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_ts,
              strategy: str = "check", check_cols: list[str] | None = None,
-             updated_at: str | None = None, hard_deletes: bool = False) -> DataFrame:
-    """Return the snapshot table after one run over ``source``."""
+             updated_at: str | None = None, hard_deletes: bool = False,
+             materialize_source: bool = True) -> DataFrame:
+    """Return the snapshot table after one run over ``source``.
+
+    ``materialize_source=False`` when the source already is a written table
+    (for example a published model version): it is then read as is.
+    """
     cols = source.columns
     run = _ts(run_ts)
     if strategy == "check":
@@ -68,7 +73,8 @@ def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_
         raise ValueError(f"unknown strategy {strategy!r}")
     if current is None:
         return _versions(source, keys, src_from, cols).select(*cols, *SCD_COLS)
-    source = materialize(source, "snapshot_source")
+    if materialize_source:
+        source = materialize(source, "snapshot_source")
 
     history = current.filter(F.col("valid_to").isNotNull())
     live = current.filter(F.col("valid_to").isNull())

@@ -73,7 +73,8 @@ def test_and_snapshot(spark: SparkSession, root: str, model_names, run_ts) -> di
         previous = table.read() if table.current_version() is not None else None
         snap = snapshot(previous, built[cfg["model"]], cfg["keys"], run_ts,
                         strategy=cfg["strategy"], check_cols=cfg.get("check_cols"),
-                        updated_at=cfg.get("updated_at"), hard_deletes=cfg.get("hard_deletes", False))
+                        updated_at=cfg.get("updated_at"), hard_deletes=cfg.get("hard_deletes", False),
+                        materialize_source=False)  # models are published tables already
         published[snap_name] = table.publish(snap)
     return published
 
