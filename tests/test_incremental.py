@@ -82,3 +82,15 @@ def test_daily_cycle_matches_full_refresh(spark, tmpdir_spark):
         a = VersionedTable(spark, f"{root}/{name}").read()
         b = VersionedTable(spark, f"{full_root}/{name}").read()
         assert rows(a) == rows(b), name
+
+
+def test_season_ranges_only_widen(spark):
+    import datetime as dt
+    d = dt.date
+    ranges = spark.createDataFrame([("s", d(2020, 1, 1), d(2020, 2, 1))],
+                                   "season string, first_date date, last_date date")
+    stage = games_df(spark, [("2020-01-15", "s", "A", "B", 1, 2), ("2020-03-01", "s", "A", "B", 1, 2),
+                             ("2021-01-01", "t", "A", "B", 1, 2)])
+    got = {r.season: (r.first_date, r.last_date)
+           for r in I.widen_ranges(ranges, stage.select("season", "date")).collect()}
+    assert got == {"s": (d(2020, 1, 1), d(2020, 3, 1)), "t": (d(2021, 1, 1), d(2021, 1, 1))}
