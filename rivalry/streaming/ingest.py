@@ -13,7 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rivalry.operators.quality import gate
 from rivalry.plans.loads import stage_from_payloads, upsert_into
+from rivalry.sources.payload import payload_report
 from rivalry.schemas import PAYLOAD
 
 
@@ -27,10 +29,18 @@ def payload_stream(spark: SparkSession, landing_dir: str, multiline: bool = True
 
 def ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,
            multiline: bool = True, available_now: bool = True,
-           processing_time: str | None = None, max_files_per_trigger: int | None = None):
-    """Start the ingestion query; with ``available_now`` it runs to completion."""
+           processing_time: str | None = None, max_files_per_trigger: int | None = None,
+           strict: bool = True):
+    """Start the ingestion query; with ``available_now`` it runs to completion.
+
+    With ``strict`` each micro-batch passes the payload data tests before its
+    MERGE; a failure stops the stream before that batch writes anything, and
+    the batch is retried from the checkpoint once the files are fixed.
+    """
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
+        if strict:
+            gate(payload_report(batch))
         upsert_into(batch.sparkSession, table_path, stage_from_payloads(batch))
 
     w = (payload_stream(spark, landing_dir, multiline, max_files_per_trigger)
