@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.llm import oracle
 from rivalry.llm.common import read
+from rivalry.llm.packing import pack_documents
 from rivalry.llm.secret_scan import secret_scan
+from rivalry.llm.token_files import write_and_read
 from rivalry.llm.url_filter import path_of, url_filter
 
 
@@ -26,7 +28,22 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_reputation, op8_secret_scan)}
+def tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every document's ids into token files and read them back."""
+    return write_and_read(read(spark, sf_dir, "documents"), tokenizer())
+
+
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 4096 tokens."""
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer())
+
+
+QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan)}
 
 
 def queries():
