@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivalry.llm import oracle
 from rivalry.llm.common import read
 from rivalry.llm.packing import pack_documents
+from rivalry.llm.quality_rules import judge, learn_from, quality_statistics
 from rivalry.llm.secret_scan import secret_scan
 from rivalry.llm.token_files import write_and_read
 from rivalry.llm.url_filter import path_of, url_filter
@@ -43,7 +44,16 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document, by the list learned from all labels."""
+    stats = quality_statistics(read(spark, sf_dir, "documents"))
+    return (judge(stats, learn_from(stats, read(spark, sf_dir, "labels")))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                    "kept", "rule"))
+
+
+QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
+                                   op10_quality_rules)}
 
 
 def queries():
