@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivalry.llm import oracle
 from rivalry.llm.common import read
 from rivalry.llm.packing import pack_documents
+from rivalry.llm.pseudonyms import pseudonymise
 from rivalry.llm.quality_rules import judge, learn_from, quality_statistics
 from rivalry.llm.secret_scan import secret_scan
 from rivalry.llm.token_files import write_and_read
@@ -28,6 +29,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text."""
     return secret_scan(read(spark, sf_dir, "documents"))
 
+# A real run gives a secret of its own.
+PSEUDONYM_KEY = "published key of the registered query"
+
 
 def tokenizer() -> str:
     import public_tokenizers
@@ -44,6 +48,11 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms."""
+    return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document, by the list learned from all labels."""
     stats = quality_statistics(read(spark, sf_dir, "documents"))
@@ -53,7 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
-                                   op10_quality_rules)}
+                                   op9_pseudonyms, op10_quality_rules)}
 
 
 def queries():
