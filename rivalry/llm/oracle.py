@@ -55,4 +55,39 @@ FROM levels l LEFT JOIN known k USING (host)
 LEFT JOIN ruled r ON r.page_id = l.page_id AND r.host = l.host AND r.path = l.path
 """
 
-SQL = {"op2_url_reputation": OP2}
+OP1 = rf"""
+WITH words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'), []::VARCHAR[]) AS w
+  FROM documents),
+item AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i + 1:i + least(10, len(w))], ' ') AS s
+  FROM item, unnest(range(0, len(w) - least(10, len(w)) + 1)) t(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM win),
+runs AS (
+  SELECT rid, n, i AS start, array_to_string(w[i + 1:i + n], ' ') AS s
+  FROM (SELECT rid, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM words, lengths WHERE len(w) >= n)),
+hits AS (SELECT rid, start, n, item_id FROM runs JOIN win USING (n, s)),
+places AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(start, start + n)) AS p FROM hits) GROUP BY 1),
+named AS (SELECT rid, list_sort(list(DISTINCT item_id)) AS items FROM hits GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN places USING (rid) LEFT JOIN named USING (rid)
+"""
+
+OP3 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT rid, i, lines[i] AS line FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)),
+keyed AS (SELECT rid, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+          FROM each),
+gone AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rid) >= 10),
+kept AS (SELECT rid, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM keyed ANTI JOIN gone USING (key) GROUP BY rid)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+SQL = {"op1_decontaminate": OP1, "op2_url_reputation": OP2, "op3_line_dedup": OP3}

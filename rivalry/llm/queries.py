@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.llm import oracle
 from rivalry.llm.common import read
+from rivalry.llm.decontaminate import decontaminate
+from rivalry.llm.line_dedup import line_dedup
 from rivalry.llm.packing import pack_documents
 from rivalry.llm.pseudonyms import pseudonymise
 from rivalry.llm.quality_rules import judge, learn_from, quality_statistics
@@ -14,6 +16,20 @@ from rivalry.llm.token_files import write_and_read
 from rivalry.llm.url_filter import path_of, url_filter
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in every document."""
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more go from all of them."""
+    found = line_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, least=1, keep_first=False)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's URL; a page's outcome is the label of the document whose number its path names."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -62,7 +78,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
-                                   op9_pseudonyms, op10_quality_rules)}
+                                   op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup)}
 
 
 def queries():
