@@ -8,6 +8,7 @@ from rivalry.llm import oracle
 from rivalry.llm.common import read
 from rivalry.llm.decontaminate import decontaminate
 from rivalry.llm.line_dedup import line_dedup
+from rivalry.llm.min_max import near_duplicates
 from rivalry.llm.packing import pack_documents
 from rivalry.llm.pseudonyms import pseudonymise
 from rivalry.llm.quality_rules import judge, learn_from, quality_statistics
@@ -30,6 +31,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents, on four-word shingles."""
+    found = near_duplicates(read(spark, sf_dir, "documents"), size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge every page's URL; a page's outcome is the label of the document whose number its path names."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -78,7 +85,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
-                                   op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup)}
+                                   op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup,
+                                   op4_min_max)}
 
 
 def queries():
