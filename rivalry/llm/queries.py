@@ -8,6 +8,7 @@ from rivalry.llm import oracle
 from rivalry.llm.common import read
 from rivalry.llm.decontaminate import decontaminate
 from rivalry.llm.line_dedup import line_dedup
+from rivalry.llm.lm_score import lm_scores
 from rivalry.llm.min_max import near_duplicates
 from rivalry.llm.packing import pack_documents
 from rivalry.llm.pseudonyms import pseudonymise
@@ -66,6 +67,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(read(spark, sf_dir, "documents"), tokenizer())
 
 
+def op6_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document under the gated recurrent model and the unigram base."""
+    return lm_scores(read(spark, sf_dir, "documents"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 4096 tokens."""
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer())
@@ -86,7 +92,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
                                    op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup,
-                                   op4_min_max)}
+                                   op4_min_max, op6_gated_lm)}
 
 
 def queries():
