@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rivalry.llm.common import docs_of, table
 from rivalry.llm.hashing import WordHashes, bitmap, bitmap_size, in_bitmap, shingles
+from rivalry.llm.rows import identity, without
 from rivalry.llm.tokens import texts
 
 # Bytes that words are made of, A-Z lower-cased; all others part words.
@@ -117,11 +118,11 @@ def suspects(docs: DataFrame, prefix: DataFrame, window: int) -> DataFrame:
                                     "context": b" ".join(words[first:at + window]).decode()})
                 places.append(own)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(places, pa.list_(place))],
-                names=["doc_id", "n_words", "places"])
+                [batch.column("doc_id"), batch.column("ident"), pa.array(n_words, pa.int64()), pa.array(places, pa.list_(place))],
+                names=["doc_id", "ident", "n_words", "places"])
 
-    schema = "doc_id long, n_words long, places array<struct<h: long, at: int, first: int, context: string>>"
-    found = docs.select("doc_id", "text").mapInArrow(scan, schema)
+    schema = "doc_id long, ident long, n_words long, places array<struct<h: long, at: int, first: int, context: string>>"
+    found = docs.mapInArrow(scan, schema)
     return table(found.withColumn("rid", F.monotonically_increasing_id()), "suspects")
 
 
@@ -146,8 +147,8 @@ def covered(spans):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit (words inside windows of items), n_items, items (sorted as strings) of every document row."""
-    docs = docs_of(docs)
+    """doc_id, ident, n_words, n_hit (words inside windows of items), n_items, items (sorted as strings) of every document row."""
+    docs = docs_of(docs).withColumn("ident", identity())
     windows = table(windows_of(items, window), "item-windows")
     vocabulary = windows.select(F.explode("shingles").alias("h")).distinct()
     counts = rarity(docs, vocabulary).withColumnRenamed("n", "df")
@@ -158,7 +159,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
            .select("rid", covered(F.col("s")).cast("long").alias("n_hit")))
     named = (found.select("rid", "words").distinct().join(windows.select("words", "item_id"), "words")
              .groupBy("rid").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
-    return (suspected.select("rid", "doc_id", "n_words").join(hit, "rid", "left").join(named, "rid", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return (suspected.select("rid", "doc_id", "ident", "n_words").join(hit, "rid", "left").join(named, "rid", "left")
+            .select("doc_id", "ident", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """``docs`` (all columns) without the documents that contain a window of an item."""
+    found = decontaminate(docs, items, window).where("n_hit > 0")
+    return without(docs, table(found.select("ident").distinct(), "contaminated"))

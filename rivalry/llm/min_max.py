@@ -26,11 +26,12 @@ result.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rivalry.llm.common import docs_of, table
 from rivalry.llm.components import components
 from rivalry.llm.hashing import WordHashes, bitmap, bitmap_size, in_bitmap, mixed, shingles
+from rivalry.llm.rows import doubtful_rows, identity
 from rivalry.llm.tokens import texts
 
 
@@ -70,11 +71,6 @@ class MinMax:
         return mixed(h)
 
 
-def identity(doc_id="doc_id", text="text") -> Column:
-    """Of a row: what two rows with the same doc_id and text share."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
-
-
 def signatures(docs: DataFrame, size: int, hasher: MinMax) -> DataFrame:
     """rid, doc_id, ident, n, high and low (fingerprint of the set), bands of every row."""
     def scan(batches):
@@ -231,25 +227,13 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` (all columns) with one document of each group: the smallest doc_id; of rows with the same doc_id and
     text one stays.
 
-    Rows that stay for sure are told by a bitmap and never move; only the others are joined.
+    Rows that stay for sure never move (``rows.py``).
     """
     groups = table(near_duplicates(docs, size, percent).select("ident", "first"), "verdicts")
     verdicts = groups.groupBy("ident").agg(F.max("first").alias("stays"), F.count("*").alias("k"))
     special = table(verdicts.where("not stays or k > 1").select("ident", "stays"), "special")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(special, "ident", bitmap_size(special.count())))
-
-    @F.pandas_udf("boolean")
-    def doubtful(ident):
-        import pandas as pd
-        return pd.Series(in_bitmap(shared.value, ident.to_numpy().view(np.uint64)))
-
+    rest = doubtful_rows(docs, special)
     columns = docs.columns
-    source = docs.withColumn("_ident", F.xxhash64(F.col("doc_id").cast("long"),
-                                                  F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    source = source.withColumn("_doubtful", doubtful("_ident"))
-    sure = source.where("not _doubtful")
-    rest = (source.where("_doubtful").join(special.withColumnRenamed("ident", "_ident"), "_ident", "left")
-            .where(F.coalesce("stays", F.lit(True))))
-    single = rest.where(F.col("stays").isNull())
-    double = rest.where("stays").dropDuplicates(["_ident"])
-    return sure.select(columns).union(single.select(columns)).union(double.select(columns))
+    single = rest.where("_special is null or not _special").select(columns)
+    double = rest.where("_special and stays").dropDuplicates(["_ident"]).select(columns)
+    return single.union(double)

@@ -235,4 +235,8 @@ def keep_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (all its columns) without the documents that the base rules or the learned list reject."""
     rules = learn_from(quality_statistics(docs), labels)
     s = F.col("_stats")
-    return (statistics(docs).where(~base_failed(s) & first_rule(rules, s).isNull()).drop("_stats"))
+    # A filter isn't moved below a column that isn't deterministic; it would take a copy of all statistics along for
+    # each mention of one.
+    found = statistics(docs).select(*docs.columns, (~base_failed(s) & first_rule(rules, s).isNull()).alias("_keep"),
+                                    F.monotonically_increasing_id().alias("_row"))
+    return found.where("_keep and _row >= 0").select(docs.columns)
