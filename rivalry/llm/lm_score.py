@@ -67,7 +67,7 @@ def word_counts(docs: DataFrame, hold: int = 400_000) -> DataFrame:
         yield out()
 
     return table(docs.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-                 .withColumn("ending", F.crc32(F.expr("right(word, 2)").cast("binary")) % ENDINGS), "word-counts")
+                 .withColumn("ending", F.crc32(F.substring("word", -2, 2)) % ENDINGS), "word-counts")
 
 
 def head_floor(counts: DataFrame, head: int) -> int:
@@ -260,7 +260,7 @@ def score(docs: DataFrame, language: Language, vector: np.ndarray, counts: DataF
     tail = found.where(F.size("tail") > 0).select("rid", F.inline("tail"))
     rare = counts.where(F.col("c") < language.floor).select("word", "c")
     c = F.coalesce("c", F.lit(0))
-    ending = (F.crc32(F.expr("right(word, 2)").cast("binary")) % ENDINGS).cast("int")
+    ending = (F.crc32(F.substring("word", -2, 2)) % ENDINGS).cast("int")
     total = F.get(F.array(*[F.lit(float(n + ALPHA * (v + 1))) for n, v in zip(
         language.ending_n.tolist(), language.ending_v.tolist())]), ending)
     rest = (tail.join(rare, "word", "left").groupBy("rid").agg(
