@@ -11,8 +11,8 @@ groups of copies cost one member.  Classes that share a band meet in a bucket:
 2. what may be left are links between members that are still in different
    components: for the members of such buckets only, all pairs that can reach
    the threshold are found through the rarest shingles of each set (prefix,
-   length and position bounds), members of a shingle's main component being
-   compared with the others only.
+   length and position bounds, and the sketches of the sets), members of a
+   shingle's main component being compared with the others only.
 
 Every link is confirmed on the full sets.  With 24 bands of 4 values a pair at
 similarity 0.8 shares no bucket with a probability of 3e-6, less above.
@@ -41,6 +41,16 @@ def shingle_set(text: bytes, size: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(shingles(hashes.of(words), min(size, len(words)))) if words else np.zeros(0, np.uint64)
 
 
+def sketch(found: np.ndarray, bits: int = 1024) -> np.ndarray:
+    """For each of ``bits`` residues, whether an odd number of hashes has it, as 64-bit words.
+
+    Hashes that two sets share cancel out, so the sketches of two sets differ in at most as many bits as the sets do
+    in hashes.
+    """
+    odd = np.bincount((mixed(found) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 class MinMax:
     """Band hashes of shingle sets."""
 
@@ -97,7 +107,7 @@ def signatures(docs: DataFrame, size: int, hasher: MinMax) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """cid, n, shingles of the classes in ``wanted`` (cid, ident): their rows are read again, told apart by a bitmap."""
+    """cid, shingles, sketch of the classes in ``wanted`` (cid, ident): their rows are read again, told apart by a bitmap."""
     bits = bitmap(wanted, "ident", bitmap_size(wanted.count()))
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -111,13 +121,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             for text, i in zip(texts(batch.take(pa.array(rows))), ident[rows].tolist()):
                 if i not in done:  # repeated rows once per task
                     done.add(i)
-                    found.append((i, shingle_set(text, size, hashes).view(np.int64)))
+                    found.append((i, shingle_set(text, size, hashes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in found], pa.int64()), pa.array([r[1] for r in found], pa.list_(pa.int64()))],
-                names=["ident", "shingles"])
+                [pa.array([r[0] for r in found], pa.int64()),
+                 pa.array([r[1].view(np.int64) for r in found], pa.list_(pa.int64())),
+                 pa.array([sketch(r[1]) for r in found], pa.list_(pa.int64()))], names=["ident", "shingles", "sketch"])
 
-    found = docs_of(docs).withColumn("ident", identity()).mapInArrow(scan, "ident long, shingles array<long>")
-    return table(found.join(wanted, "ident").groupBy("cid").agg(F.first("shingles").alias("shingles")), "sets")
+    found = docs_of(docs).withColumn("ident", identity()).mapInArrow(
+        scan, "ident long, shingles array<long>, sketch array<long>")
+    return table(found.join(wanted, "ident").groupBy("cid").agg(
+        F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -160,24 +173,29 @@ def missing_pairs(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent
     own = sets.join(open_.select("cid"), "cid", "left_semi").select("cid", F.explode("shingles").alias("t"))
     # Shingles of one set only can't be shared: they come first in the order and need not be sent.
     seen = own.join(counts, "t").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("k", "t"))).alias("shared"))
-    prefix = (seen.join(sets.select("cid", F.size("shingles").alias("n")), "cid").join(open_, "cid")
+    prefix = (seen.join(sets.select("cid", "sketch", F.size("shingles").alias("n")), "cid").join(open_, "cid")
               # Place of the first shared shingle, and the end of the prefix.
               .withColumn("skip", F.col("n") - F.size("shared"))
               .withColumn("end", F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1)
               .where("skip < end")
-              .select("cid", "label", "n", "skip", F.posexplode(F.slice("shared", F.lit(1), (F.col("end") - F.col("skip")).cast("int"))).alias("i", "s"))
-              .select("cid", "label", "n", (F.col("skip") + F.col("i")).alias("at"), F.col("s.t").alias("t")))
+              .select("cid", "label", "n", "sketch", "skip", F.posexplode(
+                  F.slice("shared", F.lit(1), (F.col("end") - F.col("skip")).cast("int"))).alias("i", "s"))
+              .select("cid", "label", "n", "sketch", (F.col("skip") + F.col("i")).alias("at"), F.col("s.t").alias("t")))
     prefix = table(prefix, "prefixes")
     # The component with most members of a shingle: its members are compared with the others only.
     main = (prefix.groupBy("t", "label").agg(F.count("*").alias("k"))
             .groupBy("t").agg(F.count("*").alias("labels"), F.max(F.struct("k", "label")).alias("m"))
             .where("labels > 1").select("t", F.col("m.label").alias("main")))
     probes = prefix.join(main, "t").where("label <> main").select(
-        "t", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("pa"))
-    others = prefix.select("t", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("pb"))
-    rest = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+        "t", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("pa"),
+        F.col("sketch").alias("sa"))
+    others = prefix.select("t", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
+                           F.col("at").alias("pb"), F.col("sketch").alias("sb"))
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     possible = ((F.col("la") != F.col("lb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-                & (rest * (100 + percent) >= percent * (F.col("na") + F.col("nb"))))
+                & (rest * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+                & (apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))))
     return table(probes.join(others, "t").where(possible)
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "more-pairs")
 

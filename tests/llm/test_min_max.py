@@ -6,7 +6,7 @@ import pytest
 
 from llm_fixtures import awkward, frame, sorted_rows, words
 from rivalry.llm.components import components
-from rivalry.llm.min_max import MinMax, missing_pairs, near_duplicates, one_of_each
+from rivalry.llm.min_max import MinMax, missing_pairs, near_duplicates, one_of_each, sketch
 from rivalry.llm.common import table
 
 
@@ -95,6 +95,15 @@ def test_signature_agreement_is_unbiased():
     assert abs(agree - 800 / 1200) < 0.05
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    r = np.random.default_rng(4)
+    for n in (0, 1, 30, 400):
+        both, a, b = (r.integers(1 << 63, size=k, dtype=np.uint64) for k in (300, n, n // 2))
+        x, y = sketch(np.concatenate([both, a])), sketch(np.concatenate([both, b]))
+        apart = int(np.bitwise_count(x ^ y).sum())
+        assert apart <= n + n // 2 and (apart >= 0.6 * (n + n // 2) or n > 300)
+
+
 def test_components(spark):
     r = random.Random(9)
     edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)] + [(r.randrange(2000, 2100), r.randrange(2000, 2100)) for _ in range(60)]
@@ -116,7 +125,8 @@ def test_links_beside_the_representative_are_found(spark):
     """Two members that are similar to each other but not to the bucket's main component."""
     base = list(range(100))
     sets = {1: base, 2: base[:98] + [200], 3: base[:60] + list(range(300, 340)), 4: base[:60] + list(range(300, 338)) + [400]}
-    frame_ = table(spark.createDataFrame([(k, sorted(v)) for k, v in sets.items()], "cid long, shingles array<long>"), "sets")
+    frame_ = table(spark.createDataFrame([(k, sorted(v), sketch(np.array(v, np.uint64)).tolist()) for k, v in sets.items()],
+                                         "cid long, shingles array<long>, sketch array<long>"), "sets")
     buckets = spark.createDataFrame([(7, k, 1) for k in sets], "b long, cid long, rep long")
     roots = spark.createDataFrame([(2, 1)], "v long, root long")
     assert [tuple(x) for x in missing_pairs(buckets, frame_, roots, 80).collect()] == [(3, 4)]
