@@ -10,22 +10,29 @@ The fact table is partitioned by date, not season, so each touched
 season's rows are located through ``season_ranges`` (season, first_date,
 last_date), a small table kept alongside the models: the recompute reads
 only the partitions inside those date ranges.  Ranges only ever widen when
-merged with a stage, so they always cover every row of their season.
+merged with a stage, so they always cover every dated row of their season; the
+partition of rows without a date is always read.  A NULL season is a group
+like any other.
+
+A cycle writes down what it is about to touch before its MERGE and clears the
+list after the models are published, so one that dies in between is made up
+for by the next.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivalry.operators.results import team_results
 from rivalry.plans.guard import bounded_broadcast, materialize
 from rivalry.plans.refresh import build_models
 from rivalry.schemas import GAME_KEY, GAMES_COLS
-from rivalry.sources.store import VersionedTable, partition_value, read_partitioned, table_unit
+from rivalry.sources.store import (VersionedTable, partition_value, partitions_of, read_partitioned,
+                                   table_unit)
 
 RANGES = "season_ranges"
+PENDING = "pending_seasons"
+# Date ranges listed in one predicate; more are merged into their envelope.
+MAX_RANGES = 64
 MODEL_NAMES = ("team_season_stats", "close_game_season_stats", "team_season_biggest_win_loss")
 
 
@@ -45,12 +52,11 @@ def touched_seasons(spark: SparkSession, table_path: str, stage: DataFrame) -> D
 
     Evaluated (and materialised) *before* the upsert: afterwards the files
     it reads are replaced.  The stage keys are broadcast after a size check
-    and the fact scan is pruned to the stage's partitions.
+    and the fact scan is pruned to the stage's partitions by a predicate on
+    the partition column.
     """
-    unit = table_unit(spark, table_path)
-    keys, _ = bounded_broadcast(stage.select(*GAME_KEY, partition_value(F.col("date"), unit).alias(unit)))
-    table = spark.read.parquet(table_path)
-    old = (table.join(keys, [unit, *GAME_KEY], "left_semi").select("season"))
+    keys, _ = bounded_broadcast(stage.select(*GAME_KEY))
+    old = partitions_of(spark, table_path, stage).join(keys, GAME_KEY, "left_semi").select("season")
     seasons, _ = bounded_broadcast(old.unionByName(stage.select("season")).distinct())
     return seasons
 
@@ -72,27 +78,43 @@ def refresh_seasons(spark: SparkSession, table_path: str, root: str, seasons: Da
         ranges = materialize(widen_ranges(ranges, stage.select("season", "date")), "ranges")
         ranges_table.publish(ranges)
     todo, _ = bounded_broadcast(seasons.distinct())
-    spans = ranges.join(todo, "season", "inner").collect()
-    names = [r["season"] for r in spans]
+    names = [r["season"] for r in todo.collect()]
     if not names:
         return []
-    # One date range per touched season, stated on the partition column too
-    # so the scan lists only the partitions inside the ranges.
-    in_ranges = reduce(lambda a, b: a | b, [
-        F.col("date").between(F.lit(r["first_date"]), F.lit(r["last_date"]))
-        & F.col(unit).between(partition_value(F.lit(r["first_date"]), unit),
-                              partition_value(F.lit(r["last_date"]), unit))
-        for r in spans])
-    fact = (spark.read.parquet(table_path).filter(in_ranges & F.col("season").isin(names))
+    wanted = todo.withColumnRenamed("season", "_s")
+    touched = F.col("season").eqNullSafe(F.col("_s"))
+    spans = merged_spans(ranges.join(wanted, touched, "left_semi")
+                         .select("first_date", "last_date").filter("first_date IS NOT NULL").distinct())
+    # The date ranges stand on the partition column, so the scan lists only
+    # the partitions inside them, and the one of rows without a date.
+    in_ranges = F.col(unit).isNull()
+    for first, last in spans:
+        in_ranges = in_ranges | F.col(unit).between(partition_value(F.lit(first), unit),
+                                                    partition_value(F.lit(last), unit))
+    fact = (spark.read.parquet(table_path).filter(in_ranges).join(wanted, touched, "left_semi")
             .select(*GAMES_COLS))
     fresh = build_models(fact)
     for name in MODEL_NAMES:
         table = VersionedTable(spark, f"{root}/{name}")
-        kept = table.read().filter(~F.col("season").isin(names) | F.col("season").isNull())
+        kept = table.read().join(wanted, touched, "left_anti")
         table.publish(kept.unionByName(fresh[name]))
     return names
 
 
+def merged_spans(spans: DataFrame, most: int = MAX_RANGES) -> list[tuple]:
+    """The date ranges with overlaps merged; their envelope if more than ``most`` are different."""
+    rows = spans.limit(most + 1).collect()
+    if len(rows) > most:
+        rows = spans.agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")).collect()
+    merged: list[tuple] = []
+    for first, last in sorted((r["first_date"], r["last_date"]) for r in rows):
+        if merged and first <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(last, merged[-1][1])
+        else:
+            merged.append((first, last))
+    return merged
+
+
 def read_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: VersionedTable(spark, f"{root}/{name}").read() for name in MODEL_NAMES}
 
@@ -101,24 +123,40 @@ def current_fact(spark: SparkSession, table_path: str) -> DataFrame:
     return read_partitioned(spark, table_path).select(*GAMES_COLS)
 
 
+def pending_seasons(spark: SparkSession, root: str) -> DataFrame | None:
+    """Seasons that a cycle has announced and not yet refreshed."""
+    table = VersionedTable(spark, f"{root}/{PENDING}")
+    return table.read() if table.current_version() is not None else None
+
+
+def announce(spark: SparkSession, root: str, seasons: DataFrame) -> DataFrame:
+    """Publish ``seasons`` and those still pending as what the next refresh must cover."""
+    before = pending_seasons(spark, root)
+    every = (seasons if before is None else seasons.unionByName(before)).distinct()
+    table = VersionedTable(spark, f"{root}/{PENDING}")
+    table.publish(every)
+    return table.read()
+
+
 def daily_cycle(spark: SparkSession, payload_path: str, table_path: str, root: str, run_ts,
-                multiline: bool = False) -> list:
+                multiline: bool = False, run_date=None) -> list:
     """One scheduled day: load the landed payloads, refresh, test, snapshot.
 
-    payloads -> staged rows (data tests first) -> touched seasons (before
-    the MERGE) -> MERGE into the fact table -> recompute the touched seasons
-    -> data tests on the models (gate) -> SCD2 snapshot runs.  Returns the
-    refreshed seasons.
+    payloads -> staged rows (data tests first) -> touched seasons, written
+    down before the MERGE -> MERGE into the fact table -> recompute them and
+    those that an earlier cycle left pending -> data tests on the models
+    (gate) -> SCD2 snapshot runs.  Returns the refreshed seasons.
     """
     from rivalry.operators.quality import gate
-    from rivalry.plans.loads import stage_from_payloads, upsert_into
+    from rivalry.plans.loads import of_run, stage_from_payloads, upsert_into
     from rivalry.plans.refresh import test_and_snapshot
     from rivalry.sources.payload import payload_report, read_payloads
-    payloads = read_payloads(spark, payload_path, multiline)
+    payloads = of_run(read_payloads(spark, payload_path, multiline), run_date)
     gate(payload_report(payloads))
     stage = materialize(stage_from_payloads(payloads), "stage")
-    seasons = touched_seasons(spark, table_path, stage)
+    seasons = announce(spark, root, touched_seasons(spark, table_path, stage))
     upsert_into(spark, table_path, stage)
     names = refresh_seasons(spark, table_path, root, seasons, stage)
+    VersionedTable(spark, f"{root}/{PENDING}").publish(seasons.limit(0))
     test_and_snapshot(spark, root, MODEL_NAMES, run_ts)
     return names

@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.operators.quality import gate
 from rivalry.operators.upsert import merge_upsert
-from rivalry.plans.guard import bounded_broadcast, materialize
+from rivalry.plans.guard import materialize
 from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
-from rivalry.sources.payload import flatten_payloads, latest_per_key, payload_report, read_payloads
-from rivalry.sources.store import (VersionedTable, clustered, overwrite_partitions,
-                                   read_partitioned, table_unit, with_partition)
+from rivalry.sources.payload import (flatten_payloads, latest_per_key, payload_report, read_payloads,
+                                     requested_date)
+from rivalry.sources.store import (LOCAL_PARTITIONS, VersionedTable, clustered, overwrite_partitions,
+                                   partitions_of, read_partitioned, table_unit, with_partition)
 
-# Touched partitions listed on the driver for static pruning; beyond this the
-# read is pruned by a semi join instead.
-LOCAL_PARTITIONS = 10_000
+
+# Partitions above which a MERGE's output is clustered before it is written.
+CLUSTER_ABOVE = 100
 
 
 def full_refresh(spark: SparkSession, csv_path: str, table_root: str, unit: str = "day") -> int:
@@ -35,6 +36,13 @@ def processing_date(run_date: _dt.date) -> _dt.date:
     return run_date - _dt.timedelta(days=1)
 
 
+def of_run(payloads: DataFrame, run_date: _dt.date | None) -> DataFrame:
+    """The payloads requested for the processing date of a run (all without a date)."""
+    if run_date is None:
+        return payloads
+    return payloads.filter(requested_date(payloads) == F.lit(processing_date(run_date)))
+
+
 def stage_from_payloads(payloads: DataFrame) -> DataFrame:
     """Finished games of a batch of payloads, one row per game key."""
     return latest_per_key(flatten_payloads(payloads))
@@ -52,41 +60,30 @@ def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
     """
     unit = table_unit(spark, table_path)
     staged = materialize(with_partition(stage.select(*GAMES_COLS), unit), "stage")
-    parts, small = bounded_broadcast(staged.select(unit).distinct(), max_rows=LOCAL_PARTITIONS)
-    table = spark.read.parquet(table_path)
-    if small:
-        values = [r[0] for r in parts.collect()]
-        if not values:
-            return 0
-        known = [v for v in values if v is not None]
-        touched = F.col(unit).isin(known) if known else F.lit(False)
-        if len(known) < len(values):
-            touched = touched | F.col(unit).isNull()
-        target = table.filter(touched)          # static partition pruning
-    else:
-        # Many partitions (a backfill): prune with an equi semi join on the
-        # partition column (dynamic partition pruning), nothing collected;
-        # the NULL-date partition is added by a filter if the stage has one.
-        target = table.join(parts.filter(F.col(unit).isNotNull()), unit, "left_semi")
-        if not parts.filter(F.col(unit).isNull()).isEmpty():
-            target = target.unionByName(table.filter(F.col(unit).isNull()))
+    n_parts = staged.select(unit).distinct().count()
+    if not n_parts:
+        return 0
+    target = partitions_of(spark, table_path, staged, max_local=LOCAL_PARTITIONS)
     merged = merge_upsert(target.select(*GAMES_COLS), staged.select(*GAMES_COLS),
                           stage_rows=staged.count())
     # Dynamic overwrite stages its output and replaces the touched partitions
     # only at job commit, after every task has read them; a retried task
     # still reads the original files.
-    overwrite_partitions(with_partition(merged, unit), table_path, unit)
-    return parts.count()
+    # Clustered by partition and key, so a backfill's task writes few partitions.
+    out = with_partition(merged, unit) if n_parts <= CLUSTER_ABOVE else clustered(merged, unit)
+    overwrite_partitions(out, table_path, unit)
+    return n_parts
 
 
 def daily_load(spark: SparkSession, payload_path: str, table_path: str,
-               multiline: bool = False, strict: bool = True) -> int:
+               multiline: bool = False, strict: bool = True, run_date: _dt.date | None = None) -> int:
     """Extract (landed payloads) -> transform -> MERGE into the fact table.
 
     With ``strict`` the payload data tests run first and a failure stops the
-    load before anything is written.
+    load before anything is written.  ``run_date`` is the run's logical date:
+    only the payloads requested for its processing date are loaded.
     """
-    payloads = read_payloads(spark, payload_path, multiline)
+    payloads = of_run(read_payloads(spark, payload_path, multiline), run_date)
     if strict:
         gate(payload_report(payloads))
     return upsert_into(spark, table_path, stage_from_payloads(payloads))

@@ -14,7 +14,7 @@ from rivalry.plans.loads import daily_load, full_refresh, read_table, upsert_int
 from rivalry.schemas import GAMES_COLS
 from rivalry.session import work_dir
 from rivalry.sources.csv import write_games_csv
-from rivalry.sources.payload import flatten_payloads, read_payloads
+from rivalry.sources.payload import LANDED, flatten_payloads, latest_per_key, read_payloads
 from rivalry.sources.store import VersionedTable, write_partitioned
 from rivalry.sources.tables import read_table as read_src
 from rivalry.streaming.ingest import ingest
@@ -72,7 +72,7 @@ def q_payload_flatten(spark, sf_dir):
     """Payload documents (JSON Lines, incl. empty/missing responses) -> staging rows."""
     path = work_dir(spark, "payloads")
     X.payload_documents(spark, sf_dir).write.json(path)
-    return flatten_payloads(read_payloads(spark, path))
+    return flatten_payloads(read_payloads(spark, path)).drop(*LANDED)
 
 
 @register("merge_upsert", O.with_ctes(merge_sql("target", "stage"), games=O.GAMES,
@@ -157,3 +157,57 @@ def q_refresh_incremental(spark, sf_dir):
     upsert_into(spark, fact, stage)
     I.refresh_seasons(spark, fact, root, seasons, stage)
     return I.read_models(spark, root)["team_season_stats"]
+
+
+# Fixed values of the NULL scenario: every fifth game has no date, every
+# seventh no season; the increment moves games into and out of the NULL season.
+NULLED = """
+SELECT CASE WHEN home_score % 5 = 0 THEN NULL ELSE date END AS date,
+       CASE WHEN away_score % 7 = 0 THEN NULL ELSE season END AS season, home_team, away_team, home_score, away_score
+FROM games
+"""
+NULL_STAGE = f"""
+SELECT date, CASE WHEN home_score % 2 = 0 THEN NULL ELSE season END AS season, home_team, away_team,
+       CAST(home_score + 1 AS INTEGER) AS home_score, away_score
+FROM games WHERE date >= DATE '{INCREMENT_FROM}' AND home_score % 5 <> 0 AND away_score % 3 = 0
+"""
+
+
+@register("refresh_incremental_nulls", O.with_ctes(
+    O.team_season_stats_sql("team_results"), games=O.GAMES, target=NULLED, stage=NULL_STAGE,
+    merged=merge_sql("target", "stage"), team_results=O.team_results_sql("merged")))
+def q_refresh_incremental_nulls(spark, sf_dir):
+    """The incremental refresh with facts that have no date or no season, and games that change to and from none."""
+    from rivalry.plans import incremental as I
+    from rivalry.plans.guard import materialize
+    base = work_dir(spark, "incremental-nulls")
+    fact, root = f"{base}/games", f"{base}/models"
+    games = X.games(spark, sf_dir)
+    write_partitioned(games.withColumns({
+        "date": F.when(F.col("home_score") % 5 != 0, F.col("date")),
+        "season": F.when(F.col("away_score") % 7 != 0, F.col("season"))}), fact, unit=FIXTURE_UNIT)
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    stage = materialize(
+        games.filter((F.col("date") >= F.lit(INCREMENT_FROM)) & (F.col("home_score") % 5 != 0) & (F.col("away_score") % 3 == 0))
+        .withColumns({"season": F.when(F.col("home_score") % 2 != 0, F.col("season")),
+                      "home_score": (F.col("home_score") + 1).cast("int")}), "stage")
+    seasons = I.touched_seasons(spark, fact, stage)
+    upsert_into(spark, fact, stage)
+    I.refresh_seasons(spark, fact, root, seasons, stage)
+    return I.read_models(spark, root)["team_season_stats"]
+
+
+@register("payload_latest_file", O.with_ctes(
+    "SELECT date, season, home_team, away_team, CASE WHEN home_score % 3 = 0 THEN CAST(home_score - 9 AS INTEGER) "
+    "ELSE home_score END AS home_score, away_score FROM stage",
+    games=O.GAMES, stage_raw=STAGE_RAW, stage=STAGE_LATEST))
+def q_payload_latest_file(spark, sf_dir):
+    """Corrected documents for the same request dates that land later win, though their scores are smaller."""
+    path = work_dir(spark, "corrected")
+    docs = X.payload_documents(spark, sf_dir)
+    docs.write.json(path)
+    home = F.col("response")[0]["scores"]["home"]["points"]
+    corrected = docs.filter((F.size("response") > 0) & (home % 3 == 0)).withColumn("response", F.transform(
+        "response", lambda g: g.withField("scores.home.points", g["scores"]["home"]["points"] - 9)))
+    corrected.write.mode("append").json(path)
+    return latest_per_key(flatten_payloads(read_payloads(spark, path)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rivalry.functions.dates import parse_ymd
 from rivalry.functions.text import normalize_season, split_request
@@ -12,6 +12,8 @@ from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
 from rivalry.plans.models import build_biggest_win_loss, build_team_season_stats
+from rivalry.session import work_dir
+from rivalry.sources.store import write_partitioned
 
 REQUESTS = """
 SELECT request_id, kind, CASE WHEN request_id % 13 = 0 THEN season_txt ELSE team_txt || ' ' || season_txt END AS text
@@ -80,25 +82,27 @@ RESOLVED_CTES = {"requests": REQUESTS, "alias_dim": ALIAS_NATION, "parsed": PARS
 
 ANSWER_SQL = O.with_ctes(f"""
 SELECT request_id, kind, bad AS status, team, season, NULL::BIGINT AS total_games, NULL::BIGINT AS total_wins,
-       NULL::BIGINT AS total_losses, NULL::VARCHAR AS win_pct_text, NULL::DOUBLE AS avg_ppg, NULL::DATE AS date,
+       NULL::BIGINT AS total_losses, NULL::VARCHAR AS win_pct_text, NULL::DOUBLE AS avg_ppg,
+       NULL::DOUBLE AS avg_ppg_in_wins, NULL::DOUBLE AS avg_ppg_in_losses, NULL::DOUBLE AS avg_points_allowed, NULL::DOUBLE AS avg_points_allowed_in_wins, NULL::DOUBLE AS avg_points_allowed_in_losses, NULL::DATE AS date,
        NULL::VARCHAR AS opponent_team, NULL::VARCHAR AS home_away, NULL::INTEGER AS points_scored,
        NULL::INTEGER AS opponent_score, NULL::VARCHAR AS margin_text
 FROM st WHERE bad IS NOT NULL
 UNION ALL
 SELECT r.request_id, r.kind, CASE WHEN s.team IS NULL THEN 'no_data' ELSE 'ok' END, r.team, r.season,
-       s.total_games, s.total_wins, s.total_losses, {PCT}, s.avg_ppg, NULL, NULL, NULL, NULL, NULL, NULL
+       s.total_games, s.total_wins, s.total_losses, {PCT}, s.avg_ppg,
+       s.avg_ppg_in_wins, s.avg_ppg_in_losses, s.avg_points_allowed, s.avg_points_allowed_in_wins, s.avg_points_allowed_in_losses, NULL, NULL, NULL, NULL, NULL, NULL
 FROM st r LEFT JOIN stats s ON r.team = s.team AND r.season = s.season
 WHERE r.bad IS NULL AND r.kind = 'seasonperformance'
 UNION ALL
 SELECT r.request_id, r.kind, CASE WHEN e.team IS NULL THEN 'no_data' ELSE 'ok' END, r.team, r.season,
-       NULL, NULL, NULL, NULL, NULL, e.date, e.opponent_team, CASE WHEN e.team IS NOT NULL THEN {CAP} END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, e.date, e.opponent_team, CASE WHEN e.team IS NOT NULL THEN {CAP} END,
        e.points_scored, e.opponent_score, '+' || CAST(e.point_margin AS VARCHAR)
 FROM st r LEFT JOIN (SELECT * FROM extremes WHERE margin_type = 'biggest_win') e
   ON r.team = e.team AND r.season = e.season
 WHERE r.bad IS NULL AND r.kind = 'biggestwin'
 UNION ALL
 SELECT r.request_id, r.kind, CASE WHEN e.team IS NULL THEN 'no_data' ELSE 'ok' END, r.team, r.season,
-       NULL, NULL, NULL, NULL, NULL, e.date, e.opponent_team, CASE WHEN e.team IS NOT NULL THEN {CAP} END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, e.date, e.opponent_team, CASE WHEN e.team IS NOT NULL THEN {CAP} END,
        e.points_scored, e.opponent_score, CAST(e.point_margin AS VARCHAR)
 FROM st r LEFT JOIN (SELECT * FROM extremes WHERE margin_type = 'biggest_loss') e
   ON r.team = e.team AND r.season = e.season
@@ -180,6 +184,48 @@ def q_games_on_date(spark, sf_dir):
     return S.games_on_dates(X.date_requests(spark, sf_dir), X.games(spark, sf_dir))
 
 
+@register("games_on_date_pruned", O.with_ctes("""
+SELECT r.request_id, CASE WHEN r.date IS NULL THEN 'invalid_date' WHEN g.date IS NULL THEN 'no_data' ELSE 'ok' END AS status,
+       r.date, g.season, g.home_team, g.home_score, g.away_team, g.away_score
+FROM date_parsed r LEFT JOIN games g ON r.date = g.date""", games=O.GAMES, date_req=DATE_REQ, date_parsed=DATE_PARSED))
+def q_games_on_date_pruned(spark, sf_dir):
+    """The batch date lookup over the partitioned fact table, pruned to the requested dates' partitions."""
+    table = work_dir(spark, "games")
+    write_partitioned(X.games(spark, sf_dir), table, unit="month")
+    return S.games_on_dates_of(spark, table, X.date_requests(spark, sf_dir))
+
+
+@register("games_on_one_date", O.with_ctes(
+    "SELECT season, home_team, home_score, away_team, away_score FROM games WHERE date = (SELECT max(date) FROM games)",
+    games=O.GAMES))
+def q_games_on_one_date(spark, sf_dir):
+    """The single-date lookup, on the last day of the fact table."""
+    games, table = X.games(spark, sf_dir), work_dir(spark, "games")
+    write_partitioned(games, table, unit="month")
+    return S.games_on_date(spark, table, games.agg(F.max("date")).first()[0])
+
+
+def _placed(ordered, *group):
+    """The presented rows with their place: by ids that follow the order of the sorted rows' partitions."""
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return at.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("_at"))).drop("_at")
+
+
+@register("present_stats", O.with_ctes(
+    "SELECT *, CAST(row_number() OVER (PARTITION BY team ORDER BY season NULLS FIRST) AS INTEGER) AS place FROM stats", **MODEL_CTES))
+def q_present_stats(spark, sf_dir):
+    """Season stats in presentation order; ``place`` is a row's place among its team's."""
+    return _placed(S.presented_stats(build_team_season_stats(X.games(spark, sf_dir))), "team")
+
+
+@register("present_extremes", O.with_ctes(
+    "SELECT *, CAST(row_number() OVER (PARTITION BY team, season ORDER BY CASE margin_type WHEN 'biggest_win' THEN 0 ELSE 1 END, "
+    "date NULLS FIRST, opponent_team NULLS FIRST, home_away_status) AS INTEGER) AS place FROM extremes", **MODEL_CTES))
+def q_present_extremes(spark, sf_dir):
+    """Biggest wins before biggest losses; ``place`` is a row's place in its team's season."""
+    return _placed(S.presented_extremes(build_biggest_win_loss(X.games(spark, sf_dir))), "team", "season")
+
+
 @register("game_card", O.with_ctes(
     "SELECT date, home_team, away_team, home_team || ' vs ' || away_team AS title, "
     "'Score: ' || CAST(home_score AS VARCHAR) || ' - ' || CAST(away_score AS VARCHAR) AS score_line FROM games",
@@ -189,7 +235,8 @@ def q_game_card(spark, sf_dir):
 
 
 @register("performance_card", O.with_ctes(
-    f"SELECT team, season, total_games, total_wins, total_losses, {PCT} AS win_pct_text FROM stats", **MODEL_CTES))
+    f"SELECT team, season, total_games, total_wins, total_losses, {PCT} AS win_pct_text, "
+    "avg_ppg, avg_ppg_in_wins, avg_ppg_in_losses, avg_points_allowed, avg_points_allowed_in_wins, avg_points_allowed_in_losses FROM stats", **MODEL_CTES))
 def q_performance_card(spark, sf_dir):
     return S.performance_card(build_team_season_stats(X.games(spark, sf_dir)))
 

@@ -1,8 +1,9 @@
 """Model refresh: build -> data tests (gate) -> snapshots, in that order.
 
-``team_results`` is cut from its lineage once (reliable checkpoint) and
-shared by the three model builds, so the fact table is scanned and
-unpivoted once per refresh.  Models and snapshots are published as new
+The season models and the margin extremes come from one aggregation pass over
+the fact table (``operators.models.season_pass``); only its result, a row per
+team and season, is written and shared.  The rows of the extremes take a
+second, column-pruned pass.  No copy of the fact is written.  Models and snapshots are published as new
 versions of versioned tables (atomic switch); snapshot runs read the
 previous snapshot version and write the next.
 """
@@ -15,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.operators import models as M
 from rivalry.operators import quality as Q
-from rivalry.operators.results import close_contest, team_results
+from rivalry.operators.results import team_results
 from rivalry.operators.snapshot import snapshot
 from rivalry.plans.guard import materialize
+from rivalry.schemas import CLOSE_GAME_STATS_COLS, TEAM_SEASON_STATS_COLS
 from rivalry.sources.store import VersionedTable
 
 # Snapshot configurations of the reference.
@@ -41,12 +43,14 @@ SNAPSHOTS = {
 
 
 def build_models(games: DataFrame) -> dict[str, DataFrame]:
-    results = materialize(team_results(games), "team_results")
-    close = results.filter(close_contest(F.col("points_scored"), F.col("opponent_score")))
+    results = team_results(games)
+    seasons = materialize(M.season_pass(results), "season_pass")
     return {
-        "team_season_stats": M.team_season_stats(results),
-        "close_game_season_stats": M.close_game_season_stats(close),
-        "team_season_biggest_win_loss": M.biggest_win_loss(results),
+        "team_season_stats": seasons.select(*TEAM_SEASON_STATS_COLS),
+        "close_game_season_stats": (seasons.filter(F.col("total_close_games") > 0)
+                                    .select(*CLOSE_GAME_STATS_COLS)),
+        "team_season_biggest_win_loss": M.biggest_win_loss(
+            results, extremes=seasons.select(*M.KEYS, "biggest_win", "biggest_loss")),
     }
 
 

@@ -48,15 +48,16 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _markers(self) -> list[int]:
+    def _markers(self) -> list[tuple[int, bool]]:
+        """``(version, complete)`` of every marker: one without content is a publish that is under way or died."""
         p, fs = _fs(self.spark, f"{self.root}/_versions")
         if not fs.exists(p):
             return []
-        return sorted(int(st.getPath().getName()) for st in fs.listStatus(p)
+        return sorted((int(st.getPath().getName()), st.getLen() > 0) for st in fs.listStatus(p)
                       if st.getPath().getName().isdigit())
 
     def current_version(self) -> int | None:
-        versions = self._markers()
+        versions = [n for n, complete in self._markers() if complete]
         return versions[-1] if versions else None
 
     def version_path(self, n: int) -> str:
@@ -72,12 +73,14 @@ class VersionedTable:
         n = self.current_version() if version is None else version
         if n is None:
             raise FileNotFoundError(f"table {self.root} has no published version")
-        df = self.spark.read.parquet(self.version_path(n))
-        return df.drop(*[c for c in ("day", "month") if c in df.columns])
+        path = self.version_path(n)
+        df = self.spark.read.parquet(path)
+        unit = partition_unit(self.spark, path)
+        return df.drop(unit) if unit else df
 
     def publish(self, df: DataFrame, partition_by: str | None = None) -> int:
         """Write ``df`` as the next version, then publish it atomically."""
-        n = (self.current_version() or 0) + 1
+        n = max([0, *(k for k, _ in self._markers())]) + 1
         name = f"v-{n:08d}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
@@ -129,20 +132,58 @@ def write_partitioned(df: DataFrame, path: str, unit: str = "day", date_col: str
     clustered(df, unit, date_col, files).write.mode("overwrite").partitionBy(unit).parquet(path)
 
 
-def table_unit(spark: SparkSession, path: str) -> str:
-    """Partition unit of an existing table, from its first-level directories."""
+def partition_unit(spark: SparkSession, path: str) -> str | None:
+    """The unit that a table's first-level directories are named after, if any."""
     p, fs = _fs(spark, path)
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         for unit in UNITS:
             if name.startswith(f"{unit}="):
                 return unit
-    raise ValueError(f"{path} is not a date-partitioned table")
+    return None
+
+
+def table_unit(spark: SparkSession, path: str) -> str:
+    """Partition unit of an existing table, from its first-level directories."""
+    unit = partition_unit(spark, path)
+    if unit is None:
+        raise ValueError(f"{path} is not a date-partitioned table")
+    return unit
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.drop(*[c for c in PARTITION_COLS if c in df.columns and c != "date"])
+    unit = partition_unit(spark, path)
+    return df.drop(unit) if unit else df
+
+
+# Touched partitions listed on the driver for static pruning; beyond this the
+# scan is pruned to their range and the rest is left to a semi join.
+LOCAL_PARTITIONS = 10_000
+
+
+def partitions_of(spark: SparkSession, path: str, dates: DataFrame, date_col: str = "date",
+                  max_local: int = LOCAL_PARTITIONS) -> DataFrame:
+    """Rows of a date-partitioned table in the partitions that ``dates`` falls into (the NULL one included).
+
+    The predicate stands on the partition column itself, as a list of values
+    or, for more than ``max_local`` of them, as their range, so the scan never
+    lists other partitions.
+    """
+    unit = table_unit(spark, path)
+    values = dates.select(partition_value(F.col(date_col), unit).alias(unit)).distinct()
+    table = spark.read.parquet(path)
+    local = values.limit(max_local + 1).collect()
+    if len(local) <= max_local:
+        known = [r[0] for r in local if r[0] is not None]
+        touched = F.col(unit).isin(known) if known else F.lit(False)
+        if len(known) < len(local):
+            touched = touched | F.col(unit).isNull()
+        return table.filter(touched)
+    low, high, nulls = values.agg(F.min(unit), F.max(unit), F.max(F.col(unit).isNull())).first()
+    ranged = table.filter(F.col(unit).between(F.lit(low), F.lit(high)))
+    found = ranged.join(values.filter(F.col(unit).isNotNull()), unit, "left_semi").select(*table.columns)
+    return found.unionByName(table.filter(F.col(unit).isNull())) if nulls else found
 
 
 def overwrite_partitions(df_with_part: DataFrame, path: str, unit: str) -> None:

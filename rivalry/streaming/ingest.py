@@ -15,16 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rivalry.operators.quality import gate
 from rivalry.plans.loads import stage_from_payloads, upsert_into
-from rivalry.sources.payload import payload_report
+from rivalry.sources.payload import payload_report, with_landing
 from rivalry.schemas import PAYLOAD
 
 
 def payload_stream(spark: SparkSession, landing_dir: str, multiline: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(PAYLOAD).option("multiLine", multiline)
+    r = spark.readStream.schema(PAYLOAD).option("multiLine", multiline).option("mode", "FAILFAST")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(landing_dir)
+    return with_landing(r.json(landing_dir))
 
 
 def ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_location: str,

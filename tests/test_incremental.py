@@ -52,7 +52,9 @@ def test_refresh_reads_only_partitions_in_range(spark, tmpdir_spark):
         I.refresh_seasons(spark, fact_path, root, spark.createDataFrame([("2019-2020",)], "season string"))
     finally:
         mod.build_models = orig
-    assert "PartitionFilters: [isnotnull(month" in seen["plan"]
+    # The season's months and the partition of rows without a date, stated on the partition column.
+    filters = seen["plan"].split("PartitionFilters: [")[1].split("], ")[0]
+    assert "isnull(month" in filters and "2019-11-01" in filters and "2021" not in filters
 
 
 DOC = ('{{"parameters": {{"date": "{d}"}}, "response": [{{"status": {{"long": "Finished"}}, '
@@ -94,3 +96,45 @@ def test_season_ranges_only_widen(spark):
     got = {r.season: (r.first_date, r.last_date)
            for r in I.widen_ranges(ranges, stage.select("season", "date")).collect()}
     assert got == {"s": (d(2020, 1, 1), d(2020, 3, 1)), "t": (d(2021, 1, 1), d(2021, 1, 1))}
+
+
+def test_rows_without_date_or_season(spark, tmpdir_spark):
+    fact_path, root, full_root = tmpdir_spark("fact"), tmpdir_spark("models"), tmpdir_spark("full")
+    write_partitioned(games_df(spark, [
+        ("2019-11-01", "2019-2020", "A", "B", 100, 90), (None, "2019-2020", "A", "B", 70, 60),
+        ("2019-12-01", None, "A", "B", 80, 70), ("2019-12-02", None, "B", "C", 80, 70)]), fact_path, unit="day")
+    I.publish_all(spark, I.current_fact(spark, fact_path), root)
+    # One game leaves the NULL season, one joins the dated one.
+    stage = games_df(spark, [("2019-12-02", "2019-2020", "B", "C", 81, 70), ("2019-12-03", None, "A", "C", 5, 4)])
+    seasons = I.touched_seasons(spark, fact_path, stage)
+    upsert_into(spark, fact_path, stage)
+    I.refresh_seasons(spark, fact_path, root, seasons, stage)
+    I.publish_all(spark, I.current_fact(spark, fact_path), full_root)
+    inc, full = I.read_models(spark, root), I.read_models(spark, full_root)
+    for name in I.MODEL_NAMES:
+        assert rows(inc[name]) == rows(full[name]), name
+
+
+def test_a_cycle_that_died_is_made_up_for(spark, tmpdir_spark):
+    fact_path, root = tmpdir_spark("fact"), tmpdir_spark("models")
+    write_partitioned(games_df(spark, [("2019-11-01", "2019-2020", "A", "B", 1, 2)]), fact_path, unit="day")
+    I.publish_all(spark, I.current_fact(spark, fact_path), root)
+    stage = games_df(spark, [("2019-11-01", "2020-2021", "A", "B", 1, 2)])
+    I.announce(spark, root, I.touched_seasons(spark, fact_path, stage))
+    upsert_into(spark, fact_path, stage)
+    # Dies here; the retry sees the new season only, but both are pending.
+    again = I.announce(spark, root, I.touched_seasons(spark, fact_path, stage))
+    assert sorted(r[0] for r in again.collect()) == ["2019-2020", "2020-2021"]
+
+
+def test_touched_seasons_scan_names_the_partitions(spark, tmpdir_spark):
+    from rivalry.sources.store import partitions_of
+    path = tmpdir_spark("fact")
+    write_partitioned(games_df(spark, [(f"2019-11-{d:02d}", "2019-2020", "A", "B", 1, 2) for d in range(1, 21)]
+                               + [(None, "2019-2020", "A", "B", 3, 4)]), path, unit="day")
+    stage = games_df(spark, [("2019-11-03", "2019-2020", "A", "B", 1, 2)])
+    plan = partitions_of(spark, path, stage)._jdf.queryExecution().executedPlan().toString()
+    assert "2019-11-03" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    many = partitions_of(spark, path, games_df(spark, [("2019-11-03", "s", "A", "B", 1, 2), ("2019-11-05", "s", "A", "B", 1, 2),
+                                                       (None, "s", "A", "B", 1, 2)]), max_local=1)
+    assert sorted(str(r["date"]) for r in many.collect()) == ["2019-11-03", "2019-11-05", "None"]

@@ -83,7 +83,8 @@ def test_payload_flatten_multiline_filters_and_shifts(spark, tmpdir_spark):
     write_text(f"{base}/a.json", PAYLOAD)
     write_text(f"{base}/b.json", '{"parameters": {"date": "2024-01-06"}, "response": []}')
     write_text(f"{base}/c.json", '{"parameters": {"date": "2024-01-07"}}')
-    rows = sorted(tuple(r) for r in flatten_payloads(read_payloads(spark, base, multiline=True)).collect())
+    rows = sorted(tuple(r) for r in flatten_payloads(read_payloads(spark, base, multiline=True))
+                  .drop("file_time", "file_name").collect())
     assert rows == [(dt.date(2024, 1, 4), "2023-2024", "A", "B", 100, 99, dt.date(2024, 1, 5)),
                     (dt.date(2024, 1, 5), "2023-2024", "E", "F", 90, 91, dt.date(2024, 1, 5))]
 
@@ -130,3 +131,73 @@ def test_csv_gzip_read_in_place(spark, tmpdir_spark):
         f.write(HEADER + "2020-01-01,2019-2020,A,B,100,90\n2020-01-02,2019-2020,B,A,80,85\n")
     rows = sorted((r.home_team, r.home_score) for r in read_games_csv(spark, base).collect())
     assert rows == [("A", 100), ("B", 80)]
+
+
+@pytest.mark.parametrize("old, new", [
+    ('"points": 100', '"points": "n/a"'), ('"points": 100', '"points": "101"'), ('"season": 2023', '"season": "x"')])
+def test_a_value_of_another_type_stops_the_load(spark, tmpdir_spark, old, new):
+    from rivalry.plans.loads import daily_load, read_table
+    from rivalry.sources.store import write_partitioned
+    base, table = local(tmpdir_spark("landing")), tmpdir_spark("games")
+    write_text(f"{base}/a.json", PAYLOAD.replace(old, new))
+    write_partitioned(games_df(spark, [("2024-01-01", "s", "A", "B", 1, 2)]), table)
+    with pytest.raises(Exception):
+        daily_load(spark, base, table, multiline=True)
+    assert read_table(spark, table).count() == 1
+
+
+def test_a_document_cut_short_stops_the_load(spark, tmpdir_spark):
+    from rivalry.plans.loads import daily_load
+    base = local(tmpdir_spark("landing"))
+    write_text(f"{base}/a.json", PAYLOAD[:-40])
+    with pytest.raises(Exception):
+        daily_load(spark, base, tmpdir_spark("games"), multiline=True)
+
+
+@pytest.mark.parametrize("old, new", [('"parameters": {"date": "2024-01-05"}', '"parameters": {}'),
+                                      ('"parameters": {"date": "2024-01-05"}', '"parameters": {"date": "soon"}'),
+                                      ('"status": {"long": "Scheduled"}', '"status": {}')])
+def test_gate_counts_missing_request_date_and_status(spark, tmpdir_spark, old, new):
+    from rivalry.operators.quality import QualityGateError, gate
+    from rivalry.sources.payload import payload_report
+    base = local(tmpdir_spark("landing"))
+    assert old in PAYLOAD
+    write_text(f"{base}/a.json", PAYLOAD.replace(old, new))
+    with pytest.raises(QualityGateError):
+        gate(payload_report(read_payloads(spark, base, multiline=True)))
+
+
+def test_of_two_documents_for_one_date_the_later_file_wins(spark, tmpdir_spark):
+    base = local(tmpdir_spark("landing"))
+    write_text(f"{base}/z.json", PAYLOAD.replace('"points": 100', '"points": 110'))
+    write_text(f"{base}/a.json", PAYLOAD.replace('"points": 100', '"points": 101'))
+    os.utime(f"{base}/z.json", (1_700_000_000, 1_700_000_000))
+    os.utime(f"{base}/a.json", (1_700_000_100, 1_700_000_100))
+    got = latest_per_key(flatten_payloads(read_payloads(spark, base, multiline=True))).collect()
+    assert {r.home_team: r.home_score for r in got} == {"A": 101, "E": 90}
+
+
+def test_a_run_loads_its_processing_date(spark, tmpdir_spark):
+    from rivalry.plans.loads import daily_load, read_table
+    from rivalry.sources.store import write_partitioned
+    base, table = local(tmpdir_spark("landing")), tmpdir_spark("games")
+    write_text(f"{base}/a.json", PAYLOAD)
+    write_text(f"{base}/b.json", PAYLOAD.replace("2024-01-05", "2024-02-05"))
+    write_partitioned(games_df(spark, [("2024-01-01", "s", "A", "B", 1, 2)]), table)
+    daily_load(spark, base, table, multiline=True, run_date=dt.date(2024, 1, 6))
+    assert {str(r.date) for r in read_table(spark, table).collect()} == {"2024-01-01", "2024-01-04", "2024-01-05"}
+
+
+def test_an_empty_marker_is_no_version(spark, tmpdir_spark):
+    root = tmpdir_spark("vt")
+    t = VersionedTable(spark, root)
+    t.publish(games_df(spark, [("2020-01-01", "s", "A", "B", 1, 2)]))
+    open(local(f"{root}/_versions/2"), "w").close()  # a publish that died between create and write
+    assert t.current_version() == 1 and t.read().count() == 1
+    assert t.publish(games_df(spark, [("2020-01-02", "s", "A", "B", 3, 4)] * 2)) == 3 and t.read().count() == 2
+
+
+def test_real_columns_named_like_a_unit_are_kept(spark, tmpdir_spark):
+    t = VersionedTable(spark, tmpdir_spark("vt"))
+    t.publish(spark.createDataFrame([(1, "May")], "id int, month string"))
+    assert t.read().columns == ["id", "month"]
