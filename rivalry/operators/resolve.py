@@ -82,7 +82,9 @@ def alias_dim_from_lists(canon: DataFrame, canonical: str = "canonical",
     """
     e = canon.select(F.col(canonical).alias("canonical"), F.col(order).alias("cord"),
                      F.posexplode(aliases).alias("pos", "alias"))
-    e = e.withColumn("ord", F.col("cord").cast("bigint") * ORD_STRIDE + F.col("pos"))
+    inside = F.when(F.col("pos") < ORD_STRIDE, F.col("pos")).otherwise(
+        F.raise_error(F.lit(f"a list has more than {ORD_STRIDE} aliases")).cast("int"))
+    e = e.withColumn("ord", F.col("cord").cast("bigint") * ORD_STRIDE + inside)
     return (e.groupBy("alias").agg(F.min("ord").alias("ord"),
                                    F.max_by("canonical", "ord").alias("canonical"))
              .select("alias", "canonical", "ord"))
@@ -94,10 +96,17 @@ def reference_alias_dim(spark) -> DataFrame:
     return alias_dim_from_lists(canon)
 
 
+def one_per_alias(alias_dim: DataFrame) -> DataFrame:
+    """One row per alias: of repeated aliases the first in dictionary order (NULL orders first, then by name)."""
+    first = F.min(F.struct(F.col("ord").isNotNull().alias("has"), "ord", "canonical"))
+    return (alias_dim.groupBy("alias").agg(first.alias("_f"))
+            .select("alias", F.col("_f.canonical").alias("canonical"), F.col("_f.ord").alias("ord")))
+
+
 def exact_lookup(df: DataFrame, col: str, alias_dim: DataFrame, out: str = "canonical") -> DataFrame:
     """Case-folded exact alias lookup (left join; NULL when unknown)."""
-    dim, _ = bounded_broadcast(alias_dim.select(F.col("alias").alias("_alias"),
-                                                F.col("canonical").alias(out)))
+    dim, _ = bounded_broadcast(one_per_alias(alias_dim).select(F.col("alias").alias("_alias"),
+                                                               F.col("canonical").alias(out)))
     return df.join(dim, F.lower(F.col(col)) == F.col("_alias"), "left").drop("_alias")
 
 
@@ -127,7 +136,7 @@ def dictionary(alias_dim: DataFrame, local_limit: int = LOCAL_DICT):
     chunk in dictionary order and joins exactly through ``bounded_broadcast``.
     """
     spark = alias_dim.sparkSession
-    dim = alias_dim.select("alias", "canonical", "ord")
+    dim = one_per_alias(alias_dim)
     head = dim.limit(local_limit + 1).collect()
     if len(head) <= local_limit:
         ordered = sorted(head, key=_sort_key)
@@ -135,7 +144,7 @@ def dictionary(alias_dim: DataFrame, local_limit: int = LOCAL_DICT):
         exact = F.broadcast(spark.createDataFrame(pairs, "_alias string, canonical string"))
         return exact, [pairs[i:i + CHUNK] for i in range(0, len(pairs), CHUNK)]
     exact, _ = bounded_broadcast(dim.select(F.col("alias").alias("_alias"), "canonical"))
-    return exact, _chunks(alias_dim)
+    return exact, _chunks(dim)
 
 
 def _lev_best(q: Column, chunk: list[tuple[str, str]]) -> Column:
@@ -186,9 +195,11 @@ def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
     if single:
         exact, rest = None, inputs
     else:
-        exact = (inputs.join(dim, F.col("_q") == F.col("_alias"), "inner")
+        # Empty text is no exact hit: both scorers give it 0.
+        same = (F.col("_q") == F.col("_alias")) & (F.col("_q") != "")
+        exact = (inputs.join(dim, same, "inner")
                  .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")))
-        rest = inputs.join(dim, F.col("_q") == F.col("_alias"), "left_anti")
+        rest = inputs.join(dim, same, "left_anti")
     per_chunk = []
     for i, chunk in enumerate(chunks):
         if scorer == "levenshtein":
@@ -215,8 +226,11 @@ def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
     resolved = resolved.select(
         "_q", F.when(F.col("_score") > F.lit(threshold), F.col("_canon")).alias(out),
         F.greatest(F.col("_score"), F.lit(0.0)).alias("_score"))
-    res, _ = bounded_broadcast(resolved)
-    joined = df.join(res, F.lower(F.col(col)).eqNullSafe(F.col("_q")), "left").drop("_q")
+    # NULL inputs stay out of the join (they would all meet on one key): what
+    # they get is the score of no match.
+    res, _ = bounded_broadcast(resolved.filter(F.col("_q").isNotNull()))
+    joined = df.join(res, F.lower(F.col(col)) == F.col("_q"), "left").drop("_q")
+    joined = joined.withColumn("_score", F.coalesce("_score", F.lit(0.0)))
     if score_col:
         return joined.withColumnRenamed("_score", score_col)
     return joined.drop("_score")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivalry.plans.guard import bounded_broadcast, materialize
 from rivalry.plans.refresh import build_models
 from rivalry.schemas import GAME_KEY, GAMES_COLS
-from rivalry.sources.store import (VersionedTable, partition_value, partitions_of, read_partitioned,
+from rivalry.sources.store import (VersionedTable, current_folder, partition_value, partitions_of, read_partitioned,
                                    table_unit)
 
 RANGES = "season_ranges"
@@ -71,6 +71,7 @@ def publish_all(spark: SparkSession, fact: DataFrame, root: str) -> None:
 def refresh_seasons(spark: SparkSession, table_path: str, root: str, seasons: DataFrame,
                     stage: DataFrame | None = None) -> list:
     """Recompute the models for ``seasons`` and republish; returns the seasons."""
+    table_path = current_folder(spark, table_path)
     unit = table_unit(spark, table_path)
     ranges_table = VersionedTable(spark, f"{root}/{RANGES}")
     ranges = ranges_table.read()

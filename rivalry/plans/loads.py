@@ -13,7 +13,7 @@ from rivalry.schemas import GAMES_COLS
 from rivalry.sources.csv import read_games_csv
 from rivalry.sources.payload import (flatten_payloads, latest_per_key, payload_report, read_payloads,
                                      requested_date)
-from rivalry.sources.store import (LOCAL_PARTITIONS, VersionedTable, clustered, overwrite_partitions,
+from rivalry.sources.store import (LOCAL_PARTITIONS, VersionedTable, clustered, current_folder, overwrite_partitions,
                                    partitions_of, read_partitioned, table_unit, with_partition)
 
 
@@ -56,8 +56,11 @@ def upsert_into(spark: SparkSession, table_path: str, stage: DataFrame) -> int:
     only those are rewritten (dynamic partition overwrite).  The stage is
     written to the shared folder first (measured once, lineage cut); the
     overwrite commits the touched partitions only after all of its tasks
-    have read them.  An empty stage writes nothing.
+    have read them.  An empty stage writes nothing.  ``table_path`` may be the
+    root of a versioned table (a historical load): its published version is
+    merged into.
     """
+    table_path = current_folder(spark, table_path)
     unit = table_unit(spark, table_path)
     staged = materialize(with_partition(stage.select(*GAMES_COLS), unit), "stage")
     n_parts = staged.select(unit).distinct().count()

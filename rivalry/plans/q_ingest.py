@@ -102,6 +102,17 @@ def q_daily_load(spark, sf_dir):
     return read_table(spark, f"{base}/games")
 
 
+@register("historical_then_daily", DAILY_SQL)
+def q_historical_then_daily(spark, sf_dir):
+    """Historical CSV load, then the daily payloads merged into the same table."""
+    base = work_dir(spark, "history")
+    write_games_csv(X.merge_target(spark, sf_dir), f"{base}/csv")
+    full_refresh(spark, f"{base}/csv", f"{base}/games", unit=FIXTURE_UNIT)
+    X.payload_documents(spark, sf_dir).write.json(f"{base}/landing")
+    daily_load(spark, f"{base}/landing", f"{base}/games")
+    return read_table(spark, f"{base}/games")
+
+
 @register("stream_ingest", DAILY_SQL)
 def q_stream_ingest(spark, sf_dir):
     """The daily load as an availableNow file stream with foreachBatch MERGE."""

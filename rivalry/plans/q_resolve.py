@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rivalry.operators.resolve import alias_dim_from_lists, resolve_names
 from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
@@ -49,3 +51,25 @@ def q_fuzzy_resolve_weighted(spark, sf_dir):
     """Weighted-ratio scorer (pandas UDF); no SQL oracle, unit-tested on known values."""
     return resolve_names(X.fuzzy_inputs(spark, sf_dir), "input", X.alias_dim_part(spark, sf_dir),
                          scorer="weighted")
+
+
+DUP_DIM = """
+SELECT alias, arg_min(canonical, ord) AS canonical, min(ord) AS ord FROM (
+  SELECT p_name AS alias, p_name AS canonical, p_name || '#0' AS ord FROM (SELECT DISTINCT p_name FROM part)
+  UNION ALL SELECT p_name, 'again ' || p_name, p_name || '#1' FROM (SELECT DISTINCT p_name FROM part)
+  UNION ALL SELECT '', 'nothing', '#') GROUP BY alias
+"""
+
+
+@register("fuzzy_resolve_dup_alias", O.with_ctes(
+    "SELECT i.input, b.canonical, b.score FROM fin i JOIN best b ON lower(i.input) = b.q",
+    dup_dim=DUP_DIM, fin=FUZZY_IN, inp="SELECT DISTINCT lower(input) AS q FROM fin",
+    best=best_alias_sql("inp", "dup_dim")))
+def q_fuzzy_resolve_dup_alias(spark, sf_dir):
+    """A dictionary that lists aliases twice and the empty one: the first entry counts."""
+    names = X.alias_dim_part(spark, sf_dir).filter(F.col("ord").endswith("#0") & (F.col("alias") == F.col("canonical")))
+    twice = names.select("alias", F.concat(F.lit("again "), "canonical").alias("canonical"),
+                         F.regexp_replace("ord", "#0$", "#1").alias("ord"))
+    empty = spark.createDataFrame([("", "nothing", "#")], "alias string, canonical string, ord string")
+    return resolve_names(X.fuzzy_inputs(spark, sf_dir), "input", names.unionByName(twice).unionByName(empty),
+                         scorer="levenshtein")

@@ -132,6 +132,12 @@ def write_partitioned(df: DataFrame, path: str, unit: str = "day", date_col: str
     clustered(df, unit, date_col, files).write.mode("overwrite").partitionBy(unit).parquet(path)
 
 
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table's data: the published version of a versioned table, else the path itself."""
+    table = VersionedTable(spark, path)
+    return table.version_path(table.current_version()) if path_exists(spark, f"{table.root}/_versions") else path
+
+
 def partition_unit(spark: SparkSession, path: str) -> str | None:
     """The unit that a table's first-level directories are named after, if any."""
     p, fs = _fs(spark, path)
@@ -152,6 +158,7 @@ def table_unit(spark: SparkSession, path: str) -> str:
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    path = current_folder(spark, path)
     df = spark.read.parquet(path)
     unit = partition_unit(spark, path)
     return df.drop(unit) if unit else df
@@ -170,6 +177,7 @@ def partitions_of(spark: SparkSession, path: str, dates: DataFrame, date_col: st
     or, for more than ``max_local`` of them, as their range, so the scan never
     lists other partitions.
     """
+    path = current_folder(spark, path)
     unit = table_unit(spark, path)
     values = dates.select(partition_value(F.col(date_col), unit).alias(unit)).distinct()
     table = spark.read.parquet(path)

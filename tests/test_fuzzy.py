@@ -94,3 +94,17 @@ def test_documented_example_values():
     assert Z.token_sort_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100.0
     assert Z.token_set_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100.0
     assert Z.wratio("this is a test", "this is a new test!!!") == pytest.approx(85.5)
+
+
+@pytest.mark.parametrize("scorer", ["levenshtein", "weighted"])
+def test_one_rule_at_every_dictionary_size(spark, scorer, monkeypatch):
+    from rivalry.operators import resolve as R
+    dim = spark.createDataFrame([("ab", "X", 0), ("ab", "Y", 1), ("", "E", 2), ("cd", "Z", 3), ("abcd", "W", 4)],
+                                "alias string, canonical string, ord bigint")
+    df = spark.createDataFrame([("AB",), ("",), (None,), ("abc",), ("zz",), ("AB",)], "t string")
+    found = []
+    for chunk in (5000, 1):
+        monkeypatch.setattr(R, "CHUNK", chunk)
+        found.append(sorted(map(repr, resolve_names(df, "t", dim, scorer=scorer).collect())))
+    assert found[0] == found[1] and len(found[0]) == 6
+    assert sum("t='AB', canonical='X', score=100.0" in r for r in found[0]) == 2 and not any("canonical='E'" in r for r in found[0])
