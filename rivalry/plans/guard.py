@@ -5,16 +5,21 @@ it:
 
 1. up to ``local_rows`` rows: the rows are collected as Arrow batches (one
    job — the same trip a broadcast makes anyway) and re-enter the plan as
-   local data, so the side is computed once;
+   local data;
 2. otherwise the side is written as a parquet table in the shared work
    folder (lineage cut, survives executor loss) and counted from the file
-   footers; broadcast if at most ``max_rows`` rows;
+   footers; broadcast if at most ``max_rows`` rows and, at the measured width
+   of its rows, at most ``max_bytes``;
 3. above that the side is returned unhinted and Catalyst/AQE plan a shuffle
    join, with AQE skew-join splitting hot keys.
+
+The side is held while it is measured, so step 2 writes what step 1 has
+computed instead of computing it again.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from rivalry.session import work_dir
@@ -24,6 +29,8 @@ from rivalry.session import work_dir
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 # Rows small enough to collect directly (Arrow keeps 100 k rows cheap).
 DEFAULT_LOCAL_ROWS = 100_000
+# Bytes allowed on a broadcast side, whatever its rows.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -35,21 +42,34 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       local_rows: int = DEFAULT_LOCAL_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
+                      known_rows: int | None = None,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Return ``(frame, broadcasted)``; see the module docstring.
 
     ``known_rows`` is for a side that is already a written table whose row
-    count is known: it is used as is, without another measurement.
+    count is known: only the width of its rows is measured.
     """
     spark = df.sparkSession
     if known_rows is not None:
-        return (F.broadcast(df), True) if 0 < max_rows and known_rows <= max_rows else (df, False)
+        fits = 0 < max_rows and known_rows <= max_rows and known_rows * row_width(df) <= max_bytes
+        return (F.broadcast(df), True) if fits else (df, False)
     cap = min(local_rows, max_rows)
-    if cap > 0:
-        head = df.limit(cap + 1).toArrow()
-        if head.num_rows <= cap:
-            return F.broadcast(spark.createDataFrame(head, schema=df.schema)), True
-    frozen = materialize(df, "side")
-    if max_rows > 0 and frozen.count() <= max_rows:
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        if cap > 0:
+            head = held.limit(cap + 1).toArrow()
+            if head.num_rows <= cap and head.nbytes <= max_bytes:
+                return F.broadcast(spark.createDataFrame(head, schema=df.schema)), True
+        frozen = materialize(held, "side")
+    finally:
+        held.unpersist()
+    rows = frozen.count()
+    if 0 < max_rows and rows <= max_rows and rows * row_width(frozen) <= max_bytes:
         return F.broadcast(frozen), True
     return frozen, False
+
+
+def row_width(written: DataFrame, sample: int = 1_000) -> float:
+    """Bytes of a row of a written table, by the mean of its first rows."""
+    head = written.limit(sample).toArrow()
+    return head.nbytes / max(head.num_rows, 1)
