@@ -34,7 +34,7 @@ CSV_OPTIONS = {
 def read_games_csv(spark: SparkSession, path: str, schema: StructType = GAMES) -> DataFrame:
     """Read match CSV files (``.csv`` or compressed) with the strict options above."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"The file {path} does not exist.")
+        raise FileNotFoundError(f"no match CSV at {path}")
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
