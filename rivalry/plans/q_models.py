@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rivalry.functions.rounding import round_ratio
 from rivalry.operators import models as M
-from rivalry.operators.results import team_results, outcome
+from rivalry.operators.results import outcome, point_margin, team_results
 from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
@@ -16,6 +17,12 @@ G = {"games": O.GAMES}
 GT = {"games": O.GAMES, "team_results": O.team_results_sql("games")}
 
 
+@register("derive_games", O.with_ctes("SELECT * FROM games", **G))
+def q_derive_games(spark, sf_dir):
+    """The match fact itself, derived from lineitem (the other queries read it as a stored table)."""
+    return X.derive_games(spark, sf_dir)
+
+
 @register("team_results", O.with_ctes("SELECT * FROM team_results", **GT))
 def q_team_results(spark, sf_dir):
     return team_results(X.games(spark, sf_dir))
@@ -62,8 +69,7 @@ def q_close_games(spark, sf_dir):
     "FROM team_results", **GT))
 def q_point_margin(spark, sf_dir):
     r = team_results(X.games(spark, sf_dir))
-    return r.select("team", "season", "date", "opponent_team",
-                    (F.col("points_scored") - F.col("opponent_score")).alias("point_margin"))
+    return point_margin(r).select("team", "season", "date", "opponent_team", "point_margin")
 
 
 _DRAW_FLAGS = "SUM(CASE WHEN result = 'draw' THEN 1 ELSE 0 END)"
@@ -76,12 +82,12 @@ _DRAW_POINTS = "SUM(CASE WHEN result = 'draw' THEN points_scored ELSE 0 END)"
     "FROM team_results GROUP BY team, season", **GT))
 def q_safe_ratio(spark, sf_dir):
     """SUM(x) / NULLIF(SUM(flag), 0): groups without a draw give NULL, not 0."""
-    from rivalry.functions.rounding import round_ratio_sql
-    r = team_results(X.games(spark, sf_dir))
-    flags = "sum(CASE WHEN result = 'draw' THEN 1 ELSE 0 END)"
-    pts = "sum(CASE WHEN result = 'draw' THEN points_scored ELSE 0 END)"
-    return r.groupBy("team", "season").agg(
-        F.expr(flags).alias("draws"), F.expr(round_ratio_sql(pts, flags, 2)).alias("avg_ppg_in_draws"))
+    draw = F.col("result") == "draw"
+    sums = (team_results(X.games(spark, sf_dir)).groupBy("team", "season")
+            .agg(F.sum(F.when(draw, 1).otherwise(0)).alias("draws"),
+                 F.sum(F.when(draw, F.col("points_scored")).otherwise(0)).alias("_points")))
+    return sums.select("team", "season", "draws",
+                       round_ratio(F.col("_points"), F.col("draws"), 2).alias("avg_ppg_in_draws"))
 
 
 @register("margin_extremes", O.with_ctes(
