@@ -5,7 +5,7 @@ the scorer with an SQL oracle.  ``wratio`` is the weighted ratio of the
 common fuzzy-matching libraries (recalled from their public documentation):
 the best of the plain indel ratio, token-sort/token-set ratios scaled by
 0.95, and partial (best-window) ratios scaled by 0.9 (or 0.6 when one string
-is 8x longer).  It runs inside an Arrow pandas UDF over distinct inputs.
+is more than 8x longer).  It runs inside an Arrow pandas UDF over distinct inputs.
 """
 
 from __future__ import annotations
@@ -129,7 +129,11 @@ def partial_token_ratio(a: str, b: str) -> float:
     sa, sb = set(ta), set(tb)
     if sa & sb:
         return 100.0
-    return partial_ratio(" ".join(sorted(ta)), " ".join(sorted(tb)))
+    best = partial_ratio(" ".join(sorted(ta)), " ".join(sorted(tb)))
+    if len(sa) < len(ta) or len(sb) < len(tb):
+        # Repeated tokens: the distinct ones are compared too.
+        best = max(best, partial_ratio(" ".join(sorted(sa)), " ".join(sorted(sb))))
+    return best
 
 
 def wratio(a: str, b: str) -> float:
@@ -142,7 +146,7 @@ def wratio(a: str, b: str) -> float:
     end = ratio(a, b)
     if len_ratio < 1.5:
         return max(end, token_ratio(a, b) * unbase)
-    partial_scale = 0.9 if len_ratio < 8.0 else 0.6
+    partial_scale = 0.9 if len_ratio <= 8.0 else 0.6
     end = max(end, partial_ratio(a, b) * partial_scale)
     return max(end, partial_token_ratio(a, b) * unbase * partial_scale)
 

@@ -108,3 +108,10 @@ def test_one_rule_at_every_dictionary_size(spark, scorer, monkeypatch):
         found.append(sorted(map(repr, resolve_names(df, "t", dim, scorer=scorer).collect())))
     assert found[0] == found[1] and len(found[0]) == 6
     assert sum("t='AB', canonical='X', score=100.0" in r for r in found[0]) == 2 and not any("canonical='E'" in r for r in found[0])
+
+
+def test_repeated_tokens_are_compared_once_too():
+    assert Z.partial_token_ratio("la la", "lb") == max(Z.partial_ratio("la la", "lb"), Z.partial_ratio("la", "lb"))
+    # Exactly eight times as long still counts as 0.9.
+    assert Z.wratio("ab", "ab" + "x" * 14) == pytest.approx(90.0)
+    assert Z.wratio("ab", "ab" + "x" * 15) == pytest.approx(60.0)
