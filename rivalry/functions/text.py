@@ -30,13 +30,22 @@ def normalize_season(text: Column) -> Column:
     * an integer      -> ``"{y}-{y+1}"`` (``' 2016 '``, ``'+2016'``, ``'2_016'``);
     * anything else   -> NULL.
     """
-    digits = F.regexp_replace(text, r"[\s+_]", "")
-    year = digits.try_cast("decimal(38,0)")
-    as_label = F.concat(year.cast("string"), F.lit("-"), (year + F.lit(1)).cast("string"))
+    year = F.regexp_replace(F.regexp_replace(text, r"[\s+_]", ""), "^0+(?=.)", "")
+    as_label = F.concat(year, F.lit("-"), _next_number(year))
     return (F.when(F.instr(text, "-") > 0, text)
              .when(text.rlike(_INT_TEXT), as_label))
 
 
+def _next_number(digits: Column) -> Column:
+    """The number after one given in digits, of any length: the last digit below 9 goes up, the nines after it are 0."""
+    nines = F.length(F.regexp_extract(digits, "9*$", 0))
+    zeros = F.repeat(F.lit("0"), nines)
+    at = F.length(digits) - nines
+    up = F.substr(digits, at, F.lit(1)).try_cast("int") + 1
+    return F.when(at == 0, F.concat(F.lit("1"), zeros)).otherwise(
+        F.concat(F.substr(digits, F.lit(1), at - 1), up.cast("string"), zeros))
+
+
 def split_request(text: Column) -> tuple[Column, Column, Column]:
     """Split request text into (ok, team_text, season_text).
 
@@ -74,7 +83,7 @@ def margin_text(margin: Column) -> Column:
 
 def capitalize(s: Column) -> Column:
     """Python ``str.capitalize``: first character upper, the rest lower."""
-    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substr(s, F.lit(2))))
 
 
 def _py_str(c: Column) -> Column:

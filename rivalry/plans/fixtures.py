@@ -16,7 +16,7 @@ import os
 from rivalry.functions.text import season_of_date
 from rivalry.schemas import GAMES_COLS
 from rivalry.session import work_dir
-from rivalry.sources.store import path_exists
+from rivalry.sources.store import file_state, path_exists
 from rivalry.sources.tables import read_table
 
 # Fixed values of the fixture definition (must equal the oracle SQL).
@@ -25,8 +25,8 @@ SCORE_MOD = 61
 N_NATIONS = 25
 
 
-# Derived match tables already written in this application: (app id, sf_dir) -> path.
-_STORED: dict[tuple[str, str], str] = {}
+# Derived match tables already written in this application: (app id, sf_dir, state of its files) -> path.
+_STORED: dict[tuple, str] = {}
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,9 +34,11 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Like the production fact table, it is written once (to the shared work
     folder) and then read by every query; the derivation runs again only
-    in a new application or if the files are gone.
+    in a new application, if the input files have changed or if the table is
+    gone.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir),
+           *[file_state(spark, f"{sf_dir}/{t}.parquet") for t in ("lineitem", "supplier", "nation")])
     path = _STORED.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = work_dir(spark, "games")
@@ -227,7 +229,7 @@ def fuzzy_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
     name, k = F.col("p_name"), F.col("p_partkey")
     v = F.pmod(k, F.lit(4))
-    spelt = (F.when(v == 0, F.concat(F.substring(name, 1, 2), F.substring(name, 4, 1 << 20)))
+    spelt = (F.when(v == 0, F.concat(F.substring(name, 1, 2), F.substr(name, F.lit(4))))
               .when(v == 1, F.upper(name))
               .when(v == 2, F.concat(F.lit("zq"), F.reverse(name)))
               .otherwise(F.concat(name, F.pmod(k, F.lit(10)).cast("string"))))

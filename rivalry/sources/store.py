@@ -41,6 +41,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
 
 
+def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and length of a file, to tell whether it has changed."""
+    p, fs = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    return status.getModificationTime(), status.getLen()
+
+
 class VersionedTable:
     """Copy-on-write table: each publish writes a new immutable version."""
 
