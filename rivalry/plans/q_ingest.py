@@ -16,7 +16,7 @@ from rivalry.session import work_dir
 from rivalry.sources.csv import write_games_csv
 from rivalry.sources.payload import LANDED, flatten_payloads, latest_per_key, read_payloads
 from rivalry.sources.store import VersionedTable, write_partitioned
-from rivalry.sources.tables import read_table as read_src
+from rivalry.sources.tables import TableRegistry, read_table as read_src
 from rivalry.streaming.ingest import ingest
 
 # The fixture loads replay every date at once (a backfill of a small table),
@@ -67,6 +67,14 @@ def q_csv_bulk_load(spark, sf_dir):
     return VersionedTable(spark, f"{base}/table").read().select(*GAMES_COLS)
 
 
+@register("declared_source", O.with_ctes("SELECT * FROM games", games=O.GAMES))
+def q_declared_source(spark, sf_dir):
+    """The fact table read through its declared logical name."""
+    path = work_dir(spark, "games")
+    X.games(spark, sf_dir).write.parquet(path)
+    return TableRegistry(spark).declare("raw_match_data", path).load("raw_match_data", *GAMES_COLS)
+
+
 @register("payload_flatten", O.with_ctes("SELECT * FROM stage_raw", games=O.GAMES, stage_raw=STAGE_RAW))
 def q_payload_flatten(spark, sf_dir):
     """Payload documents (JSON Lines, incl. empty/missing responses) -> staging rows."""
