@@ -81,13 +81,18 @@ class Lanes:
         self.keep = (self.input != start).astype(FLOAT)[:, :, None]
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def softmax(x: np.ndarray, at: np.ndarray, targets: np.ndarray, all_chances: bool) -> np.ndarray:
+    """Log chance of each row's target; turns ``x`` into all rows' chances if they are asked for.
 
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    One shift for all rows keeps the exponentials in range: states are within 1, so rows differ by the weights only.
+    """
+    x -= x.max()
+    score = x[at, targets]
+    np.exp(x, out=x)
+    total = np.maximum(x @ np.ones(x.shape[1], FLOAT), FLOAT(1e-37))
+    if all_chances:
+        x /= total[:, None]
+    return score - np.log(total)
 
 
 class Model:
@@ -102,12 +107,24 @@ class Model:
         steps, lanes = inputs.shape
         before, after, reset = (np.empty((steps, lanes, n), FLOAT) for _ in range(3))
         gates, candidate = np.empty((steps, lanes, 2 * n), FLOAT), np.empty((steps, lanes, n), FLOAT)
+        # sigmoid(x) = (tanh(x / 2) + 1) / 2; every step writes into the arrays of the window.
+        half = p["gates"] * FLOAT(0.5)
+        to_gates, to_candidate = given[:, :, :2 * n] * FLOAT(0.5), given[:, :, 2 * n:]
         for t in range(steps):
-            b = before[t] = h * keep[t]
-            g = gates[t] = sigmoid(given[t, :, :2 * n] + b @ p["gates"])
-            rb = reset[t] = g[:, n:] * b
-            c = candidate[t] = np.tanh(given[t, :, 2 * n:] + rb @ p["candidate"])
-            h = after[t] = b + g[:, :n] * (c - b)
+            b, g, r, c = before[t], gates[t], reset[t], candidate[t]
+            np.multiply(h, keep[t], out=b)
+            np.matmul(b, half, out=g)
+            g += to_gates[t]
+            np.tanh(g, out=g)
+            g += 1
+            g *= FLOAT(0.5)
+            np.multiply(g[:, n:], b, out=r)
+            np.matmul(r, p["candidate"], out=c)
+            c += to_candidate[t]
+            np.tanh(c, out=c)
+            h = np.subtract(c, b, out=after[t])
+            h *= g[:, :n]
+            h += b
         return h, (before, after, reset, gates, candidate)
 
     def outputs(self, states, targets, backward: bool):
@@ -115,12 +132,12 @@ class Model:
         p, shape = self.p, self.shape
         is_word = targets < shape.words
         group = np.where(is_word, targets // shape.width, targets - shape.words + shape.groups)
-        logs = log_softmax(states @ p["class_w"] + p["class_b"])
         rows = np.arange(len(targets))
-        score = logs[rows, group]
+        d = states @ p["class_w"]
+        d += p["class_b"]
+        score = softmax(d, rows, group, backward)
         grads = {}
         if backward:
-            d = np.exp(logs)
             d[rows, group] -= 1
             grads = {"class_w": states.T @ d, "class_b": d.sum(axis=0), "word_w": np.zeros_like(p["word_w"]),
                      "word_b": np.zeros_like(p["word_b"]), "states": d @ p["class_w"].T}
@@ -131,10 +148,10 @@ class Model:
             if not len(own):
                 continue
             s, inside, at = states[own], targets[own] - k * shape.width, np.arange(len(own))
-            logs = log_softmax(s @ p["word_w"][k] + p["word_b"][k])
-            score[own] += logs[at, inside]
+            d = s @ p["word_w"][k]
+            d += p["word_b"][k]
+            score[own] += softmax(d, at, inside, backward)
             if backward:
-                d = np.exp(logs)
                 d[at, inside] -= 1
                 grads["word_w"][k], grads["word_b"][k] = s.T @ d, d.sum(axis=0)
                 grads["states"][own] += d @ p["word_w"][k].T

@@ -86,7 +86,7 @@ def head_floor(counts: DataFrame, head: int) -> int:
 class Words(dict):
     """Words to numbers: those of the head in their order, then others as they come (``extra``)."""
 
-    def __init__(self, head: list[bytes], frequent: int, limit: int = 1_000_000):
+    def __init__(self, head: list[bytes], frequent: int, limit: int = 400_000):
         super().__init__((w, i) for i, w in enumerate(head))
         self.head, self.frequent, self.limit = head, frequent, limit
         self.symbols = np.array([i if i < frequent else frequent + ending_of(w) for i, w in enumerate(head)], np.int32)
@@ -118,6 +118,29 @@ class Words(dict):
         return out
 
 
+class Endings(dict):
+    """The last two bytes of a word that isn't frequent to its symbol; at most 65,792 entries."""
+
+    def __init__(self, frequent: int):
+        super().__init__()
+        self.frequent = frequent
+
+    def __missing__(self, tail: bytes) -> int:
+        self[tail] = s = self.frequent + ending_of(tail)
+        return s
+
+
+class Symbols:
+    """Texts to the model's symbols, for training: needs the frequent words only."""
+
+    def __init__(self, frequent: list[bytes]):
+        self.words, self.endings = {w: i for i, w in enumerate(frequent)}, Endings(len(frequent))
+
+    def of(self, text: bytes) -> np.ndarray:
+        words, endings = words_of(text), self.endings
+        return np.array([endings[w[-2:]] if s is None else s for s, w in zip(map(self.words.get, words), words)], np.int32)
+
+
 class Language:
     """What scoring needs: counts, the head words and the model's sizes."""
 
@@ -155,18 +178,15 @@ class Language:
 def train_round(docs: DataFrame, language: Language, vector: np.ndarray, rate: float) -> np.ndarray:
     """Every trainer's pass over its documents from the same parameters; the mean of their results."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((language.head, language.frequent, language.shape, vector))
+    shared = spark.sparkContext.broadcast((language.head[:language.frequent], language.shape, vector))
 
     def train(batches):
         import pyarrow as pa
-        head, frequent, shape, start = shared.value
-        words, model = Words(head, frequent), Model(shape, start.copy())
+        frequent, shape, start = shared.value
+        symbols, model = Symbols(frequent), Model(shape, start.copy())
         squares, seen = np.zeros(shape.size, np.float32), 0
         for batch in batches:
-            docs = []
-            for text in texts(batch):
-                docs.append(words.symbols_of(words.numbers(text)))
-                words.forget()
+            docs = [symbols.of(text) for text in texts(batch)]
             model.train(docs, squares, rate)
             seen += sum(map(len, docs))
         if seen:
@@ -235,22 +255,30 @@ def score(docs: DataFrame, language: Language, vector: np.ndarray, counts: DataF
         share = np.zeros(n_head)
         share[frequent:] = language.share(words.symbols[frequent:] - frequent, language.counts[frequent:])
         known = language.counts > 0
-        tail_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
         for batch in batches:
-            symbols, sums, tails = [], [], []
+            symbols, sums, place, ends, tail_words, tail_counts = [], [], [], [0], [], []
+            # Equal texts have equal scores: each is walked once a batch.
+            seen: dict[bytes, int] = {}
             for text in texts(batch):
                 numbers = words.numbers(text)
-                symbols.append(words.symbols_of(numbers))
+                place.append(seen.setdefault(text, len(symbols)))
+                if place[-1] == len(symbols):
+                    symbols.append(words.symbols_of(numbers))
                 inside = numbers[numbers < n_head]
                 sums.append((len(numbers), int(known[inside].sum()), float(base[inside].sum()), float(share[inside].sum())))
                 rest, tf = np.unique(numbers[numbers >= n_head], return_counts=True)
-                tails.append([{"word": words.extra[i - n_head], "tf": k} for i, k in zip(rest.tolist(), tf.tolist())])
+                tail_words += [words.extra[i - n_head] for i in rest.tolist()]
+                tail_counts.append(tf)
+                ends.append(len(tail_words))
                 words.forget()
-            logs = model.score(symbols) / math.log(10)
+            logs = model.score(symbols)[place] / math.log(10)
+            tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(tail_words, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *tail_counts]), pa.int64())],
+                names=["word", "tf"]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([s[0] for s in sums], pa.int64()), pa.array([s[1] for s in sums], pa.int64()),
                  pa.array([s[2] for s in sums], pa.float64()),
-                 pa.array([s[3] + x for s, x in zip(sums, logs.tolist())], pa.float64()), pa.array(tails, tail_type)],
+                 pa.array([s[3] + x for s, x in zip(sums, logs.tolist())], pa.float64()), tails],
                 names=["doc_id", "n_tokens", "n_known", "base", "model", "tail"])
 
     schema = f"doc_id long, n_tokens long, n_known long, base double, model double, tail {TAIL}"

@@ -124,3 +124,10 @@ def test_empty_table_and_nothing_to_learn_from(spark):
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     got = L.lm_scores(frame(spark, [(alone, "some words")])).collect()
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(True, 3, 0, 0)]
+
+
+def test_training_and_scoring_give_words_the_same_symbols():
+    head = [b"\n", b"the", b"of", b"rare", "d\u00e9j\u00e0".encode()]
+    text = "the of rare d\u00e9j\u00e0 vu \u00e0 the x".encode()
+    words = L.Words(head, 3)
+    assert L.Symbols(head[:3]).of(text).tolist() == words.symbols_of(words.numbers(text)).tolist()
