@@ -186,6 +186,8 @@ def missing_pairs(buckets: DataFrame, sets: DataFrame, roots: DataFrame, percent
     main = (prefix.groupBy("t", "label").agg(F.count("*").alias("k"))
             .groupBy("t").agg(F.count("*").alias("labels"), F.max(F.struct("k", "label")).alias("m"))
             .where("labels > 1").select("t", F.col("m.label").alias("main")))
+    # Written, so that both sides of the joins are dealt anew and Spark can split a shingle of many members.
+    main = table(main, "main-components")
     probes = prefix.join(main, "t").where("label <> main").select(
         "t", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("pa"),
         F.col("sketch").alias("sa"))
