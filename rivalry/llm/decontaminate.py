@@ -59,7 +59,7 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
     return source.mapInArrow(cut, "item_id string, words string, n int, shingles array<long>").distinct()
 
 
-def rarity(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def rarity(docs: DataFrame, vocabulary: DataFrame, sizes: list[int]) -> DataFrame:
     """h, n: how often each shingle of ``vocabulary`` (h) occurs in all documents; each task adds up its own first."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitmap(vocabulary, "h", bitmap_size(vocabulary.count())))
@@ -71,7 +71,7 @@ def rarity(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
             found = [np.zeros(0, np.uint64)]
             for text in texts(batch):
                 words = hashes.of(words_of(text))
-                for size in range(1, SHINGLE + 1):
+                for size in sizes:
                     h = shingles(words, size)
                     found.append(h[in_bitmap(bits, h)])
             h, n = np.unique(np.concatenate(found), return_counts=True)
@@ -89,7 +89,7 @@ def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
             .select("words", "n", "p.h", "p.at"))
 
 
-def suspects(docs: DataFrame, prefix: DataFrame, window: int) -> DataFrame:
+def suspects(docs: DataFrame, prefix: DataFrame, window: int, sizes: list[int]) -> DataFrame:
     """rid, doc_id, n_words and places: [h, at, first, context], where a prefix shingle may stand.
 
     ``context`` holds the words around the place, the earliest of them being word ``first``.
@@ -97,8 +97,6 @@ def suspects(docs: DataFrame, prefix: DataFrame, window: int) -> DataFrame:
     spark = docs.sparkSession
     hashes_of_prefix = prefix.select("h").distinct()
     shared = spark.sparkContext.broadcast(bitmap(hashes_of_prefix, "h", bitmap_size(hashes_of_prefix.count())))
-    # Items of one word have shingles of one word; the others of SHINGLE words.
-    sizes = [r["s"] for r in prefix.select(F.least(F.col("n"), F.lit(SHINGLE)).alias("s")).distinct().collect()]
 
     def scan(batches):
         import pyarrow as pa
@@ -151,9 +149,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     docs = docs_of(docs).withColumn("ident", identity())
     windows = table(windows_of(items, window), "item-windows")
     vocabulary = windows.select(F.explode("shingles").alias("h")).distinct()
-    counts = rarity(docs, vocabulary).withColumnRenamed("n", "df")
+    # Items of one word have shingles of one word; the others of SHINGLE words.
+    sizes = [r["s"] for r in windows.select(F.least(F.col("n"), F.lit(SHINGLE)).alias("s")).distinct().collect()]
+    counts = rarity(docs, vocabulary, sizes).withColumnRenamed("n", "df")
     prefix = table(prefixes(windows.drop("item_id").distinct(), counts), "prefixes")
-    suspected = suspects(docs, prefix, window)
+    suspected = suspects(docs, prefix, window, sizes)
     found = table(matches(suspected, prefix), "matches")
     hit = (found.groupBy("rid").agg(F.collect_set(F.struct("start", "n")).alias("s"))
            .select("rid", covered(F.col("s")).cast("long").alias("n_hit")))

@@ -34,14 +34,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` words, from the words' hashes."""
+    """Hashes of all runs of ``size`` words: a polynomial of the words' hashes, which are well mixed themselves."""
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h = words[:n]
     for k in range(1, size):
-        h = mixed(h) + words[k:k + n]
-    return mixed(h)
+        h = h * np.uint64(P1) + words[k:k + n]
+    return h
 
 
 def bitmap_size(n: int, per_hash: int = 32, least: int = 1 << 16, most: int = 1 << 28) -> int:
