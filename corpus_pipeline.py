@@ -35,8 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, on four-word shingles as in the registered query."""
-    return one_of_each(docs, size=4, percent=80)
+    """One document of each group of near-duplicates, on five-word shingles."""
+    return one_of_each(docs, size=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

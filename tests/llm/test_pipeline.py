@@ -49,6 +49,39 @@ def test_no_two_documents_are_similar(outputs):
         assert not any(a and 100 * len(a & b) >= 80 * len(a | b) for b in sets[:i])
 
 
+def similar_groups(rows, size=5):
+    """The smallest doc_id of each brute-force group of rows (doc_id, text)."""
+    sets, root = [], list(range(len(rows)))
+    for _, text in rows:
+        w = words(text)
+        sets.append({tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and 100 * len(a & b) >= 80 * len(a | b):
+                root[find(i)] = find(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(doc_id)
+    return sorted(min(g) for g in groups.values())
+
+
+def test_near_copies_by_five_words_leave_and_no_others(spark, outputs):
+    rows = [(r.doc_id, r.text) for r in outputs[1].collect()]
+    # One changed word of 40: 33 of 41 runs of four words are shared, but 31 of 41 of five; of 60 words 51 of 61.
+    v = [f"w{i}" for i in range(100)]
+    changed = lambda x: [*x[:20], "other", *x[21:]]
+    rows += [(10**6 + i, " ".join(x)) for i, x in enumerate((v[:40], changed(v[:40]), v[40:], changed(v[40:])))]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], read(spark, SF, "documents").schema)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, SF).collect())
+    assert got == similar_groups(rows) and {10**6, 10**6 + 1, 10**6 + 2} <= set(got) and 10**6 + 3 not in got
+
+
 def test_no_benchmark_passage_is_left(spark, outputs):
     from rivalry.llm.decontaminate import decontaminate
     assert decontaminate(outputs[3], read(spark, SF, "benchmark")).where("n_hit > 0").isEmpty()
