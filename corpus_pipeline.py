@@ -23,17 +23,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_documents(docs, read(spark, sf_dir, "labels"))
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more stay in their first document only.
+# Lines of so many words are passages.
+PASSAGE = 50
 
-    Documents of which nothing is left go; ``n_chars`` follows the text.
-    """
-    found = line_dedup(docs, min_docs=10, least=1, keep_first=True)
+
+def left_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``line_dedup``'s result: documents of which nothing is left go; ``n_chars`` follows
+    the text."""
     left = found.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(docs.columns)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more, and passages found in two or more, stay in their first document only.
+
+    Near-copies share most of their passages, and without them would no longer be seen as such: they leave whole before
+    passages are compared.  What passages leave behind may be near-copies anew, which the next stage finds.
+    """
+    short = table(left_of(docs, line_dedup(docs, min_docs=10, least=1, keep_first=True)), "repeated-lines-out")
+    single = table(near_copies(spark, short, sf_dir), "near-copies-out")
+    return left_of(docs, line_dedup(single, min_docs=2, keep_first=True, least_words=PASSAGE))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, on five-word shingles."""
     return one_of_each(docs, size=5, percent=80)

@@ -33,9 +33,12 @@ def key_of(line: bytes) -> bytes:
     return line.strip(EDGE).lower()
 
 
-def keys_of(text: bytes, least: int) -> set[bytes]:
-    """The distinct keys of at least ``least`` code points."""
+def keys_of(text: bytes, least: int, least_words: int = 0) -> set[bytes]:
+    """The distinct keys of at least ``least`` code points and ``least_words`` words."""
     found = set(map(key_of, text.split(b"\n")))
+    if least_words > 1:
+        # Words are at least one byte each, with white space between them.
+        found = {k for k in found if len(k) >= 2 * least_words - 1 and len(k.split()) >= least_words}
     if least > 1:
         return {k for k in found if len(k) >= least and len(k.decode()) >= least}
     return found - {b""} if least else found
@@ -79,7 +82,7 @@ def raw_texts(batch, column: str) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def twice_filter(docs: DataFrame, least: int, max_bits: int) -> np.ndarray:
+def twice_filter(docs: DataFrame, least: int, max_bits: int, least_words: int = 0) -> np.ndarray:
     """The filter of hashes seen in two documents or more."""
     spark = docs.sparkSession
     lines = docs.agg(F.sum(F.size(F.split("text", "\n")))).first()[0] or 0
@@ -89,7 +92,7 @@ def twice_filter(docs: DataFrame, least: int, max_bits: int) -> np.ndarray:
         import pyarrow as pa
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            keys = [k for text in raw_texts(batch, "text") for k in keys_of(text, least)]
+            keys = [k for text in raw_texts(batch, "text") for k in keys_of(text, least, least_words)]
             see(once, twice, hashes_of(keys))
         used = [i for i in range(bits // 8 // BLOCK) if once[i * BLOCK:(i + 1) * BLOCK].any()]
         for i in used:
@@ -130,7 +133,8 @@ def twice_filter(docs: DataFrame, least: int, max_bits: int) -> np.ndarray:
 ORDER = "last: boolean, doc_id: long, mark: long"
 
 
-def repeated_keys(docs: DataFrame, twice: np.ndarray, least: int, min_docs: int, hold: int = 200_000) -> DataFrame:
+def repeated_keys(docs: DataFrame, twice: np.ndarray, least: int, min_docs: int, hold: int = 200_000,
+                  least_words: int = 0) -> DataFrame:
     """key, first: the keys found in at least ``min_docs`` documents and their first document.
 
     ``hold`` keys at most are added up in a task before they are sent.
@@ -152,7 +156,7 @@ def repeated_keys(docs: DataFrame, twice: np.ndarray, least: int, min_docs: int,
         for batch in batches:
             for doc_id, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(),
                                           raw_texts(batch, "text")):
-                keys = list(keys_of(text, least))
+                keys = list(keys_of(text, least, least_words))
                 here = doc_id is None, doc_id or 0, mark
                 for i in np.flatnonzero(known(filter_, places(hashes_of(keys), 8 * len(filter_)))).tolist():
                     n, first = held.get(keys[i], (0, here))
@@ -187,19 +191,19 @@ def rewrite(text: bytes, dropped: dict[bytes, tuple], here: tuple, keep_first: b
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, least: int = 1, keep_first: bool = True,
-               max_bits: int = 1 << 28, broadcast_bytes: int = 64 << 20) -> DataFrame:
+               max_bits: int = 1 << 28, broadcast_bytes: int = 64 << 20, least_words: int = 0) -> DataFrame:
     """``docs`` (all columns) with repeated lines taken out of ``text``, and n_lines, n_dropped.
 
-    Keys of at least ``least`` code points found in at least ``min_docs``
-    documents lose all their lines, but for the first in the first document
-    if ``keep_first``.  Columns called n_lines and n_dropped are replaced.
+    Keys of at least ``least`` code points and ``least_words`` words found in
+    at least ``min_docs`` documents lose all their lines, but for the first in
+    the first document if ``keep_first``.  Columns called n_lines and n_dropped are replaced.
     """
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     types = {f.name: f.dataType for f in docs.schema.fields}
     docs = docs.select(*[F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in columns])
-    twice = twice_filter(docs, least, max_bits)
-    dropped = table(repeated_keys(docs, twice, least, min_docs), "repeated-lines")
+    twice = twice_filter(docs, least, max_bits, least_words)
+    dropped = table(repeated_keys(docs, twice, least, min_docs, least_words=least_words), "repeated-lines")
     size = dropped.agg(F.sum(F.length("key") + 200)).first()[0] or 0
     within = size <= broadcast_bytes
     own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
@@ -209,7 +213,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, least: int = 1, keep_first:
             found.column("key").to_pylist(), found.column("first").to_pylist())})
     else:
         # The keys of each document that are dropped, by shuffle.
-        each = keys_in(docs, twice, least).join(dropped, "key")
+        each = keys_in(docs, twice, least, least_words).join(dropped, "key")
         lists = each.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("key", "first")).alias("_dropped"))
         own = (own.join(lists.withColumnsRenamed({"doc_id": "_k", "mark": "_m"}),
                         F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m")), "left")
@@ -235,7 +239,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, least: int = 1, keep_first:
     return own.mapInArrow(apply, schema + ", n_lines long, n_dropped long")
 
 
-def keys_in(docs: DataFrame, twice: np.ndarray, least: int) -> DataFrame:
+def keys_in(docs: DataFrame, twice: np.ndarray, least: int, least_words: int = 0) -> DataFrame:
     """doc_id, mark, key: the suspected keys of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(twice)
 
@@ -246,7 +250,7 @@ def keys_in(docs: DataFrame, twice: np.ndarray, least: int) -> DataFrame:
             rows = []
             for doc_id, mark, text in zip(batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist(),
                                           raw_texts(batch, "text")):
-                keys = list(keys_of(text, least))
+                keys = list(keys_of(text, least, least_words))
                 rows += [(doc_id, mark, keys[i]) for i in np.flatnonzero(
                     known(filter_, places(hashes_of(keys), 8 * len(filter_)))).tolist()]
             yield pa.RecordBatch.from_arrays(

@@ -40,6 +40,22 @@ def test_no_line_is_in_ten_documents(outputs):
     assert max(seen.values()) < 10
 
 
+def test_passages_stay_in_one_document(spark, outputs):
+    rows, schema = [tuple(r) for r in outputs[0].collect()], read(spark, SF, "documents").schema
+    text = lambda word, n: " ".join(f"{word}{i}" for i in range(n))
+    own = {1: "A title\n%s\n%s" % (text("p", 60), text("a", 80)), 2: "%s\n %s \nA title" % (text("b", 80), text("P", 60)),
+           # A near-copy of the first leaves whole, though only its last line is its own.
+           3: "A title\n%s\n%s" % (text("p", 60), text("a", 79) + " x"),
+           4: "%s\n%s" % (text("q", 49), text("c", 80)), 5: "%s\n%s" % (text("q", 49), text("d", 80))}
+    rows += [(10**6 + i, t, "en", "src0", len(t)) for i, t in own.items()]
+    got = {r.doc_id: r for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, schema), SF).collect()}
+    assert got[10**6 + 1].text == own[1] and 10**6 + 3 not in got
+    assert got[10**6 + 2].text == text("b", 80) + "\nA title" and got[10**6 + 2].n_chars == len(got[10**6 + 2].text)
+    assert [got[10**6 + i].text for i in (4, 5)] == [own[4], own[5]]
+    seen = [x for r in got.values() for x in {" ".join(words(x)) for x in (r.text or "").split("\n") if len(words(x)) >= 50}]
+    assert len(seen) == len(set(seen))
+
+
 def test_no_two_documents_are_similar(outputs):
     sets = []
     for r in outputs[2].collect():
