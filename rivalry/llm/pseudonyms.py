@@ -6,8 +6,11 @@ equal values get equal pseudonyms in every document and different values stay
 different:
 
 - card numbers (13 to 19 digits, Luhn check right): all digits but the check
-  digit are permuted, which is then set right; separators stay;
-- phone numbers: the ten digits after the country code;
+  digit are permuted, which is then set right; separators stay.  Numbers in a
+  usual layout are tried at every group of digits, so that a number beside them
+  hides none; other layouts are tried as one run of groups;
+- phone numbers: the ten digits after the country code, which unbroken numbers
+  must have;
 - IPv4 addresses: all 32 bits;
 - social security numbers: among valid ones only;
 - dates (y-m-d with - / or ., d.m.y, m/d/y) from 1800 to 2199: among the days
@@ -34,12 +37,16 @@ PATTERNS = {
     "date": (r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\g[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
              r"|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])"),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|(?<![0-9][.-])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": (r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|(?<![0-9][.-])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+              r"|(?<![0-9])\+[0-9]{1,3}[ .-]?[0-9]{10}(?![0-9])"),
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 KINDS = tuple(PATTERNS)
-# The back reference names the first (and only) group of the alternation.
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values()).replace(r"\g", r"\1")
+# Usual layouts of card numbers, longer ones of the same start by themselves.
+LAYOUTS = ("[0-9]{13,19}", "[0-9]{4}(?:[ -][0-9]{4}){3}", "[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{1,3}",
+           "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}", "[0-9]{4}[ -][0-9]{4}[ -][0-9]{5}", "[0-9]{6}[ -][0-9]{13}")
+# All kinds but cards, which are named one by one.  The back reference names the first (and only) group of the alternation.
+ANY = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "card").replace(r"\g", r"\1")
 ROUNDS = 8
 # Days from FIRST_DAY on: one whole Gregorian cycle, 400 years, 189 * 773 days.
 FIRST_DAY, DAYS_A, DAYS_B = "1800-01-01", 189, 773
@@ -192,17 +199,31 @@ def pseudonym(kind: Column, m: Column, key: str) -> Column:
     return found
 
 
+def valid_cards(source: Column) -> Column:
+    """The distinct card numbers of a text, as they are written, the longest first."""
+    # A look-ahead takes nothing of the text, so every group of digits is tried as a start.
+    shaped = [F.regexp_extract_all(source, F.lit(rf"(?<![0-9])(?=({p})(?![0-9]))"), F.lit(1)) for p in LAYOUTS]
+    runs = F.regexp_extract_all(source, F.lit(PATTERNS["card"]), F.lit(0))
+    found = F.filter(F.array_distinct(F.concat(*shaped, runs)), lambda m: F.call_function("luhn_check", digits_of(m)))
+    longest = F.transform(F.sort_array(F.transform(found, lambda m: F.struct(-F.length(m), m.alias("m")))), lambda x: x["m"])
+    return F.when(source.rlike(r"[0-9](?:[ -]?[0-9]){12}"), longest)
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the text's personal data replaced, and n_<kind>: how many values of each kind were."""
     source = F.col(text).cast("string")
-    found = F.when(source.rlike("[0-9@]"), F.regexp_extract_all(source, F.lit(ANY), F.lit(0)))
-    step = docs.withColumn("_m", F.coalesce(found, F.array().cast("array<string>")))
+    # Cards are digits, blanks and dashes: each is a pattern of itself.
+    any_ = let(valid_cards(source), lambda c: F.when(F.size(c) > 0, F.concat(
+        F.lit("(?<![0-9])(?:"), F.array_join(c, "|"), F.lit(f")(?![0-9])|{ANY}"))).otherwise(F.lit(ANY)))
+    step = docs.withColumn("_any", F.when(source.rlike("[0-9@]"), any_))
+    found = F.regexp_extract_all(source, F.col("_any"), F.lit(0))
+    step = step.withColumn("_m", F.coalesce(found, F.array().cast("array<string>")))
 
     def replaced(m: Column) -> Column:
         return let(kind_of(m), lambda kind: F.struct(m.alias("old"), kind.alias("kind"), pseudonym(kind, m, key).alias("new")))
 
     step = step.withColumn("_r", F.when(F.size("_m") > 0, F.transform("_m", replaced)))
-    gaps = F.split(source, ANY, -1)
+    gaps = F.split(source, F.col("_any"), -1)
     joined = let(gaps, lambda g: F.array_join(F.transform(
         g, lambda x, i: F.concat(x, F.coalesce(F.get(F.col("_r"), i)["new"], F.get(F.col("_r"), i)["old"], F.lit("")))), ""))
     counts = [F.coalesce(F.size(F.filter("_r", count_of(k))), F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]

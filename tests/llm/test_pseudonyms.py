@@ -47,6 +47,29 @@ def test_card_numbers_stay_valid_and_can_be_undone(spark):
     assert f"{left:07d}{right:08d}" == "484516811440732"
 
 
+def test_numbers_beside_a_card_do_not_hide_it(spark):
+    cards = ("4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "3782 822463 10005")
+    rows = [(n, f"pay {before}{n}{after}, thanks") for n in cards for before in ("", "12 ", "2024 ", "order 12-", "4242 4242 ")
+            for after in ("", " 123", " 12", " 1234 5678 12", "-7")]
+    for r in pseudonymise(spark.createDataFrame([(*x, x[1]) for x in rows], "number string, text string, old string"), KEY).collect():
+        assert r.n_card >= 1 and r.number not in r.text
+        assert re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", r.old)
+
+
+def test_cards_in_long_runs(spark):
+    r = run(spark, "1234 4111 1111 1111 1111 4111 1111 1111 1111 99; 41 11 11 11 11 11 11 11")
+    cards = re.findall(r"[0-9]{4}(?: [0-9]{4}){8} 99; ([0-9 ]+)$", r.text)
+    assert r.n_card == 3 and "1111 1111" not in r.text and luhn(digits(cards[0])) % 10 == 0
+
+
+def test_phones_without_separators(spark):
+    r = run(spark, "call +14155552671 or +1 4155552671, not 4155552671 nor +141555526712345")
+    found = re.findall(r"\+1 ?([0-9]{10})(?![0-9])", r.text)
+    left, right = feistel(41555, 52671, 10**5, 10**5, "phone")
+    assert r.n_phone == 2 and found == [f"{left:05d}{right:05d}"] * 2
+    assert "not 4155552671 nor +141555526712345" in r.text
+
+
 def test_phones_addresses_numbers(spark):
     r = run(spark, "+1 (183) 555-1276, 53.224.140.246. ssn 123-45-6789 000-12-3456; version 4.0. 1.2.3.4.5 256.1.1.1")
     assert (r.n_phone, r.n_ip, r.n_ssn) == (1, 1, 1)
