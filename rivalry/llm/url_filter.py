@@ -4,8 +4,10 @@ Every host's share of bad pages is shrunk through beta-binomial priors: the
 suffix towards all hosts, the registered domain towards its suffix, the host
 towards its domain.  The strength of each prior is estimated from the labelled
 outcomes themselves (how much children of one parent differ, beyond chance).
-A host is blocked when the lower posterior bound of its bad share is above a
-threshold, so hosts with few labels are allowed.  List rules come first.
+A host without labels has the prior of its domain; if that has none either, of
+its suffix, else of all hosts, with the spread of the levels between.  A host is
+blocked when the lower posterior bound of its bad share is above a threshold, so
+hosts of which little is known are allowed.  List rules come first.
 
 Null and malformed URLs have an empty host and path; they share the host ''.
 Repeated rows are judged row by row; an empty table gives an empty result.
@@ -101,8 +103,17 @@ def estimate(n, k, df, s, m) -> float:
     return STRONGEST if rho <= 0 else min(STRONGEST, max(WEAKEST, (1 - rho) / rho))
 
 
-def reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
-    """Posterior mean and lower bound of the bad share of each host in ``hosts`` (host, domain, suffix, n, k)."""
+def through(*strengths: float) -> float:
+    """The strength of a prior through several levels: each level spreads the one below further."""
+    left = 1.0
+    for w in strengths:
+        left *= w / (w + 1)
+    return left / (1 - left)
+
+
+def reputation(hosts: DataFrame, every: DataFrame, z: float = 1.645) -> DataFrame:
+    """Posterior mean and lower bound of the bad share of each host in ``every`` (host), by the labelled ``hosts`` (host,
+    domain, suffix, n, k)."""
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
@@ -113,14 +124,22 @@ def reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
     def shrunk(prior, strength, n="n", k="k"):
         return (prior * strength + F.col(k)) / (strength + F.col(n))
 
-    suffixes = suffixes.select("suffix", shrunk(F.lit(mean), by_suffix).alias("m_suffix"))
-    domains = (domains.join(suffixes, "suffix")
-               .select("domain", "suffix", shrunk(F.col("m_suffix"), by_domain).alias("m_domain")))
-    a = F.col("m_domain") * by_host + F.col("k")
-    b = (1 - F.col("m_domain")) * by_host + F.col("n") - F.col("k")
+    suffixes = table(suffixes.select("suffix", shrunk(F.lit(mean), by_suffix).alias("m_suffix")), "suffix_priors")
+    domains = table(domains.join(suffixes, "suffix")
+                    .select("domain", "suffix", shrunk(F.col("m_suffix"), by_domain).alias("m_domain")), "domain_priors")
+    prior = F.coalesce("m_domain", "m_suffix", F.lit(mean))
+    strength = (F.when(F.col("m_domain").isNotNull(), by_host)
+                .when(F.col("m_suffix").isNotNull(), through(by_host, by_domain))
+                .otherwise(through(by_host, by_domain, by_suffix)))
+    a = prior * strength + F.col("k")
+    b = (1 - prior) * strength + F.col("n") - F.col("k")
     mean_h = F.col("a") / (F.col("a") + F.col("b"))
     sd = F.sqrt(F.col("a") * F.col("b") / (F.col("a") + F.col("b") + 1)) / (F.col("a") + F.col("b"))
-    return (hosts.join(domains, ["domain", "suffix"]).withColumn("a", a).withColumn("b", b)
+    named = every.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    return (named.join(hosts.select("host", "n", "k"), "host", "left")
+            .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n", "k")})
+            .join(domains, ["domain", "suffix"], "left").join(suffixes, "suffix", "left")
+            .withColumn("a", a).withColumn("b", b)
             .select("host", "n", mean_h.alias("bad_share"), (mean_h - z * sd).alias("bad_lower")))
 
 
@@ -130,13 +149,13 @@ def url_filter(pages: DataFrame, outcomes: DataFrame, key: str, rules=RULES, url
 
     ``key`` names the column of both inputs that says which outcome is a
     page's.  Returns page_id, host, path, rule, verdict, n_labelled (labelled
-    pages of the host) and bad_share, bad_lower (null for hosts without
-    labels, which are allowed).
+    pages of the host) and bad_share, bad_lower.
     """
     judged = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"),
                           path_of(F.col(url)).alias("path"), F.col(key).alias("_key"))
     hosts = table(host_outcomes(judged.withColumnRenamed("_key", key), outcomes, key), "host_outcomes")
-    known = reputation(hosts, z)
+    # Written, so that the join deals the pages of a host anew and Spark can split them, or sends few hosts everywhere.
+    known = table(reputation(hosts, judged.select("host").distinct(), z), "reputation")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return (judged.join(known, "host", "left")
             .select("page_id", "host", "path", rule.alias("rule"),

@@ -40,6 +40,18 @@ def test_confidently_bad_hosts_are_blocked(spark):
     assert 0.5 < got[1].bad_lower < got[1].bad_share <= 0.9 and got[1].n_labelled == 200
 
 
+def test_hosts_without_labels_have_the_prior_of_their_domain(spark):
+    rows = [(i, f"http://h{i % 20}.{'bad' if i % 2 else 'good'}.info/{i}", i) for i in range(2000)]
+    rows += [(5000, "http://new.bad.info/x", None), (5001, "http://new.good.info/x", None), (5002, "http://other.info/", None),
+             (5003, "http://a.elsewhere.biz/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, k long")
+    outcomes = spark.createDataFrame([(i, bool(i % 2) and i % 50 != 1) for i in range(2000)], "k long, bad boolean")
+    got = {r.page_id: r for r in url_filter(pages, outcomes, "k").collect()}
+    assert [got[i].verdict for i in range(5000, 5004)] == ["block", "allow", "allow", "allow"]
+    assert got[5000].bad_lower > 0.5 and [got[i].n_labelled for i in range(5000, 5004)] == [0] * 4
+    assert got[5001].bad_share < got[5002].bad_share < got[5000].bad_share
+
+
 def test_shrinking_needs_evidence(spark):
     rows = [(i, f"http://h{i % 50}.site.info/{i}", i) for i in range(100)] + [(500, "http://once.site.info/", 500)]
     pages = spark.createDataFrame(rows, "page_id long, url string, k long")
