@@ -14,6 +14,7 @@ from rivalry.llm.packing import pack_documents
 from rivalry.llm.pseudonyms import pseudonymise
 from rivalry.llm.quality_rules import judge, learn_from, quality_statistics
 from rivalry.llm.secret_scan import secret_scan
+from rivalry.llm.simhash import simhash_groups
 from rivalry.llm.token_files import write_and_read
 from rivalry.llm.url_filter import path_of, url_filter
 
@@ -90,9 +91,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "kept", "rule"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose fingerprints differ in two bits or fewer."""
+    return simhash_groups(read(spark, sf_dir, "documents"), size=3, budget=2)
+
+
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
                                    op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup,
-                                   op4_min_max, op6_gated_lm)}
+                                   op4_min_max, op6_gated_lm, op13_simhash)}
 
 
 def queries():
