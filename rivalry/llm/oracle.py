@@ -90,4 +90,35 @@ SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIG
 FROM docs LEFT JOIN kept USING (rid)
 """
 
-SQL = {"op1_decontaminate": OP1, "op2_url_reputation": OP2, "op3_line_dedup": OP3}
+
+
+def lloyd_round(i: int) -> str:
+    """The nearest centroid of c{i} for every vector, and the centroids after it."""
+    return rf"""
+a{i} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT rid, vec_id, v.v, c, list_inner_product(v.v, v.v) + list_inner_product(x, x) - 2 * list_inner_product(v.v, x) AS d
+        FROM v, c{i}) GROUP BY rid),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN (
+    SELECT c, list(m ORDER BY k) AS x FROM (
+      SELECT c, k, floor(sum(x) / count(*)) AS m
+      FROM (SELECT best.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM a{i}) GROUP BY c, k) GROUP BY c) m USING (c))"""
+
+
+OP12 = rf"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v AS x FROM v QUALIFY c < 40),
+{",".join(map(lloyd_round, range(6)))},
+t AS (SELECT best.c AS c, sum(best.d)::BIGINT AS cluster_inertia FROM a5 GROUP BY 1)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance, cluster_inertia,
+       (SELECT sum(cluster_inertia) FROM t)::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c5.x, lambda y: y::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a5 JOIN t ON best.c = t.c JOIN c5 ON best.c = c5.c
+"""
+
+SQL = {"op1_decontaminate": OP1, "op2_url_reputation": OP2, "op3_line_dedup": OP3, "op12_centroids": OP12}

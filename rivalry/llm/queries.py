@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.llm import oracle
+from rivalry.llm.centroids import cluster_vectors
 from rivalry.llm.common import read
 from rivalry.llm.decontaminate import decontaminate
 from rivalry.llm.line_dedup import line_dedup
@@ -91,6 +92,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "kept", "rule"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of all complete embeddings."""
+    return cluster_vectors(read(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2).drop("scanned")
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents whose fingerprints differ in two bits or fewer."""
     return simhash_groups(read(spark, sf_dir, "documents"), size=3, budget=2)
@@ -98,7 +104,7 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
                                    op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup,
-                                   op4_min_max, op6_gated_lm, op13_simhash)}
+                                   op4_min_max, op6_gated_lm, op12_centroids, op13_simhash)}
 
 
 def queries():
