@@ -121,4 +121,45 @@ SELECT vec_id, best.c::INTEGER AS cluster, best.d::BIGINT AS distance, cluster_i
 FROM a5 JOIN t ON best.c = t.c JOIN c5 ON best.c = c5.c
 """
 
-SQL = {"op1_decontaminate": OP1, "op2_url_reputation": OP2, "op3_line_dedup": OP3, "op12_centroids": OP12}
+
+
+def crc_step(x: int) -> int:
+    """Four bits on, of the reflected CRC-32 polynomial."""
+    for _ in range(4):
+        x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+    return x
+
+
+# By half-bytes: the lower one of each byte first.
+CRC = f"""xor(list_reduce(list_transform(range(length(hex(f))), lambda i: (
+    instr('0123456789ABCDEF', hex(f)[i - i % 2 + 2 - i % 2]) - 1)::BIGINT),
+  lambda x, y: xor(x >> 4, ({[crc_step(x) for x in range(16)]}::BIGINT[])[(xor(x, y) & 15) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"""
+WORDS_OF = rf"coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'), []::VARCHAR[])"
+FEATURES = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+
+OP11 = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, {WORDS_OF} AS w FROM documents),
+d AS MATERIALIZED (SELECT rid, f, count(*) AS n FROM (SELECT rid, unnest({FEATURES}) AS f FROM docs) GROUP BY ALL),
+b AS MATERIALIZED (SELECT f, count(*) AS n FROM (SELECT unnest({FEATURES}) AS f FROM (SELECT {WORDS_OF} AS w FROM benchmark)) GROUP BY ALL),
+place AS MATERIALIZED (SELECT f, {CRC} % 10000 AS bucket FROM (SELECT f FROM d UNION SELECT f FROM b)),
+s AS (SELECT bucket, sum(n)::DOUBLE AS s FROM d JOIN place USING (f) GROUP BY 1),
+t AS (SELECT bucket, sum(n)::DOUBLE AS t FROM b JOIN place USING (f) GROUP BY 1),
+gain AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000))
+                                 / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+weight AS (SELECT rid, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+           FROM d JOIN place USING (f) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE)
+                                                  / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weight USING (rid)),
+drawn AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE n_words >= 20
+          QUALIFY 100 * rank <= 25 * count(*) OVER () - (25 * count(*) OVER ()) % 100)
+SELECT doc_id, n_words::BIGINT AS n_words, n_features::BIGINT AS n_features, weight, score, rank
+FROM scored LEFT JOIN drawn USING (rid)
+"""
+
+SQL = {"op11_importance": OP11, "op1_decontaminate": OP1, "op2_url_reputation": OP2, "op3_line_dedup": OP3, "op12_centroids": OP12}

@@ -8,6 +8,7 @@ from rivalry.llm import oracle
 from rivalry.llm.centroids import cluster_vectors
 from rivalry.llm.common import read
 from rivalry.llm.decontaminate import decontaminate
+from rivalry.llm.importance import importance_sample
 from rivalry.llm.line_dedup import line_dedup
 from rivalry.llm.lm_score import lm_scores
 from rivalry.llm.min_max import near_duplicates
@@ -92,6 +93,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "kept", "rule"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents with twenty words or more, drawn towards the benchmark's features."""
+    return importance_sample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"),
+                             buckets=10_000, percent=25, least_words=20, seed=7)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty clusters of all complete embeddings."""
     return cluster_vectors(read(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2).drop("scanned")
@@ -104,7 +111,7 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_url_reputation, op5_token_files, op7_best_fit, op8_secret_scan,
                                    op9_pseudonyms, op10_quality_rules, op1_decontaminate, op3_line_dedup,
-                                   op4_min_max, op6_gated_lm, op12_centroids, op13_simhash)}
+                                   op4_min_max, op6_gated_lm, op11_importance, op12_centroids, op13_simhash)}
 
 
 def queries():
