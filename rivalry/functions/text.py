@@ -46,14 +46,19 @@ def _next_number(digits: Column) -> Column:
         F.concat(F.substr(digits, F.lit(1), at - 1), up.cast("string"), zeros))
 
 
+# Runs of what Python's str.split() parts words at: tabs, line ends, control separators and Unicode blanks too.
+_BLANKS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def split_request(text: Column) -> tuple[Column, Column, Column]:
     """Split request text into (ok, team_text, season_text).
 
-    Tokens are separated by whitespace; the last token is the season and the
-    rest, joined by single spaces, is the team.  Fewer than two tokens -> not ok.
+    Tokens are separated by whitespace of any kind; the last token is the
+    season and the rest, joined by single spaces, is the team.  Fewer than two
+    tokens -> not ok.
     """
-    tokens = F.split(F.trim(text), r"\s+")
-    n = F.when(F.trim(text) == "", F.lit(0)).otherwise(F.size(tokens))
+    tokens = F.filter(F.split(text, _BLANKS), lambda t: t != "")
+    n = F.coalesce(F.size(tokens), F.lit(0))
     ok = n >= 2
     season = F.when(ok, F.element_at(tokens, -1))
     team = F.when(ok, F.array_join(F.slice(tokens, 1, n - 1), " "))

@@ -56,11 +56,13 @@ def assert_unambiguous(target: DataFrame, stage: DataFrame,
 
 def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY,
                  update_cols: list[str] = UPDATE_COLS, check: bool = True,
-                 stage_rows: int | None = None) -> DataFrame:
+                 stage_rows: int | None = None, newer_by: list[str] | None = None) -> DataFrame:
     """Rows of ``target`` after MERGE with ``stage`` (columns in target order).
 
     ``stage_rows``: row count of a stage that is already a written table
-    (skips measuring it again).
+    (skips measuring it again).  ``newer_by``: columns of both sides; a matched
+    row is updated only if the stage's values of them, compared in this order
+    with NULL as the least, are not less than its own.
     """
     cols = target.columns
     st, small = bounded_broadcast(
@@ -70,6 +72,8 @@ def merge_upsert(target: DataFrame, stage: DataFrame, keys: list[str] = GAME_KEY
         measured = st.select(*[F.col(f"_s_{c}").alias(c) for c in stage.columns])
         assert_unambiguous(target, measured, keys)
     hit = F.col("_hit").isNotNull()
+    if newer_by:
+        hit = hit & (F.struct(*[F.col(f"_s_{c}") for c in newer_by]) >= F.struct(*newer_by))
     updated = target.join(st, _key_eq("_s_", keys), "left").select(
         *[F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols
           else F.col(c) for c in cols])

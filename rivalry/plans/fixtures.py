@@ -160,7 +160,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     Team spelled four ways by ``custkey % 4`` (alias, spaced alias, upper
     case with the letter A dropped, unknown club); season by
     ``(custkey div 4) % 3`` as a year, a two-year label or a bad string;
-    every 13th request has the season only (too few tokens).
+    every 13th request has the season only (too few tokens).  Blanks by
+    ``custkey % 7``: tabs, a trailing line feed, a leading tab, else single
+    spaces; every 17th request is two tabs.
     """
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
@@ -177,7 +179,12 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.concat(y.cast("string"), F.lit("x"))))
     kind = (F.when(F.pmod(k, F.lit(3)) == 0, KINDS[0])
              .when(F.pmod(k, F.lit(3)) == 1, KINDS[1]).otherwise(KINDS[2]))
-    text = F.when(F.pmod(k, F.lit(13)) == 0, season).otherwise(F.concat(team, F.lit(" "), season))
+    words = F.when(F.pmod(k, F.lit(13)) == 0, season).otherwise(F.concat(team, F.lit(" "), season))
+    blank = F.pmod(k, F.lit(7))
+    text = (F.when(F.pmod(k, F.lit(17)) == 0, "\t\t")
+             .when(blank == 1, F.replace(words, F.lit(" "), F.lit("\t")))
+             .when(blank == 2, F.concat(words, F.lit("\n")))
+             .when(blank == 3, F.concat(F.lit("\t"), words)).otherwise(words))
     return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
              .select(k.alias("request_id"), kind.alias("kind"), text.alias("text")))
 

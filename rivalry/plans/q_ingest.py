@@ -15,7 +15,7 @@ from rivalry.schemas import GAMES_COLS
 from rivalry.session import work_dir
 from rivalry.sources.csv import write_games_csv
 from rivalry.sources.payload import LANDED, flatten_payloads, latest_per_key, read_payloads
-from rivalry.sources.store import VersionedTable, write_partitioned
+from rivalry.sources.partitioned import write_partitioned
 from rivalry.sources.tables import TableRegistry, read_table as read_src
 from rivalry.streaming.ingest import ingest
 
@@ -64,7 +64,7 @@ def q_csv_bulk_load(spark, sf_dir):
     base = work_dir(spark, "csv")
     write_games_csv(X.games(spark, sf_dir), f"{base}/csv")
     full_refresh(spark, f"{base}/csv", f"{base}/table", unit=FIXTURE_UNIT)
-    return VersionedTable(spark, f"{base}/table").read().select(*GAMES_COLS)
+    return read_table(spark, f"{base}/table")
 
 
 @register("declared_source", O.with_ctes("SELECT * FROM games", games=O.GAMES))
@@ -131,6 +131,33 @@ def q_stream_ingest(spark, sf_dir):
     return read_table(spark, f"{base}/games")
 
 
+@register("stream_ingest_batches", DAILY_SQL)
+def q_stream_ingest_batches(spark, sf_dir):
+    """The same documents in several micro-batches, those of later requests first: the result is that of one load."""
+    base = work_dir(spark, "batches")
+    docs = X.payload_documents(spark, sf_dir)
+    asked = F.col("parameters.date")
+    # Files are taken in the order they landed.
+    for i, (low, high) in enumerate([("1997-01-01", "9999"), ("1994-06-01", "1997-01-01"), ("0000", "1994-06-01")]):
+        docs.filter((asked >= low) & (asked < high)).coalesce(1).write.mode("append").json(f"{base}/landing")
+    write_partitioned(X.merge_target(spark, sf_dir), f"{base}/games", unit=FIXTURE_UNIT)
+    ingest(spark, f"{base}/landing", f"{base}/games", f"{base}/_checkpoint", multiline=False, max_files_per_trigger=1)
+    return read_table(spark, f"{base}/games")
+
+
+@register("merge_atomic", O.with_ctes(
+    "SELECT 1 AS version, * FROM target UNION ALL SELECT 2 AS version, * FROM merged",
+    games=O.GAMES, target=MERGE_TARGET, stage=MERGE_STAGE, merged=merge_sql("target", "stage")))
+def q_merge_atomic(spark, sf_dir):
+    """The table before and after a MERGE: a frame opened before reads the old version, one opened after the new one."""
+    path = work_dir(spark, "atomic")
+    write_partitioned(X.merge_target(spark, sf_dir), path, unit=FIXTURE_UNIT)
+    before = read_table(spark, path)
+    upsert_into(spark, path, X.merge_stage(spark, sf_dir))
+    after = read_table(spark, path)
+    return before.select(F.lit(1).alias("version"), "*").unionByName(after.select(F.lit(2).alias("version"), "*"))
+
+
 @register("game_date_shift", """
 SELECT event_id, CAST(ts - INTERVAL 8 HOURS AS DATE) AS game_date,
        strftime(CAST(ts AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS previous_day
@@ -178,6 +205,35 @@ def q_refresh_incremental(spark, sf_dir):
     return I.read_models(spark, root)["team_season_stats"]
 
 
+EARLY_UNTIL = "1993-06-01"
+
+
+def stage_where(name: str, condition: str) -> dict[str, str]:
+    """CTEs of the stage of the documents that meet ``condition``, as ``name``."""
+    raw = STAGE_RAW.replace("WHERE (home_score + away_score) % 11 <> 0",
+                            f"WHERE (home_score + away_score) % 11 <> 0 AND {condition}")
+    return {f"{name}_raw": raw, name: STAGE_LATEST.replace("stage_raw", f"{name}_raw")}
+
+
+@register("refresh_recovered", O.with_ctes(
+    O.team_season_stats_sql("team_results"), games=O.GAMES, target=MERGE_TARGET,
+    **stage_where("late", f"date >= DATE '{INCREMENT_FROM}'"), **stage_where("early", f"date < DATE '{EARLY_UNTIL}'"),
+    once=merge_sql("target", "late"), merged=merge_sql("once", "early"), team_results=O.team_results_sql("merged")))
+def q_refresh_recovered(spark, sf_dir):
+    """A cycle that stops after its MERGE, then one that brings other seasons: the models cover both."""
+    from rivalry.plans import incremental as I
+    base = work_dir(spark, "recovered")
+    fact, root, asked = f"{base}/games", f"{base}/models", F.col("parameters.date")
+    write_partitioned(X.merge_target(spark, sf_dir), fact, unit=FIXTURE_UNIT)
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    docs = X.payload_documents(spark, sf_dir)
+    docs.filter(asked >= INCREMENT_FROM).write.json(f"{base}/late")
+    docs.filter(asked < EARLY_UNTIL).write.json(f"{base}/early")
+    I.daily_cycle(spark, f"{base}/late", fact, root, "2024-01-01 00:00:00", until="merged")
+    I.daily_cycle(spark, f"{base}/early", fact, root, "2024-01-02 00:00:00")
+    return I.read_models(spark, root)["team_season_stats"]
+
+
 # Fixed values of the NULL scenario: every fifth game has no date, every
 # seventh no season; the increment moves games into and out of the NULL season.
 NULLED = """

@@ -13,10 +13,13 @@ from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
 from rivalry.plans.models import build_biggest_win_loss, build_team_season_stats
 from rivalry.session import work_dir
-from rivalry.sources.store import write_partitioned
+from rivalry.sources.partitioned import write_partitioned
 
 REQUESTS = """
-SELECT request_id, kind, CASE WHEN request_id % 13 = 0 THEN season_txt ELSE team_txt || ' ' || season_txt END AS text
+SELECT request_id, kind, CASE WHEN request_id % 17 = 0 THEN chr(9) || chr(9)
+       WHEN request_id % 7 = 1 THEN replace(words, ' ', chr(9)) WHEN request_id % 7 = 2 THEN words || chr(10)
+       WHEN request_id % 7 = 3 THEN chr(9) || words ELSE words END AS text
+FROM (SELECT request_id, kind, CASE WHEN request_id % 13 = 0 THEN season_txt ELSE team_txt || ' ' || season_txt END AS words
 FROM (SELECT c_custkey AS request_id,
              CASE c_custkey % 3 WHEN 0 THEN 'seasonperformance' WHEN 1 THEN 'biggestwin' ELSE 'biggestloss' END AS kind,
              CASE c_custkey % 4 WHEN 0 THEN lower(n_name) WHEN 1 THEN replace(lower(n_name), '_', ' ')
@@ -24,7 +27,7 @@ FROM (SELECT c_custkey AS request_id,
              CASE (c_custkey // 4) % 3 WHEN 0 THEN CAST(1994 + c_custkey % 9 AS VARCHAR)
                   WHEN 1 THEN CAST(1994 + c_custkey % 9 AS VARCHAR) || '-' || CAST(1995 + c_custkey % 9 AS VARCHAR)
                   ELSE CAST(1994 + c_custkey % 9 AS VARCHAR) || 'x' END AS season_txt
-      FROM customer JOIN nation ON c_nationkey = n_nationkey)
+      FROM customer JOIN nation ON c_nationkey = n_nationkey))
 """
 ALIAS_NATION = """
 SELECT lower(n_name) AS alias, n_name AS canonical, CAST(n_nationkey AS BIGINT) * 1000000 AS ord FROM nation
@@ -35,9 +38,7 @@ PARSED = r"""
 SELECT request_id, kind, n >= 2 AS ok,
        CASE WHEN n >= 2 THEN array_to_string(tok[1:n-1], ' ') END AS team_txt,
        CASE WHEN n >= 2 THEN tok[n] END AS season_txt
-FROM (SELECT *, len(tok) AS n FROM (
-      SELECT *, CASE WHEN trim(text) = '' THEN []::VARCHAR[] ELSE string_split_regex(trim(text), '\s+') END AS tok
-      FROM requests))
+FROM (SELECT *, len(tok) AS n FROM (SELECT *, regexp_extract_all(text, '[^\s]+') AS tok FROM requests))
 """
 
 

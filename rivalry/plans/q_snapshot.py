@@ -200,7 +200,8 @@ def q_daily_cycle_snapshot(spark, sf_dir):
     from rivalry.plans import incremental as I
     from rivalry.plans.q_ingest import FIXTURE_UNIT, INCREMENT_FROM
     from rivalry.plans.refresh import test_and_snapshot
-    from rivalry.sources.store import VersionedTable, write_partitioned
+    from rivalry.sources.partitioned import write_partitioned
+    from rivalry.sources.store import VersionedTable
     base = work_dir(spark, "cycle")
     fact, root, landing = f"{base}/games", f"{base}/models", f"{base}/landing"
     write_partitioned(X.merge_target(spark, sf_dir), fact, unit=FIXTURE_UNIT)

@@ -14,6 +14,17 @@ GAMES = T.StructType([
 GAMES_COLS = [f.name for f in GAMES.fields]
 GAME_KEY = ["date", "home_team", "away_team"]
 
+# Of a fact row that came from a payload: the request and the landing that it came with.
+MARKS = T.StructType([
+    T.StructField("request_date", T.DateType()),
+    T.StructField("file_time", T.TimestampType()),
+    T.StructField("file_name", T.StringType()),
+])
+MARK_COLS = [f.name for f in MARKS.fields]
+# The stored fact: the match columns, and the marks (null for rows that came from elsewhere).
+FACT = T.StructType([*GAMES.fields, *MARKS.fields])
+FACT_COLS = [f.name for f in FACT.fields]
+
 # Per-participant view: two rows per contest.
 TEAM_RESULTS_COLS = [
     "date", "season", "team", "opponent_team", "home_away_status",

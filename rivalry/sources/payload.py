@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivalry.functions.dates import game_date
 from rivalry.functions.text import season_label
-from rivalry.schemas import GAME_KEY, GAMES_COLS, PAYLOAD
+from rivalry.schemas import FACT_COLS, GAME_KEY, GAMES_COLS, MARKS, PAYLOAD
 
 FINISHED = "Finished"
 
@@ -79,19 +79,23 @@ def payload_report(payloads: DataFrame) -> DataFrame:
 
 
 def latest_per_key(stage: DataFrame, keys: list[str] = GAME_KEY,
-                   order_col: str = "request_date") -> DataFrame:
+                   order_col: str = "request_date", marks: bool = False) -> DataFrame:
     """Reduce staging rows to one per key: the one from the latest request.
 
     Several payloads may carry the same game (a game moved to the previous
     date meets that date's own payload).  ``max_by`` is a partial aggregate,
     so a hot key is combined map-side.  Of documents for one request date the
     one that landed last wins (modification time, then file name); rows of
-    one document are told apart by their values, deterministically.
+    one document are told apart by their values, deterministically.  With
+    ``marks`` the winner's request and landing stay beside it (``schemas.MARKS``).
     """
     value_cols = [c for c in GAMES_COLS if c not in keys]
     landed = [c for c in LANDED if c in stage.columns]
     best = F.max_by(F.struct(*[F.col(c) for c in value_cols]),
                     F.struct(order_col, *landed, *[F.col(c) for c in value_cols]))
-    return (stage.groupBy(*keys).agg(best.alias("_v"))
-            .select(*keys, *[F.col("_v")[c].alias(c) for c in value_cols])
-            .select(*GAMES_COLS))
+    mark = F.max(F.struct(order_col, *landed))
+    rows = (stage.groupBy(*keys).agg(best.alias("_v"), mark.alias("_m"))
+            .select(*keys, *[F.col("_v")[c].alias(c) for c in value_cols],
+                    *[(F.col("_m")[f.name] if f.name in (order_col, *landed) else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in MARKS]))
+    return rows.select(*(FACT_COLS if marks else GAMES_COLS))

@@ -1,35 +1,36 @@
-"""Parquet storage: versioned tables with atomic publish, date-partitioned facts.
+"""Versioned tables with atomic publish; partition columns of date-partitioned facts.
 
 Versioned table layout::
 
     root/v-<n>-<attempt>/...   immutable parquet versions (one folder per write attempt)
     root/_versions/<n>         marker naming the attempt folder published as version n
 
-A writer first writes its attempt folder completely, then creates the marker
-``_versions/<n>`` with create-if-absent; readers take the highest marker and
-read the folder it names.  Readers therefore see the old or the new version,
-never half of one; two writers racing for the same ``n`` cannot both win; and
-a failed write attempt leaves an unpublished folder that a retry ignores.
-
-Date-partitioned fact: ``partitionBy(unit)`` where the partition column is
-named after its unit — ``day`` (the date itself, the default) or ``month``
-(``trunc(date, 'MM')``).  The merge key contains ``date`` and never changes,
-so a row never moves between partitions; an upsert rewrites only the
-partitions its stage touches (dynamic partition overwrite), an empty stage
-rewrites nothing.  With daily increments, ``day`` keeps the rewrite to the
-increment's own days; ``month`` rewrites whole months but makes fewer,
-larger partitions for small tables.  The unit of an existing table is read
-from its directory layout, so an upsert always uses the table's own unit.
+A writer first writes its attempt folder completely, then a marker under a
+name of its own, and links that as ``_versions/<n>`` only if there is none yet
+(``put_if_absent``); readers take the highest marker and read the folder it
+names.  Readers therefore see the old or the new version, never half of one;
+two writers racing for the same ``n`` cannot both win; and a failed write
+attempt leaves an unpublished folder that a retry ignores.  A writer that has
+read version ``n`` publishes with ``expect=n`` and fails if another version has
+come since.
+
+Date-partitioned facts (``sources/partitioned.py``) publish manifests of
+partition folders in this way.  The partition column is named after its unit —
+``day`` (the date itself, the default) or ``month`` (``trunc(date, 'MM')``).
+The merge key contains ``date`` and never changes, so a row never moves between
+partitions.  With daily increments, ``day`` keeps a rewrite to the increment's
+own days; ``month`` rewrites whole months but makes fewer, larger partitions
+for small tables.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -48,6 +49,43 @@ def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
     return status.getModificationTime(), status.getLen()
 
 
+class Conflict(RuntimeError):
+    """Another writer has published first."""
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file with all of its content at once; ``Conflict`` if it exists.
+
+    The content is written under a name of its own first.  File systems that
+    refuse to rename onto an existing file (HDFS and its like) decide the race
+    by the rename; on a local one a hard link does.
+    """
+    jvm = spark.sparkContext._jvm
+    final, fs = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{final.getParent().toString()}/_{uuid.uuid4().hex}.tmp")
+    out = fs.create(draft, False)
+    try:
+        out.writeUTF(text)
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            local = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0))
+                     for p in (final, draft)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+                fs.makeQualified(draft), fs.makeQualified(final), none)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        raise Conflict(f"{path} has been published by another writer") from None
+    finally:
+        fs.delete(draft, False)
+
+
 class VersionedTable:
     """Copy-on-write table: each publish writes a new immutable version."""
 
@@ -56,7 +94,7 @@ class VersionedTable:
         self.root = root.rstrip("/")
 
     def _markers(self) -> list[tuple[int, bool]]:
-        """``(version, complete)`` of every marker: one without content is a publish that is under way or died."""
+        """``(version, complete)`` of every marker: one without content is not a version."""
         p, fs = _fs(self.spark, f"{self.root}/_versions")
         if not fs.exists(p):
             return []
@@ -64,9 +102,13 @@ class VersionedTable:
                       if st.getPath().getName().isdigit())
 
     def current_version(self) -> int | None:
-        versions = [n for n, complete in self._markers() if complete]
+        versions = self.versions()
         return versions[-1] if versions else None
 
+    def versions(self) -> list[int]:
+        """All published versions."""
+        return [n for n, complete in self._markers() if complete]
+
     def version_path(self, n: int) -> str:
         p, fs = _fs(self.spark, f"{self.root}/_versions/{n}")
         stream = fs.open(p)
@@ -80,30 +122,35 @@ class VersionedTable:
         n = self.current_version() if version is None else version
         if n is None:
             raise FileNotFoundError(f"table {self.root} has no published version")
-        path = self.version_path(n)
-        df = self.spark.read.parquet(path)
-        unit = partition_unit(self.spark, path)
-        return df.drop(unit) if unit else df
+        return self.spark.read.parquet(self.version_path(n))
+
+    def publish(self, df: DataFrame, expect: int | None = -1) -> int:
+        """Write ``df`` as the next version, then publish it atomically.
 
-    def publish(self, df: DataFrame, partition_by: str | None = None) -> int:
-        """Write ``df`` as the next version, then publish it atomically."""
+        ``expect``: the version that ``df`` was made from (None: the table had
+        none); if it is no longer the current one, nothing is published and
+        ``Conflict`` is raised.
+        """
         n = max([0, *(k for k, _ in self._markers())]) + 1
         name = f"v-{n:08d}-{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(f"{self.root}/{name}")
-        p, fs = _fs(self.spark, f"{self.root}/_versions/{n}")
-        out = fs.create(p, False)  # create-if-absent: fails if a racing writer won
-        try:
-            out.writeUTF(name)
-        finally:
-            out.close()
+        df.write.mode("errorifexists").parquet(f"{self.root}/{name}")
+        if expect != -1 and self.current_version() != expect:
+            raise Conflict(f"{self.root} has left version {expect}")
+        put_if_absent(self.spark, f"{self.root}/_versions/{n}", name)
         return n
 
+    def forget(self, keep: int) -> list[int]:
+        """Drop all but the last ``keep`` versions; returns those dropped."""
+        old = self.versions()[:-keep] if keep > 0 else []
+        for n in old:
+            folder = self.version_path(n)
+            for path in (f"{self.root}/_versions/{n}", folder):
+                p, fs = _fs(self.spark, path)
+                fs.delete(p, True)
+        return old
+
 
 UNITS = ("day", "month")
-PARTITION_COLS = UNITS
 
 
 def partition_value(date_col: Column, unit: str = "day") -> Column:
@@ -131,78 +178,3 @@ def clustered(df: DataFrame, unit: str = "day", date_col: str = "date", files: i
     keyed = with_partition(df, unit, date_col)
     ties = [c for c in tie_cols if c in keyed.columns]
     return keyed.repartitionByRange(n, unit, date_col, *ties)
-
-
-def write_partitioned(df: DataFrame, path: str, unit: str = "day", date_col: str = "date",
-                      files: int | None = None) -> None:
-    """Full write of a date-partitioned fact table."""
-    clustered(df, unit, date_col, files).write.mode("overwrite").partitionBy(unit).parquet(path)
-
-
-def current_folder(spark: SparkSession, path: str) -> str:
-    """The folder that holds a table's data: the published version of a versioned table, else the path itself."""
-    table = VersionedTable(spark, path)
-    return table.version_path(table.current_version()) if path_exists(spark, f"{table.root}/_versions") else path
-
-
-def partition_unit(spark: SparkSession, path: str) -> str | None:
-    """The unit that a table's first-level directories are named after, if any."""
-    p, fs = _fs(spark, path)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        for unit in UNITS:
-            if name.startswith(f"{unit}="):
-                return unit
-    return None
-
-
-def table_unit(spark: SparkSession, path: str) -> str:
-    """Partition unit of an existing table, from its first-level directories."""
-    unit = partition_unit(spark, path)
-    if unit is None:
-        raise ValueError(f"{path} is not a date-partitioned table")
-    return unit
-
-
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    path = current_folder(spark, path)
-    df = spark.read.parquet(path)
-    unit = partition_unit(spark, path)
-    return df.drop(unit) if unit else df
-
-
-# Touched partitions listed on the driver for static pruning; beyond this the
-# scan is pruned to their range and the rest is left to a semi join.
-LOCAL_PARTITIONS = 10_000
-
-
-def partitions_of(spark: SparkSession, path: str, dates: DataFrame, date_col: str = "date",
-                  max_local: int = LOCAL_PARTITIONS) -> DataFrame:
-    """Rows of a date-partitioned table in the partitions that ``dates`` falls into (the NULL one included).
-
-    The predicate stands on the partition column itself, as a list of values
-    or, for more than ``max_local`` of them, as their range, so the scan never
-    lists other partitions.
-    """
-    path = current_folder(spark, path)
-    unit = table_unit(spark, path)
-    values = dates.select(partition_value(F.col(date_col), unit).alias(unit)).distinct()
-    table = spark.read.parquet(path)
-    local = values.limit(max_local + 1).collect()
-    if len(local) <= max_local:
-        known = [r[0] for r in local if r[0] is not None]
-        touched = F.col(unit).isin(known) if known else F.lit(False)
-        if len(known) < len(local):
-            touched = touched | F.col(unit).isNull()
-        return table.filter(touched)
-    low, high, nulls = values.agg(F.min(unit), F.max(unit), F.max(F.col(unit).isNull())).first()
-    ranged = table.filter(F.col(unit).between(F.lit(low), F.lit(high)))
-    found = ranged.join(values.filter(F.col(unit).isNotNull()), unit, "left_semi").select(*table.columns)
-    return found.unionByName(table.filter(F.col(unit).isNull())) if nulls else found
-
-
-def overwrite_partitions(df_with_part: DataFrame, path: str, unit: str) -> None:
-    """Dynamic partition overwrite: only partitions present in ``df_with_part`` are replaced."""
-    (df_with_part.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(unit).parquet(path))

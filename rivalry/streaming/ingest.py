@@ -2,8 +2,11 @@
 
 Each newly landed payload file is read once (the file source tracks what it
 has seen in the checkpoint), flattened, reduced to one row per game key and
-MERGEd into the date-partitioned fact table in ``foreachBatch``.  The
-upsert is idempotent, so a micro-batch replayed after a failure rewrites the
+MERGEd into the date-partitioned fact table in ``foreachBatch``.  Every fact
+row carries the request date and landing it came with, and a batch updates a
+row only if its own are not older: the result is that of one load of all
+documents, however they are cut into batches and whenever older ones arrive.
+The upsert is idempotent, so a micro-batch replayed after a failure leaves the
 same rows.  ``availableNow`` processes everything landed so far and stops,
 which suits a scheduled run; a continuous deployment uses
 ``processingTime`` instead.
@@ -41,7 +44,7 @@ def ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint_lo
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         if strict:
             gate(payload_report(batch))
-        upsert_into(batch.sparkSession, table_path, stage_from_payloads(batch))
+        upsert_into(batch.sparkSession, table_path, stage_from_payloads(batch), latest=True)
 
     w = (payload_stream(spark, landing_dir, multiline, max_files_per_trigger)
          .writeStream.foreachBatch(upsert_batch)

@@ -47,11 +47,13 @@ def test_previous_day_text_and_processing_date(spark):
 
 
 def test_split_request(spark):
-    df = spark.createDataFrame([("spurs 2016",), ("san  antonio 2016",), ("2016",), ("",), ("  a b  c ",)], "t string")
+    df = spark.createDataFrame([("spurs 2016",), ("san  antonio 2016",), ("2016",), ("",), ("  a b  c ",), ("\t\t",), ("\tboston 2016",),
+                                ("boston 2016\n",), ("a\u00a0b\u2003c\x1f1",), (None,)], "t string")
     ok, team, season = T.split_request(F.col("t"))
     got = [tuple(r) for r in df.select(ok, team, season).collect()]
     assert got == [(True, "spurs", "2016"), (True, "san antonio", "2016"), (False, None, None),
-                   (False, None, None), (True, "a b", "c")]
+                   (False, None, None), (True, "a b", "c"), (False, None, None), (True, "boston", "2016"),
+                   (True, "boston", "2016"), (True, "a b c", "1"), (False, None, None)]
 
 
 def test_reply_text(spark):

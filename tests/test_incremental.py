@@ -1,7 +1,7 @@
 from conftest import games_df
 from rivalry.plans import incremental as I
 from rivalry.plans.loads import upsert_into
-from rivalry.sources.store import write_partitioned
+from rivalry.sources.partitioned import write_partitioned
 
 
 def rows(df):
@@ -128,7 +128,7 @@ def test_a_cycle_that_died_is_made_up_for(spark, tmpdir_spark):
 
 
 def test_touched_seasons_scan_names_the_partitions(spark, tmpdir_spark):
-    from rivalry.sources.store import partitions_of
+    from rivalry.sources.partitioned import partitions_of
     path = tmpdir_spark("fact")
     write_partitioned(games_df(spark, [(f"2019-11-{d:02d}", "2019-2020", "A", "B", 1, 2) for d in range(1, 21)]
                                + [(None, "2019-2020", "A", "B", 3, 4)]), path, unit="day")

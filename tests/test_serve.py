@@ -41,7 +41,7 @@ def test_games_on_dates_statuses(spark):
 
 
 def test_single_date_lookup_prunes_partitions(spark, tmpdir_spark):
-    from rivalry.sources.store import write_partitioned
+    from rivalry.sources.partitioned import write_partitioned
     for unit in ("day", "month"):
         path = tmpdir_spark("games")
         write_partitioned(games_df(spark, [("2024-01-05", "s", "A", "B", 1, 2), ("2024-01-06", "s", "C", "D", 3, 4),

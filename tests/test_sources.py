@@ -101,7 +101,7 @@ def test_latest_request_wins(spark):
 def test_daily_load_stops_on_payload_without_start(spark, tmpdir_spark):
     from rivalry.operators.quality import QualityGateError
     from rivalry.plans.loads import daily_load
-    from rivalry.sources.store import write_partitioned
+    from rivalry.sources.partitioned import write_partitioned
     base = local(tmpdir_spark("landing"))
     write_text(f"{base}/a.json", PAYLOAD.replace('"start": "2024-01-05T02:00:00.000Z"', '"start": null'))
     table = tmpdir_spark("games")
@@ -137,7 +137,7 @@ def test_csv_gzip_read_in_place(spark, tmpdir_spark):
     ('"points": 100', '"points": "n/a"'), ('"points": 100', '"points": "101"'), ('"season": 2023', '"season": "x"')])
 def test_a_value_of_another_type_stops_the_load(spark, tmpdir_spark, old, new):
     from rivalry.plans.loads import daily_load, read_table
-    from rivalry.sources.store import write_partitioned
+    from rivalry.sources.partitioned import write_partitioned
     base, table = local(tmpdir_spark("landing")), tmpdir_spark("games")
     write_text(f"{base}/a.json", PAYLOAD.replace(old, new))
     write_partitioned(games_df(spark, [("2024-01-01", "s", "A", "B", 1, 2)]), table)
@@ -179,7 +179,7 @@ def test_of_two_documents_for_one_date_the_later_file_wins(spark, tmpdir_spark):
 
 def test_a_run_loads_its_processing_date(spark, tmpdir_spark):
     from rivalry.plans.loads import daily_load, read_table
-    from rivalry.sources.store import write_partitioned
+    from rivalry.sources.partitioned import write_partitioned
     base, table = local(tmpdir_spark("landing")), tmpdir_spark("games")
     write_text(f"{base}/a.json", PAYLOAD)
     write_text(f"{base}/b.json", PAYLOAD.replace("2024-01-05", "2024-02-05"))

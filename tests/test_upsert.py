@@ -1,13 +1,13 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from conftest import games_df
 from rivalry.operators.upsert import merge_conflicts, merge_upsert
 from rivalry.plans.loads import read_table, upsert_into
 from rivalry.schemas import GAMES_COLS
-from rivalry.sources.store import write_partitioned
+from rivalry.sources.partitioned import PartitionedTable, folder_value, write_partitioned
 
 D1, D2 = "2020-01-01", "2020-02-01"
 
@@ -58,10 +58,10 @@ def test_merge_target_streamed_not_shuffled(spark):
 
 def _partition_files(path):
     out = {}
-    for d in sorted(os.listdir(path.replace("file:", ""))):
-        if d.startswith("month=") or d.startswith("day="):
-            full = os.path.join(path.replace("file:", ""), d)
-            out[d] = sorted(f for f in os.listdir(full) if f.endswith(".parquet"))
+    table = PartitionedTable(SparkSession.getActiveSession(), path)
+    for e in table.entries().values():
+        d = f"{table.unit}={folder_value(e.value)}"
+        out[d] = sorted(f for f in os.listdir(f"{path.replace('file:', '')}/data/gen={e.gen}/{d}") if f.endswith(".parquet"))
     return out
 
 
@@ -92,7 +92,7 @@ def test_upsert_storage_null_dates_and_new_partitions(spark, tmpdir_spark, unit)
     upsert_into(spark, path, stage)
     expected = sorted(map(str, merge_upsert(target, stage).select(*GAMES_COLS).collect()))
     assert sorted(map(str, read_table(spark, path).collect())) == expected
-    assert any(d.startswith(f"{unit}=") for d in os.listdir(path.replace("file:", "")))
+    assert all(d.startswith(f"{unit}=") for d in _partition_files(path))
 
 
 def test_upsert_many_partitions_uses_semi_join_pruning(spark, tmpdir_spark, monkeypatch):
