@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rivalry.session import work_dir
@@ -39,3 +41,15 @@ def docs_of(df: DataFrame, *extra: str, text: str = "text", doc_id: str = "doc_i
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Shared:
+    """A broadcast value whose classes travel with it: executors need no copy of the package, of which a plain broadcast
+    would keep the classes' names only."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.raw = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self.raw.value)

@@ -81,18 +81,26 @@ class Lanes:
         self.keep = (self.input != start).astype(FLOAT)[:, :, None]
 
 
-def softmax(x: np.ndarray, at: np.ndarray, targets: np.ndarray, all_chances: bool) -> np.ndarray:
-    """Log chance of each row's target; turns ``x`` into all rows' chances if they are asked for.
+# Room for exponentials: sums of a class's outputs stay below 1e38, and outputs may lie 160 apart.
+ROOM = FLOAT(75)
 
-    One shift for all rows keeps the exponentials in range: states are within 1, so rows differ by the weights only.
-    """
-    x -= x.max()
-    score = x[at, targets]
+
+def shifted(weights: np.ndarray) -> np.ndarray:
+    """A softmax's weights (biases in the last row), the biases moved so that no output exceeds ``ROOM``: states are
+    within 1, so the weights bound the outputs."""
+    out = weights.copy()
+    out[-1] += ROOM - (np.abs(weights[:-1]).sum(axis=0) + weights[-1]).max()
+    return out
+
+
+def chances(states: np.ndarray, weights: np.ndarray, target: np.ndarray):
+    """Log chance of each row's target, the exponentials of all outputs, and their sums."""
+    x = states @ weights
+    score = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    total = np.maximum(x @ np.ones(x.shape[1], FLOAT), FLOAT(1e-37))
-    if all_chances:
-        x /= total[:, None]
-    return score - np.log(total)
+    total = x @ np.ones(x.shape[1], FLOAT)
+    score -= np.log(total)
+    return score, x, total
 
 
 class Model:
@@ -107,17 +115,17 @@ class Model:
         steps, lanes = inputs.shape
         before, after, reset = (np.empty((steps, lanes, n), FLOAT) for _ in range(3))
         gates, candidate = np.empty((steps, lanes, 2 * n), FLOAT), np.empty((steps, lanes, n), FLOAT)
-        # sigmoid(x) = (tanh(x / 2) + 1) / 2; every step writes into the arrays of the window.
-        half = p["gates"] * FLOAT(0.5)
-        to_gates, to_candidate = given[:, :, :2 * n] * FLOAT(0.5), given[:, :, 2 * n:]
+        # Every step writes into the arrays of the window; sigmoid(x) = 1 / (1 + exp(-x)).
+        minus = -p["gates"]
+        to_gates, to_candidate = -given[:, :, :2 * n], given[:, :, 2 * n:]
         for t in range(steps):
             b, g, r, c = before[t], gates[t], reset[t], candidate[t]
             np.multiply(h, keep[t], out=b)
-            np.matmul(b, half, out=g)
+            np.matmul(b, minus, out=g)
             g += to_gates[t]
-            np.tanh(g, out=g)
+            np.exp(g, out=g)
             g += 1
-            g *= FLOAT(0.5)
+            np.reciprocal(g, out=g)
             np.multiply(g[:, n:], b, out=r)
             np.matmul(r, p["candidate"], out=c)
             c += to_candidate[t]
@@ -128,34 +136,53 @@ class Model:
         return h, (before, after, reset, gates, candidate)
 
     def outputs(self, states, targets, backward: bool):
-        """Log chance of each target (of its class, and of a frequent word in it); gradients if asked for."""
-        p, shape = self.p, self.shape
+        """Log chance of each target (of its class, and of a frequent word in it); gradients if asked for.
+
+        Rows are taken in the order of their targets, so those of a class, and those of a word, are runs.  A gradient is
+        that of the chances, whose sums scale the states and not the many outputs, less that of the targets, added up
+        per run.
+        """
+        p, shape, h = self.p, self.shape, self.shape.hidden
+        order = np.argsort(targets, kind="stable")
+        targets = targets[order]
+        s = np.empty((len(order), h + 1), FLOAT)
+        s[:, :h], s[:, h] = states[order], 1
         is_word = targets < shape.words
         group = np.where(is_word, targets // shape.width, targets - shape.words + shape.groups)
-        rows = np.arange(len(targets))
-        d = states @ p["class_w"]
-        d += p["class_b"]
-        score = softmax(d, rows, group, backward)
-        grads = {}
+        weights = shifted(np.vstack([p["class_w"], p["class_b"]]))
+        score, e, total = chances(s, weights, group)
+        ends = np.searchsorted(group, np.arange(shape.groups + 1))
         if backward:
-            d[rows, group] -= 1
-            grads = {"class_w": states.T @ d, "class_b": d.sum(axis=0), "word_w": np.zeros_like(p["word_w"]),
-                     "word_b": np.zeros_like(p["word_b"]), "states": d @ p["class_w"].T}
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(shape.groups + 1))
+            inverse = (1 / total)[:, None]
+            g_class = (s * inverse).T @ e
+            own, first = np.unique(group, return_index=True)
+            g_class[:, own] -= np.add.reduceat(s, first, axis=0).T
+            g_states = (e @ p["class_w"].T) * inverse - p["class_w"].T[group]
+            g_word = np.zeros((shape.groups, h + 1, shape.width), FLOAT)
         for k in range(shape.groups):
-            own = order[ends[k]:ends[k + 1]]
-            if not len(own):
+            part = slice(ends[k], ends[k + 1])
+            if ends[k] == ends[k + 1]:
                 continue
-            s, inside, at = states[own], targets[own] - k * shape.width, np.arange(len(own))
-            d = s @ p["word_w"][k]
-            d += p["word_b"][k]
-            score[own] += softmax(d, at, inside, backward)
+            weights = shifted(np.concatenate([p["word_w"][k], p["word_b"][k][None]]))
+            inside = targets[part] - k * shape.width
+            more, e, total = chances(s[part], weights, inside)
+            score[part] += more
             if backward:
-                d[at, inside] -= 1
-                grads["word_w"][k], grads["word_b"][k] = s.T @ d, d.sum(axis=0)
-                grads["states"][own] += d @ p["word_w"][k].T
-        return score, grads
+                inverse = (1 / total)[:, None]
+                g_word[k] = (s[part] * inverse).T @ e
+                g_states[part] += (e @ p["word_w"][k].T) * inverse - p["word_w"][k].T[inside]
+        out = np.empty_like(score)
+        out[order] = score
+        if not backward:
+            return out, {}
+        words = targets[:ends[-1]]
+        if len(words):
+            own, first = np.unique(words, return_index=True)
+            g_word[own // shape.width, :, own % shape.width] -= np.add.reduceat(s[:ends[-1]], first, axis=0)
+        grads = {"class_w": g_class[:h], "class_b": g_class[h], "word_w": g_word[:, :h], "word_b": g_word[:, h],
+                 "states": np.empty_like(g_states)}
+        grads["states"][order] = g_states
+        return out, grads
 
     def windows(self, lanes: Lanes, steps: int):
         """Windows of all lanes in order, with the state before each; lanes that have ended are left out."""
@@ -210,14 +237,25 @@ class Model:
         given = np.empty((steps, lanes, 3 * n), FLOAT)
         carry = np.zeros((lanes, n), FLOAT)
         gates_t, candidate_t = np.ascontiguousarray(p["gates"].T), np.ascontiguousarray(p["candidate"].T)
+        # What doesn't depend on later steps, for the whole window at once.
+        update, forget = gates[:, :, :n], gates[:, :, n:]
+        to_candidate = update * (1 - candidate * candidate)
+        to_update = (candidate - before) * update * (1 - update)
+        to_forget = before * forget * (1 - forget)
+        stays = 1 - update
         for t in range(steps - 1, -1, -1):
-            d, b, g, c = out[t] + carry, before[t], gates[t], candidate[t]
-            update, forget = g[:, :n], g[:, n:]
-            dc = d * update * (1 - c * c)
+            d, g = out[t], given[t]
+            d += carry
+            dc = np.multiply(d, to_candidate[t], out=g[:, 2 * n:])
             dr = dc @ candidate_t
-            dg = np.concatenate([d * (c - b), dr * b], axis=1) * (g * (1 - g))
-            carry = (d * (1 - update) + dr * forget + dg @ gates_t) * keep[t]
-            given[t, :, :2 * n], given[t, :, 2 * n:] = dg, dc
+            np.multiply(d, to_update[t], out=g[:, :n])
+            np.multiply(dr, to_forget[t], out=g[:, n:2 * n])
+            np.matmul(g[:, :2 * n], gates_t, out=carry)
+            dr *= forget[t]
+            carry += dr
+            d *= stays[t]
+            carry += d
+            carry *= keep[t]
         flat = given.reshape(-1, 3 * n)
         vector = np.zeros(self.shape.size, FLOAT)
         q = self.shape.split(vector)

@@ -1,9 +1,12 @@
 """Scores of whole texts by a gated recurrent language model (``gated_model.py``).
 
-Word counts come from all training documents, added up per task before they
-are shuffled.  The model learns from all training documents in rounds: in a
-round every trainer task runs over its share from the same parameters, and
-the mean of their results, weighted by tokens, starts the next round.  Scoring
+Word counts come from all training documents, added up per block before they
+are shuffled.  The model learns from all training documents, each in one of
+several rounds.  A round's documents are dealt by their hash into shares of a
+fixed size in tokens; a share is learned from in a fixed order, from the same
+parameters as all others, and the mean of the results, weighted by tokens,
+starts the next round.  Shares, their order and the order of every sum follow
+from the documents alone, so the scores don't depend on the cluster.  Scoring
 walks every whole document.  Only words above a count (at most ``head`` words,
 so of fixed bound) are broadcast; the other words of a document are joined
 with the counts by shuffle.
@@ -17,14 +20,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivalry.llm.common import docs_of, table
+from rivalry.llm.common import Shared, docs_of, table
 from rivalry.llm.gated_model import Model, Shape
-from rivalry.llm.tokens import texts
+from rivalry.llm.tokens import Words, blocks
 
 END = b"\n"  # no word has white space
 ALPHA = 0.1
@@ -32,12 +34,6 @@ ENDINGS = 32
 CHUNK = 4096
 
 
-def words_of(text: bytes) -> list[bytes]:
-    words = text.lower().split()
-    words.append(END)
-    return words
-
-
 def ending_of(word: bytes) -> int:
     """The class of a word that isn't frequent: by its last two bytes."""
     return zlib.crc32(word[-2:]) % ENDINGS
@@ -47,24 +43,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def word_counts(docs: DataFrame, hold: int = 400_000) -> DataFrame:
-    """word, c, ending: of all tokens; a task holds at most about ``hold`` words at a time."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, c, ending: of all tokens; each block of texts is added up first."""
     def count(batches):
         import pyarrow as pa
-        held = Counter()
-
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.binary()),
-                                                pa.array(list(held.values()), pa.int64())], names=["word", "c"])
-            held.clear()
-            return batch
-
-        for batch in batches:
-            for text in texts(batch):
-                held.update(words_of(text))
-                if len(held) >= hold:
-                    yield out()
-        yield out()
+        for (found,) in blocks((b.column("text"),) for b in batches):
+            words = Words(found, END)
+            c = np.bincount(words.codes, minlength=len(words.array))
+            own = np.flatnonzero(c)  # not the empty word that white space leaves
+            yield pa.RecordBatch.from_arrays([words.array.take(pa.array(own)), pa.array(c[own])], names=["word", "c"])
 
     return table(docs.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
                  .withColumn("ending", F.crc32(F.substring("word", -2, 2)) % ENDINGS), "word-counts")
@@ -83,41 +70,6 @@ def head_floor(counts: DataFrame, head: int) -> int:
     return 1
 
 
-class Words(dict):
-    """Words to numbers: those of the head in their order, then others as they come (``extra``)."""
-
-    def __init__(self, head: list[bytes], frequent: int, limit: int = 400_000):
-        super().__init__((w, i) for i, w in enumerate(head))
-        self.head, self.frequent, self.limit = head, frequent, limit
-        self.symbols = np.array([i if i < frequent else frequent + ending_of(w) for i, w in enumerate(head)], np.int32)
-        self.extra: list[bytes] = []
-        self.extra_symbols: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = i = len(self.head) + len(self.extra)
-        self.extra.append(word)
-        self.extra_symbols.append(self.frequent + ending_of(word))
-        return i
-
-    def forget(self) -> None:
-        """Between documents: drop the words beyond the head if there are too many."""
-        if len(self.extra) > self.limit:
-            for w in self.extra:
-                del self[w]
-            self.extra, self.extra_symbols = [], []
-
-    def numbers(self, text: bytes) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
-
-    def symbols_of(self, numbers: np.ndarray) -> np.ndarray:
-        n = len(self.head)
-        out = self.symbols[np.minimum(numbers, n - 1)]
-        for i in np.flatnonzero(numbers >= n).tolist():
-            out[i] = self.extra_symbols[numbers[i] - n]
-        return out
-
-
 class Endings(dict):
     """The last two bytes of a word that isn't frequent to its symbol; at most 65,792 entries."""
 
@@ -131,14 +83,14 @@ class Endings(dict):
 
 
 class Symbols:
-    """Texts to the model's symbols, for training: needs the frequent words only."""
+    """Words to the model's symbols: frequent ones have their own, others that of their ending."""
 
     def __init__(self, frequent: list[bytes]):
         self.words, self.endings = {w: i for i, w in enumerate(frequent)}, Endings(len(frequent))
 
-    def of(self, text: bytes) -> np.ndarray:
-        words, endings = words_of(text), self.endings
-        return np.array([endings[w[-2:]] if s is None else s for s, w in zip(map(self.words.get, words), words)], np.int32)
+    def of(self, distinct: list[bytes]) -> np.ndarray:
+        endings = self.endings
+        return np.array([endings[w[-2:]] if s is None else s for s, w in zip(map(self.words.get, distinct), distinct)], np.int32)
 
 
 class Language:
@@ -175,35 +127,62 @@ class Language:
         return np.log10((c + ALPHA) / (self.ending_n[word_ending] + ALPHA * (self.ending_v[word_ending] + 1)))
 
 
-def train_round(docs: DataFrame, language: Language, vector: np.ndarray, rate: float) -> np.ndarray:
-    """Every trainer's pass over its documents from the same parameters; the mean of their results."""
+# Tokens of a share, and groups of shares that are added up where they are learned from.
+SHARE, GROUPS = 2_000_000, 4096
+
+
+def train_round(docs: DataFrame, language: Language, vector: np.ndarray, rate: float, shares: int) -> np.ndarray:
+    """Every share's pass over its documents (share, hash, doc_id, text) from the same parameters; the mean of the
+    results."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((language.head[:language.frequent], language.shape, vector))
+    shared = Shared(spark, (language.head[:language.frequent], language.shape, vector))
+    # Few shares: each is a group.  Many: neighbours are added up in their order, so that the sums stay few.
+    size = -(-shares // GROUPS)
 
     def train(batches):
         import pyarrow as pa
         frequent, shape, start = shared.value
-        symbols, model = Symbols(frequent), Model(shape, start.copy())
-        squares, seen = np.zeros(shape.size, np.float32), 0
-        for batch in batches:
-            docs = [symbols.of(text) for text in texts(batch)]
-            model.train(docs, squares, rate)
-            seen += sum(map(len, docs))
-        if seen:
-            result = model.vector.astype(np.float64) * seen
-            for i in range(0, len(result), CHUNK):
+        symbols, now, total, seen = Symbols(frequent), None, None, 0
+
+        def parts():
+            for batch in batches:
+                share = batch.column("share").to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(share)]
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    if b > a:
+                        yield int(share[a]), batch.column("text").slice(a, b - a)
+
+        def out():
+            for i in range(0, shape.size, CHUNK):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int32()), pa.array([result[i:i + CHUNK].tobytes()], pa.binary()),
-                     pa.array([seen], pa.int64())], names=["chunk", "sums", "n"])
+                    [pa.array([i], pa.int32()), pa.array([now], pa.int64()), pa.array([total[i:i + CHUNK].tobytes()], pa.binary()),
+                     pa.array([seen], pa.int64())], names=["chunk", "part", "sums", "n"])
+
+        from itertools import groupby
+        for share, own in groupby(parts(), key=lambda part: part[0]):
+            if share // size != now:
+                if now is not None:
+                    yield from out()
+                now, total, seen = share // size, np.zeros(shape.size), 0
+            model, squares, n = Model(shape, start.copy()), np.zeros(shape.size, np.float32), 0
+            for (found,) in blocks((text,) for _, text in own):
+                words = Words(found, END)
+                stream = symbols.of(words.distinct)[words.codes]
+                model.train(np.split(stream, words.starts[1:-1]), squares, rate)
+                n += len(stream)
+            total += model.vector.astype(np.float64) * n
+            seen += n
+        if now is not None:
+            yield from out()
 
     def add(batches):
-        # Chunks arrive in order: one sum is held at a time.
+        # Chunks arrive in order, and each chunk's parts: one sum is held at a time, and is always the same.
         import pyarrow as pa
         now, total, n = None, None, 0
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary()),
-                                               pa.array([n], pa.int64())], names=["chunk", "sums", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0]), pa.array([total.tobytes()], pa.binary()),
+                                               pa.array([n], pa.int64())], names=["chunk", "part", "sums", "n"])
 
         for batch in batches:
             for i, raw, k in zip(*(batch.column(c).to_pylist() for c in ("chunk", "sums", "n"))):
@@ -217,10 +196,12 @@ def train_round(docs: DataFrame, language: Language, vector: np.ndarray, rate: f
         if now is not None:
             yield out()
 
-    schema = "chunk int, sums binary, n long"
-    trainers = max(1, 2 * spark.sparkContext.defaultParallelism)
-    sums = (docs.select("text").coalesce(trainers).mapInArrow(train, schema)
-            .repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, schema)).toArrow()
+    schema = "chunk int, part long, sums binary, n long"
+    group = F.floor(F.col("share") / size)
+    n = min(-(-shares // size), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sums = (docs.repartition(n, group).sortWithinPartitions("share", "hash", "doc_id").select("share", "text")
+            .mapInArrow(train, schema)
+            .repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(add, schema)).toArrow()
     mean = vector.copy()
     for i, raw, n in zip(*(sums.column(c).to_pylist() for c in ("chunk", "sums", "n"))):
         mean[i:i + CHUNK] = (np.frombuffer(raw) / n).astype(np.float32)
@@ -228,13 +209,16 @@ def train_round(docs: DataFrame, language: Language, vector: np.ndarray, rate: f
 
 
 def learn(docs: DataFrame, counts: DataFrame, head: int = 250_000, frequent: int = 2048, hidden: int = 16,
-          rounds: int = 3, rate: float = 0.1) -> tuple[Language, np.ndarray]:
+          rounds: int = 3, rate: float = 0.1, share: int = SHARE) -> tuple[Language, np.ndarray]:
     """The language and its parameters: each training document is learned from once, in one of the rounds."""
     language = Language(counts, head, frequent, hidden)
     vector = language.first()
+    shares = max(1, round(language.n / rounds / share))
+    place = F.pmod("hash", F.lit(rounds * shares))
+    dealt = docs.withColumn("hash", F.xxhash64("doc_id", "text"))
     for i in range(rounds):
-        own = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i)
-        vector = train_round(own, language, vector, rate)
+        own = dealt.where(F.pmod(place, F.lit(rounds)) == i).withColumn("share", F.floor(place / rounds))
+        vector = train_round(own, language, vector, rate, shares)
     return language, vector
 
 
@@ -244,41 +228,38 @@ TAIL = "array<struct<word: binary, tf: long>>"
 def score(docs: DataFrame, language: Language, vector: np.ndarray, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((language, vector))
+    shared = Shared(spark, (language, vector))
 
     def scan(batches):
         import pyarrow as pa
         language, vector = shared.value
-        words, model = Words(language.head, language.frequent), Model(language.shape, vector)
-        n_head, frequent = len(language.head), language.frequent
-        base = language.base(language.counts)
-        share = np.zeros(n_head)
-        share[frequent:] = language.share(words.symbols[frequent:] - frequent, language.counts[frequent:])
-        known = language.counts > 0
-        for batch in batches:
-            symbols, sums, place, ends, tail_words, tail_counts = [], [], [], [0], [], []
-            # Equal texts have equal scores: each is walked once a batch.
-            seen: dict[bytes, int] = {}
-            for text in texts(batch):
-                numbers = words.numbers(text)
-                place.append(seen.setdefault(text, len(symbols)))
-                if place[-1] == len(symbols):
-                    symbols.append(words.symbols_of(numbers))
-                inside = numbers[numbers < n_head]
-                sums.append((len(numbers), int(known[inside].sum()), float(base[inside].sum()), float(share[inside].sum())))
-                rest, tf = np.unique(numbers[numbers >= n_head], return_counts=True)
-                tail_words += [words.extra[i - n_head] for i in rest.tolist()]
-                tail_counts.append(tf)
-                ends.append(len(tail_words))
-                words.forget()
-            logs = model.score(symbols)[place] / math.log(10)
+        number_of, symbols = {w: i for i, w in enumerate(language.head)}, Symbols(language.head[:language.frequent])
+        model, frequent = Model(language.shape, vector), language.frequent
+        # One more place, for words beyond the head.
+        base, share = np.append(language.base(language.counts), 0.0), np.zeros(len(language.head) + 1)
+        share[frequent:-1] = language.share(symbols.of(language.head[frequent:]) - frequent, language.counts[frequent:])
+        known = np.append(language.counts > 0, False)
+        for found, ids in blocks((b.column("text"), b.column("doc_id")) for b in batches):
+            # Equal texts have equal scores: each is walked once a block.
+            every = found.dictionary_encode()
+            place = every.indices.to_numpy(zero_copy_only=False)
+            words = Words(every.dictionary, END)
+            distinct = words.distinct
+            own = np.array([number_of.get(w, -1) for w in distinct], np.int64)
+            numbers, first = own[words.codes], words.starts[:-1]
+            sizes = np.diff(words.starts)
+            logs = model.score(np.split(symbols.of(distinct)[words.codes], first[1:])) / math.log(10)
+            sums = [np.add.reduceat(x, first) for x in (known[numbers].astype(np.int64), base[numbers], share[numbers])]
+            # Words beyond the head: how often each stands in each text.
+            rest = np.flatnonzero(numbers < 0)
+            owner = np.repeat(np.arange(len(sizes)), sizes)[rest]
+            pairs, tf = np.unique(owner * len(distinct) + words.codes[rest], return_counts=True)
+            ends = np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(distinct))
             tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(tail_words, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *tail_counts]), pa.int64())],
-                names=["word", "tf"]))
+                [words.array.take(pa.array(pairs % len(distinct))), pa.array(tf.astype(np.int64))], names=["word", "tf"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s[0] for s in sums], pa.int64()), pa.array([s[1] for s in sums], pa.int64()),
-                 pa.array([s[2] for s in sums], pa.float64()),
-                 pa.array([s[3] + x for s, x in zip(sums, logs.tolist())], pa.float64()), tails],
+                [ids, pa.array(sizes[place]), pa.array(sums[0][place]), pa.array(sums[1][place]),
+                 pa.array((sums[2] + logs)[place]), tails.take(pa.array(place))],
                 names=["doc_id", "n_tokens", "n_known", "base", "model", "tail"])
 
     schema = f"doc_id long, n_tokens long, n_known long, base double, model double, tail {TAIL}"

@@ -126,8 +126,52 @@ def test_empty_table_and_nothing_to_learn_from(spark):
     assert [(r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(True, 3, 0, 0)]
 
 
-def test_training_and_scoring_give_words_the_same_symbols():
+def test_symbols_of_words():
     head = [b"\n", b"the", b"of", b"rare", "d\u00e9j\u00e0".encode()]
-    text = "the of rare d\u00e9j\u00e0 vu \u00e0 the x".encode()
-    words = L.Words(head, 3)
-    assert L.Symbols(head[:3]).of(text).tolist() == words.symbols_of(words.numbers(text)).tolist()
+    got = L.Symbols(head[:3]).of([b"of", b"rare", b"\n", b"the", b"x"])
+    assert got.tolist() == [2, 3 + L.ending_of(b"rare"), 0, 1, 3 + L.ending_of(b"x")]
+
+
+def test_words_of_blocks():
+    import pyarrow as pa
+    from rivalry.llm.tokens import Words, blocks
+    docs = [t or "" for _, t in awkward()] + [" a", "b ", " ", "A\x0bb\x0cC\td\u00a0e\x1cf", ""]
+    found = Words(pa.array(docs), b"\n")
+    distinct = found.distinct
+    for i, text in enumerate(docs):
+        own = found.codes[found.starts[i]:found.starts[i + 1]]
+        assert [distinct[c].decode() for c in own] == words(text) + ["\n"]
+    assert Words(pa.array([], pa.string()), b"\n").starts.tolist() == [0]
+    assert Words(pa.array(["", " "])).starts.tolist() == [0, 0, 0]
+    # Blocks don't depend on the batches.
+    cut = lambda step: [b.to_pylist() for (b,) in blocks(
+        ((pa.array(["?", *docs])[i + 1:i + 1 + step],) for i in range(0, len(docs), step)), most=2000)]
+    assert cut(1) == cut(3) == cut(1000) and sum(cut(7), []) == docs
+    assert all(len(b) == 1 or sum(len(t.encode()) for t in b) <= 2000 for b in cut(2))
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    """However the rows are dealt before, and to however many tasks: as on clusters of other sizes."""
+    docs = [r for r in awkward() if r[0] != 6] + [(100 + k, f"the {k % 7} of {k} and the {k % 5} " * 9) for k in range(120)]
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts, n in ((1, "1"), (7, "3"), (4, "16")):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = L.lm_scores(frame(spark, docs).repartition(parts), frequent=16, hidden=4, rounds=2, share=400)
+            found.append(sorted((repr(r.doc_id), r.n_tokens, r.score) for r in got.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in found[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in found[0]]
+        # The model is the same; a walk beside other texts rounds in another order.
+        assert np.allclose([r[2] for r in other], [r[2] for r in found[0]], rtol=1e-5)
+
+
+def test_many_shares_are_added_up_in_groups(spark, monkeypatch):
+    docs = [(k, f"the {k % 7} of {k} and the {k % 5} " * 9) for k in range(60)]
+    source = L.docs_of(frame(spark, docs))
+    counts = L.word_counts(source)
+    _, one = L.learn(source, counts, frequent=16, hidden=4, rounds=2, share=200)
+    monkeypatch.setattr(L, "GROUPS", 3)
+    _, grouped = L.learn(source, counts, frequent=16, hidden=4, rounds=2, share=200)
+    assert np.allclose(one, grouped, atol=1e-5)
