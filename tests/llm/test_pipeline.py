@@ -60,7 +60,7 @@ def test_no_two_documents_are_similar(outputs):
     sets = []
     for r in outputs[2].collect():
         w = words(r.text)
-        sets.append({tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))} if w else set())
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
     for i, a in enumerate(sets):
         assert not any(a and 100 * len(a & b) >= 80 * len(a | b) for b in sets[:i])
 
