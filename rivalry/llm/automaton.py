@@ -2,8 +2,10 @@
 
 The rules' syntax trees become one nondeterministic automaton over bytes;
 subset construction makes it deterministic and minimisation merges equal
-states.  A search state is always active, so one pass over the bytes sees
-every rule that ends anywhere.
+states.  With a search state that is always active one pass over the bytes
+sees every rule that ends anywhere; of the reversed rules, read backwards, where
+each match starts.  Without it the automaton reads one match from its start to
+its longest end.
 
 Supported syntax: characters, escapes (``\\xHH`` and escaped signs), classes
 with ranges and negation, groups, ``|``, ``? * + {m} {m,} {m,n}``.
@@ -91,6 +93,16 @@ def parse(pattern: str, fold: bool = False) -> tuple:
     return choice()
 
 
+def backwards(tree: tuple) -> tuple:
+    """The tree of the reversed strings."""
+    if tree[0] == "set":
+        return tree
+    if tree[0] == "rep":
+        return "rep", backwards(tree[1]), *tree[2:]
+    parts = [backwards(part) for part in tree[1:]]
+    return (tree[0], *(reversed(parts) if tree[0] == "cat" else parts))
+
+
 class _Nfa:
     """Thompson's construction."""
 
@@ -150,23 +162,26 @@ class _Nfa:
 class Automaton:
     """``classes``: byte to byte class (for bytes.translate); ``step[state, class]``; ``accepts[state]``: bit mask of rules.
 
-    State 0 is the start.  Accepting states go on, so later matches of other rules are seen too.
+    State 0 is the start.  Accepting states go on, so later matches of other rules are seen too.  ``search``: a match may
+    start at any byte; ``reverse``: of the reversed strings.
     """
 
-    def __init__(self, rules: list[tuple[str, bool]]):
+    def __init__(self, rules: list[tuple[str, bool]], search: bool = True, reverse: bool = False):
         nfa = _Nfa()
         root = nfa.state()
         ends = {}
         for i, (pattern, fold) in enumerate(rules):
-            ends[nfa.add(parse(pattern, fold), root)] = 1 << i
+            tree = parse(pattern, fold)
+            ends[nfa.add(backwards(tree) if reverse else tree, root)] = 1 << i
         sets = {s[0] for s in nfa.step if s}
         marks = sorted(sets, key=sorted)
         groups: dict[tuple, int] = {}
         self.classes = bytes(groups.setdefault(tuple(b in s for s in marks), len(groups)) for b in range(256))
         member = {s: [sig[i] for sig in groups] for i, s in enumerate(marks)}
-        always = nfa.closure([root])
-        ids = {always: 0}
-        rows, todo = [], [always]
+        first = nfa.closure([root])
+        always = first if search else frozenset()
+        ids = {first: 0}
+        rows, todo = [], [first]
         while todo:
             now = todo.pop(0)
             moves: list[set[int]] = [set() for _ in groups]
@@ -219,6 +234,52 @@ class Automaton:
         return find
 
 
+class Spans:
+    """Leftmost longest matches of one rule, that do not overlap.
+
+    The rule's reversed search automaton, read from the text's end, passes an accepting state at every byte that a match
+    starts at; from the first such byte after the last match the forward automaton runs on until no string of the rule
+    goes on like this.
+    """
+
+    def __init__(self, pattern: str, fold: bool = False):
+        self.back = Automaton([(pattern, fold)], reverse=True)
+        self.ahead = Automaton([(pattern, fold)], search=False)
+        self.dead = {s for s, row in enumerate(self.ahead.step.tolist())
+                     if set(row) == {s} and not self.ahead.accepts[s]}
+
+    def finder(self):
+        """A function from a text's bytes to (start, least end, longest end) of every match."""
+        back, back_ends = self.back.step.tolist(), self.back.accepts.tolist()
+        ahead, ends, dead = self.ahead.step.tolist(), self.ahead.accepts.tolist(), self.dead
+        back_classes, classes = self.back.classes, self.ahead.classes
+
+        def find(data: bytes) -> list[tuple[int, int, int]]:
+            starts, state, at = [], 0, len(data)
+            for c in data.translate(back_classes)[::-1]:
+                at -= 1
+                state = back[state][c]
+                if back_ends[state]:
+                    starts.append(at)
+            codes, found, after = data.translate(classes), [], 0
+            for start in reversed(starts):
+                if start < after:
+                    continue
+                state, least, longest = 0, None, None
+                for i in range(start, len(codes)):
+                    state = ahead[state][codes[i]]
+                    if state in dead:
+                        break
+                    if ends[state]:
+                        longest = i + 1
+                        least = least or longest
+                found.append((start, least, longest))
+                after = longest
+            return found
+
+        return find
+
+
 def minimise(step: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge states that no input tells apart (refinement of the partition by accepted rules)."""
     block = np.unique(accepts, return_inverse=True)[1].reshape(-1)
