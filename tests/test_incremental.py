@@ -1,3 +1,5 @@
+import pytest
+
 from conftest import games_df
 from rivalry.plans import incremental as I
 from rivalry.plans.loads import upsert_into
@@ -138,3 +140,119 @@ def test_touched_seasons_scan_names_the_partitions(spark, tmpdir_spark):
     many = partitions_of(spark, path, games_df(spark, [("2019-11-03", "s", "A", "B", 1, 2), ("2019-11-05", "s", "A", "B", 1, 2),
                                                        (None, "s", "A", "B", 1, 2)]), max_local=1)
     assert sorted(str(r["date"]) for r in many.collect()) == ["2019-11-03", "2019-11-05", "None"]
+
+
+def cycle_docs(base, name, **games):
+    import os
+    folder = f"{base}/{name}".replace("file:", "")
+    os.makedirs(folder)
+    for i, (d, h, a, p) in enumerate(games.values()):
+        y = int(d[:4]) - (int(d[5:7]) < 10)
+        with open(f"{folder}/{i}.json", "w") as f:
+            f.write(DOC.format(d=d, y=y, h=h, a=a, p=p))
+    return folder
+
+
+def started(spark, tmpdir_spark):
+    fact, root = tmpdir_spark("fact"), tmpdir_spark("models")
+    write_partitioned(games_df(spark, [
+        ("2020-01-10", "2019-2020", "A", "B", 100, 90), ("2020-01-15", "2019-2020", "A", "C", 100, 95),
+        ("2020-01-20", "2019-2020", "C", "B", 70, 71), ("2020-11-01", "2020-2021", "A", "C", 70, 71)]), fact)
+    I.publish_all(spark, I.current_fact(spark, fact), root)
+    return fact, root
+
+
+def assert_models_are_those_of_a_full_build(spark, fact, root, full_root):
+    I.publish_all(spark, I.current_fact(spark, fact), full_root)
+    inc, full = I.read_models(spark, root), I.read_models(spark, full_root)
+    for name in I.MODEL_NAMES:
+        assert rows(inc[name]) == rows(full[name]), name
+
+
+# Before a step, right after a state is logged, and between the tables that a step publishes.
+DEATHS = ["rivalry.plans.incremental.announce", "rivalry.sources.partitioned.PartitionedTable.commit",
+          "rivalry.plans.incremental.refresh_seasons", "rivalry.plans.refresh.test_and_snapshot",
+          "log 0", "log 1", "log 2", "publish 4"]
+
+
+@pytest.mark.parametrize("step", DEATHS)
+def test_whenever_a_cycle_dies_the_next_makes_up_for_it(spark, tmpdir_spark, monkeypatch, step):
+    """The next cycle brings another season; the lost one's date lies outside the ranges so far."""
+    fact, root = started(spark, tmpdir_spark)
+    base = tmpdir_spark("landing")
+    first = cycle_docs(base, "first", g=("2020-01-25", "A", "B", 120))
+    second = cycle_docs(base, "second", g=("2020-12-01", "C", "A", 99))
+
+    class Dead(BaseException):
+        pass
+
+    def die(*a, **k):
+        raise Dead
+    done = False
+    with monkeypatch.context() as m:
+        kind, _, at = step.partition(" ")
+        if not at:
+            m.setattr(step, die)
+        else:
+            # Dies right after the write: of the log, or of any table.
+            owner, name = {"log": (I, "write_log"), "publish": (I.VersionedTable, "publish")}[kind]
+            real, calls = getattr(owner, name), []
+
+            def counted(*a, **k):
+                out = real(*a, **k)
+                calls.append(1)
+                if len(calls) > int(at):
+                    raise Dead
+                return out
+            m.setattr(owner, name, counted)
+        try:
+            I.daily_cycle(spark, first, fact, root, "2024-01-01 00:00:00")
+            done = True
+        except Dead:
+            pass
+    assert not done
+    # If it died before it was logged, the scheduler runs it again.
+    if I.read_log(spark, root) is None:
+        I.daily_cycle(spark, first, fact, root, "2024-01-01 00:00:00")
+    I.daily_cycle(spark, second, fact, root, "2024-01-02 00:00:00")
+    assert I.current_fact(spark, fact).count() == 6
+    assert_models_are_those_of_a_full_build(spark, fact, root, tmpdir_spark("full"))
+    assert I.read_log(spark, root).phase == "done"
+    # The snapshots of the lost run are there too: its rows are valid from its own time.
+    from rivalry.sources.store import VersionedTable
+    snap = VersionedTable(spark, f"{root}/snapshot_team_season_stats").read()
+    assert {str(r.valid_from) for r in snap.filter("season = '2019-2020'").collect()} == {"2024-01-01 00:00:00"}
+
+
+def test_models_that_fail_their_tests_do_not_block_the_load_that_mends_them(spark, tmpdir_spark, monkeypatch):
+    from rivalry.operators.quality import QualityGateError
+    fact, root = started(spark, tmpdir_spark)
+    base = tmpdir_spark("landing")
+    first = cycle_docs(base, "first", g=("2020-01-25", "A", "B", 120))
+    second = cycle_docs(base, "second", g=("2020-12-01", "C", "A", 99))
+    import rivalry.plans.refresh as R
+    real, failures = R.test_and_snapshot, [1, 1]
+
+    def fails(*a, **k):
+        if failures:
+            failures.pop()
+            raise QualityGateError("bad models")
+        return real(*a, **k)
+    monkeypatch.setattr(R, "test_and_snapshot", fails)
+    with pytest.raises(QualityGateError):
+        I.daily_cycle(spark, first, fact, root, "2024-01-01 00:00:00")
+    assert "2020-2021" in I.daily_cycle(spark, second, fact, root, "2024-01-02 00:00:00")
+    assert_models_are_those_of_a_full_build(spark, fact, root, tmpdir_spark("full"))
+
+
+def test_a_scheduler_can_run_the_phases_one_by_one(spark, tmpdir_spark):
+    fact, root = started(spark, tmpdir_spark)
+    docs = cycle_docs(tmpdir_spark("landing"), "first", g=("2020-01-25", "A", "B", 120))
+    assert I.daily_cycle(spark, docs, fact, root, "2024-01-01 00:00:00", until="announced") == []
+    assert I.current_fact(spark, fact).count() == 4
+    assert [r[0] for r in I.pending_seasons(spark, root).collect()] == ["2019-2020"]
+    assert I.advance(spark, fact, root, "merged") == [] and I.current_fact(spark, fact).count() == 5
+    assert I.advance(spark, fact, root, "refreshed") == ["2019-2020"]
+    assert I.pending_seasons(spark, root) is None
+    assert I.advance(spark, fact, root) == [] and I.read_log(spark, root).phase == "done"
+    assert_models_are_those_of_a_full_build(spark, fact, root, tmpdir_spark("full"))

@@ -8,6 +8,7 @@ from conftest import SF_SMALL, games_df
 from rivalry.plans.loads import full_refresh
 from rivalry.sources.csv import read_games_csv
 from rivalry.sources.payload import flatten_payloads, latest_per_key, read_payloads
+from rivalry.sources.partitioned import write_partitioned
 from rivalry.sources.store import VersionedTable
 from rivalry.sources.tables import TableRegistry
 
@@ -201,3 +202,17 @@ def test_real_columns_named_like_a_unit_are_kept(spark, tmpdir_spark):
     t = VersionedTable(spark, tmpdir_spark("vt"))
     t.publish(spark.createDataFrame([(1, "May")], "id int, month string"))
     assert t.read().columns == ["id", "month"]
+
+
+@pytest.mark.parametrize("params", ["{}", '{"date": "soon"}', '{"date": null}'])
+def test_undated_documents_reach_the_gate_of_every_run(spark, tmpdir_spark, params):
+    from rivalry.operators.quality import QualityGateError
+    from rivalry.plans.loads import daily_load, read_table
+    base, table = local(tmpdir_spark("landing")), tmpdir_spark("games")
+    write_text(f"{base}/a.json", PAYLOAD)
+    write_text(f"{base}/b.json", PAYLOAD.replace('{"date": "2024-01-05"}', params))
+    write_partitioned(games_df(spark, [("2024-01-01", "s", "A", "B", 1, 2)]), table)
+    for run_date in (None, dt.date(2024, 1, 6), dt.date(2023, 5, 5)):
+        with pytest.raises(QualityGateError):
+            daily_load(spark, base, table, multiline=True, run_date=run_date)
+    assert read_table(spark, table).count() == 1
