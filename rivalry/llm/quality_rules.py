@@ -3,10 +3,13 @@
 Statistics of each text are Spark expressions.  Sequential covering learns
 from all labelled documents: a rule grows by the threshold that gains most
 information about bad documents on one part of the labels, is pruned back on
-the other part, and is kept while it is precise there; then the documents it
-covers are set aside.  Every step is one aggregation of the binned statistics,
-so the driver sees counts per bin only.  The list becomes one ordered
-conditional expression.
+the other part, and is kept if it is precise there; then the documents it
+covers are set aside.  Those of a rule that is not precise are set aside for
+growing only, so bad documents of other kinds are still looked for.  The list
+ends when the best rule left covers too few bad documents, whatever the number
+of rules and tests.  Every step is one aggregation of the binned statistics, so
+the driver sees counts per bin only.  The list becomes one ordered conditional
+expression.
 
 Null text: no words.  Documents without words fail the base rules.  Of
 repeated labels the worst counts; labels that are null or without a document
@@ -133,38 +136,45 @@ def bin_of(feature: str, cuts: list[float]) -> Column:
     return F.array_size(F.filter(values, lambda c: F.col(feature) > c)).alias(feature)
 
 
-def learn(labelled: DataFrame, features=FEATURES, max_rules: int = 8, max_tests: int = 3,
-          precision: float = 0.95, least: float = 0.002) -> list[Rule]:
+def learn(labelled: DataFrame, features=FEATURES, precision: float = 0.95, least: float = 0.002) -> list[Rule]:
     """The decision list that rejects bad documents.
 
     ``labelled`` has the features, ``bad`` and ``_fold`` (0 or 1: grow on 0,
     prune on 1).  A rule needs ``precision`` on the pruning part and must
-    cover there a share ``least`` of the bad documents (and three of them).
+    cover on each part a share ``least`` of its bad documents (and three of them).
     """
     cuts = cuts_of(labelled, features)
     bins = [bin_of(f, cuts[f]) for f in features]
     binned = table(labelled.select("_fold", "bad", *bins).groupBy("_fold", "bad", *features)
                    .agg(F.count("*").alias("n")), "binned")
     totals = {(r["_fold"], r["bad"]): r["n"] for r in binned.groupBy("_fold", "bad").agg(F.sum("n").alias("n")).collect()}
-    need = max(3, math.ceil(least * totals.get((1, True), 0)))
+    need = [max(3, math.ceil(least * totals.get((fold, True), 0))) for fold in (0, 1)]
     rules: list[Rule] = []
-    rest = F.lit(True)
-    while len(rules) < max_rules:
-        rule = grow(binned.where((F.col("_fold") == 0) & rest), cuts, features, max_tests)
+    to_grow, to_prune = F.col("_fold") == 0, F.col("_fold") == 1
+    while True:
+        rule = grow(binned.where(to_grow), cuts, features)
         if not rule:
-            break
-        rule, bad, good = prune(binned.where((F.col("_fold") == 1) & rest), rule)
-        if bad < need or bad < precision * (bad + good):
-            break
-        rules.append(rule)
-        rest = rest & ~every([t.on_bins() for t in rule])
-    return rules
+            return rules
+        rule, bad, good = prune(binned.where(to_prune), rule)
+        covered = every([t.on_bins() for t in rule])
+        grown = binned.where(to_grow & covered & F.col("bad")).agg(F.sum("n").alias("n")).first()["n"]
+        if (grown or 0) < need[0]:
+            return rules
+        if bad >= need[1] and bad >= precision * (bad + good):
+            rules.append(tightest(rule))
+            to_prune = to_prune & ~covered
+        to_grow = to_grow & ~covered
+
 
+def tightest(rule: Rule) -> Rule:
+    """The rule without the tests that a later one of the same feature and direction implies."""
+    return tuple(t for i, t in enumerate(rule) if not any((u.feature, u.above) == (t.feature, t.above) for u in rule[i + 1:]))
 
-def grow(rows: DataFrame, cuts: dict, features, max_tests: int) -> Rule:
-    """Add the test of the largest information gain until no good document is covered."""
+
+def grow(rows: DataFrame, cuts: dict, features) -> Rule:
+    """Add the test of the largest information gain until no good document is covered, or none gains."""
     rule: Rule = ()
-    while len(rule) < max_tests:
+    while True:
         cover = rows.where(every([t.on_bins() for t in rule]))
         entries = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("b")) for f in features])
         counts = (cover.select("bad", "n", F.inline(entries)).groupBy("f", "b", "bad").agg(F.sum("n").alias("n")).collect())
@@ -232,11 +242,12 @@ def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (all its columns) without the documents that the base rules or the learned list reject."""
-    rules = learn_from(quality_statistics(docs), labels)
+    """``docs`` (all its columns) without the documents that the base rules or the learned list reject.
+
+    Texts and their statistics are written together, so that each is computed once: rules are learned from the
+    statistics alone, and the rows that they leave are read back.
+    """
+    found = table(statistics(docs).select(*docs.columns, "_stats"), "documents-with-statistics")
+    rules = learn_from(found.select(F.col("doc_id").cast("long").alias("doc_id"), "_stats.*"), labels)
     s = F.col("_stats")
-    # A filter isn't moved below a column that isn't deterministic; it would take a copy of all statistics along for
-    # each mention of one.
-    found = statistics(docs).select(*docs.columns, (~base_failed(s) & first_rule(rules, s).isNull()).alias("_keep"),
-                                    F.monotonically_increasing_id().alias("_row"))
-    return found.where("_keep and _row >= 0").select(docs.columns)
+    return found.where(~base_failed(s) & first_rule(rules, s).isNull()).select(docs.columns)

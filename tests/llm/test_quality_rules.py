@@ -74,6 +74,36 @@ def test_without_labels_or_rows(spark):
 def test_growing_takes_the_most_informative_threshold(spark):
     rows = [(0, i < 5, 0 if i < 5 else 3, i % 2, 1) for i in range(20)]
     binned = spark.createDataFrame(rows, "_fold int, bad boolean, p int, q int, n long")
-    rule = Q.grow(binned, {"p": [1.0, 2.0, 3.0], "q": [0.5]}, ("p", "q"), 3)
+    rule = Q.grow(binned, {"p": [1.0, 2.0, 3.0], "q": [0.5]}, ("p", "q"))
     assert [str(t) for t in rule] == ["p <= 1"]
     assert Q.prune(binned, rule + (Q.Test("q", True, 0, 0.5),)) == (rule, 5, 0)
+
+
+def labelled(spark, kinds, n=90):
+    """Bad documents of many kinds, each told by a feature of its own, beside good ones."""
+    features = [f"f{k}" for k in range(kinds)]
+    rows = []
+    for k in range(kinds):
+        rows += [(i % 2, True, *[1.0 if j == k else 0.0 for j in range(kinds)]) for i in range(n)]
+    rows += [(i % 2, False, *[0.0] * kinds) for i in range(n * kinds)]
+    return spark.createDataFrame(rows, "_fold int, bad boolean, " + ", ".join(f"{f} double" for f in features)), features
+
+
+def test_the_list_is_as_long_as_the_labels_need(spark):
+    frame_, features = labelled(spark, 11)
+    rules = Q.learn(frame_, features)
+    assert sorted(t.feature for r in rules for t in r) == sorted(features)
+
+
+def test_a_rule_that_fails_does_not_end_the_list(spark):
+    """The best rule on the growing part does not hold on the other; the next ones do."""
+    frame_, features = labelled(spark, 3)
+    noise = spark.createDataFrame([(k % 2, k % 2 == 0, 0.0, 0.0, 0.0, 1.0) for k in range(400)],
+                                  "_fold int, bad boolean, f0 double, f1 double, f2 double, f3 double")
+    rules = Q.learn(frame_.selectExpr("*", "0.0D AS f3").union(noise), [*features, "f3"])
+    assert sorted({t.feature for r in rules for t in r}) == features
+
+
+def test_tests_that_a_later_one_implies_go():
+    a, b, c = Q.Test("x", False, 5, 0.6), Q.Test("y", True, 1, 0.1), Q.Test("x", False, 3, 0.5)
+    assert Q.tightest((a, b, c)) == (b, c) and Q.tightest((a, Q.Test("x", True, 1, 0.1))) == (a, Q.Test("x", True, 1, 0.1))
