@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rivalry.llm.common import docs_of, table
 from rivalry.llm.hashing import WordHashes, bitmap, bitmap_size, in_bitmap, shingles
-from rivalry.llm.rows import identity, without
+from rivalry.llm.rows import IDENT, identity, without
 from rivalry.llm.tokens import texts
 
 # Bytes that words are made of, A-Z lower-cased; all others part words.
@@ -119,7 +119,7 @@ def suspects(docs: DataFrame, prefix: DataFrame, window: int, sizes: list[int])
                 [batch.column("doc_id"), batch.column("ident"), pa.array(n_words, pa.int64()), pa.array(places, pa.list_(place))],
                 names=["doc_id", "ident", "n_words", "places"])
 
-    schema = "doc_id long, ident long, n_words long, places array<struct<h: long, at: int, first: int, context: string>>"
+    schema = f"doc_id long, ident {IDENT}, n_words long, places array<struct<h: long, at: int, first: int, context: string>>"
     found = docs.mapInArrow(scan, schema)
     return table(found.withColumn("rid", F.monotonically_increasing_id()), "suspects")
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from rivalry.llm.common import docs_of, table
 from rivalry.llm.components import components
 from rivalry.llm.hashing import WordHashes, bitmap, bitmap_size, in_bitmap, mixed, shingles
-from rivalry.llm.rows import doubtful_rows, identity
+from rivalry.llm.rows import IDENT, doubtful_rows, identity
 from rivalry.llm.tokens import texts
 
 
@@ -102,33 +102,33 @@ def signatures(docs: DataFrame, size: int, hasher: MinMax) -> DataFrame:
                 names=["doc_id", "ident", "n", "high", "low", "bands"])
 
     found = (docs_of(docs).withColumn("ident", identity())
-             .mapInArrow(scan, "doc_id long, ident long, n long, high long, low long, bands array<long>"))
+             .mapInArrow(scan, f"doc_id long, ident {IDENT}, n long, high long, low long, bands array<long>"))
     return table(found.withColumn("rid", F.monotonically_increasing_id()), "signatures")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """cid, shingles, sketch of the classes in ``wanted`` (cid, ident): their rows are read again, told apart by a bitmap."""
-    bits = bitmap(wanted, "ident", bitmap_size(wanted.count()))
+    bits = bitmap(wanted, "ident.a", bitmap_size(wanted.count()))
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches):
         import pyarrow as pa
         hashes, bits, done = WordHashes(), shared.value, set()
         for batch in batches:
-            ident = batch.column("ident").to_numpy()
-            rows = np.flatnonzero(in_bitmap(bits, ident.view(np.uint64)))
-            found = []
-            for text, i in zip(texts(batch.take(pa.array(rows))), ident[rows].tolist()):
+            rows = np.flatnonzero(in_bitmap(bits, batch.column("ident").field("a").to_numpy().view(np.uint64)))
+            wanted_rows, found = batch.take(pa.array(rows)), []
+            ident = wanted_rows.column("ident")
+            for text, i in zip(texts(wanted_rows), zip(ident.field("a").to_pylist(), ident.field("b").to_pylist())):
                 if i not in done:  # repeated rows once per task
                     done.add(i)
                     found.append((i, shingle_set(text, size, hashes)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in found], pa.int64()),
+                [pa.array([{"a": r[0][0], "b": r[0][1]} for r in found], ident.type),
                  pa.array([r[1].view(np.int64) for r in found], pa.list_(pa.int64())),
                  pa.array([sketch(r[1]) for r in found], pa.list_(pa.int64()))], names=["ident", "shingles", "sketch"])
 
     found = docs_of(docs).withColumn("ident", identity()).mapInArrow(
-        scan, "ident long, shingles array<long>, sketch array<long>")
+        scan, f"ident {IDENT}, shingles array<long>, sketch array<long>")
     return table(found.join(wanted, "ident").groupBy("cid").agg(
         F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")), "sets")
 

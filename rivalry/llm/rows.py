@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rivalry.llm.hashing import bitmap, bitmap_size, in_bitmap
 
 
+IDENT = "struct<a: long, b: long>"
+
+
 def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Of a row: what all rows with the same doc_id and text share."""
-    return F.xxhash64(F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit("")))
+    """Of a row: what all rows with the same doc_id and text share, and no others: two hashes of 64 bits."""
+    own = [F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))]
+    return F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(*own[::-1], F.length(own[1])).alias("b"))
 
 
 def split_rows(docs: DataFrame, idents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -17,14 +21,14 @@ def split_rows(docs: DataFrame, idents: DataFrame) -> tuple[DataFrame, DataFrame
 
     A bitmap of fixed bound tells them apart where they are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(idents, "ident", bitmap_size(idents.count())))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(idents, "ident.a", bitmap_size(idents.count())))
 
     @F.pandas_udf("boolean")
     def may_be(ident):
         import pandas as pd
         return pd.Series(in_bitmap(shared.value, ident.to_numpy().view("uint64")))
 
-    source = docs.withColumn("_ident", identity()).withColumn("_may_be", may_be("_ident"))
+    source = docs.withColumn("_ident", identity()).withColumn("_may_be", may_be("_ident.a"))
     return source.where("not _may_be").drop("_may_be"), source.where("_may_be").drop("_may_be")
 
 
