@@ -1,14 +1,14 @@
 """Entity name resolution: exact alias lookup, then fuzzy best match.
 
 ``resolve_names`` works on the *distinct* lower-cased inputs, so the cost is
-proportional to the number of different spellings, not to the rows.  The
-alias dictionary is a dimension: it is shipped to every task (as a literal
-array for the native Levenshtein scorer, as a broadcast variable for the
-weighted scorer) and each input is scored against every alias there — no
-input x alias rows are ever materialised or shuffled.  A dictionary larger
-than one chunk is scored chunk by chunk and the per-chunk winners are
-reduced with the same first-alias-wins rule, so the result is exact at any
-dictionary size.
+proportional to the number of different spellings, not to the rows.  A small
+alias dictionary is shipped to every task (as a literal array for the native
+Levenshtein scorer, as a broadcast variable for the weighted scorer) and each
+input is scored against every alias there.  A larger one stays a table: exact
+hits by an equi-join, the best aliases of the other inputs by an inverted index
+of grams and, for inputs like no alias, block by block (``alias_index``).  The
+first alias in dictionary order wins ties, so the result is the same at any
+size.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rivalry.functions import fuzzy as _fuzzy
 from rivalry.functions.fuzzy import best_match, lev_ratio
+from rivalry.operators.alias_index import best_aliases, entries_of
 
 # The weighted scorer runs in Python workers: ship its module with the UDF
 # (by value) so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(_fuzzy)
-from rivalry.plans.guard import bounded_broadcast
+from rivalry.plans.guard import bounded_broadcast, materialize
 
 # The reference's alias dictionary, canonical name -> aliases,
 # in its dictionary order.
@@ -63,10 +64,8 @@ TEAM_ALIASES: list[tuple[str, list[str]]] = [
 # Accept a fuzzy match only when its score is strictly above this.
 DEFAULT_THRESHOLD = 70.0
 
-# Aliases per scoring chunk (a literal array / broadcast list per pass).
-CHUNK = 5_000
-# Dictionaries up to this many aliases are collected once to the driver.
-LOCAL_DICT = 100_000
+# Dictionaries up to this many aliases travel with the plan; larger ones stay tables (``alias_index``).
+LOCAL_DICT = 5_000
 ORD_STRIDE = 1_000_000
 
 ALIAS_DIM_SCHEMA = "alias string, canonical string, ord bigint"
@@ -116,35 +115,12 @@ def _sort_key(row):
     return (o is not None, o if o is not None else 0, a is not None, a or "")
 
 
-def _chunks(alias_dim: DataFrame, size: int = CHUNK):
-    chunk = []
-    for r in alias_dim.select("alias", "canonical", "ord").orderBy("ord", "alias").toLocalIterator():
-        chunk.append((r["alias"], r["canonical"]))
-        if len(chunk) >= size:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk
-
-
-def dictionary(alias_dim: DataFrame, local_limit: int = LOCAL_DICT):
-    """``(exact_dim, chunks)``: the dictionary as a join side and as scoring chunks.
-
-    A dictionary of up to ``local_limit`` aliases is collected once (it is
-    shipped to every task either way) and serves both the exact-match join
-    and the scoring chunks; a larger one streams to the driver chunk by
-    chunk in dictionary order and joins exactly through ``bounded_broadcast``.
-    """
-    spark = alias_dim.sparkSession
+def dictionary(alias_dim: DataFrame, local_limit: int | None = None) -> list[tuple[str, str]] | None:
+    """``(alias, canonical)`` in dictionary order, if there are at most ``local_limit``; else None."""
     dim = one_per_alias(alias_dim)
-    head = dim.limit(local_limit + 1).collect()
-    if len(head) <= local_limit:
-        ordered = sorted(head, key=_sort_key)
-        pairs = [(r["alias"], r["canonical"]) for r in ordered]
-        exact = F.broadcast(spark.createDataFrame(pairs, "_alias string, canonical string"))
-        return exact, [pairs[i:i + CHUNK] for i in range(0, len(pairs), CHUNK)]
-    exact, _ = bounded_broadcast(dim.select(F.col("alias").alias("_alias"), "canonical"))
-    return exact, _chunks(dim)
+    limit = LOCAL_DICT if local_limit is None else local_limit
+    head = dim.limit(limit + 1).collect()
+    return [(r["alias"], r["canonical"]) for r in sorted(head, key=_sort_key)] if len(head) <= limit else None
 
 
 def _lev_best(q: Column, chunk: list[tuple[str, str]]) -> Column:
@@ -175,54 +151,43 @@ def _weighted_best_udf(bc):
     return best
 
 
+def _resolved_from_tables(inputs: DataFrame, alias_dim: DataFrame, scorer: str) -> DataFrame:
+    entries = entries_of(one_per_alias(alias_dim))
+    every = materialize(inputs, "fuzzy-inputs")
+    # Empty text is no exact hit: both scorers give it 0.
+    exact = materialize(every.filter("_q <> ''").join(entries, F.col("_q") == F.col("alias"))
+                        .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")), "exact-hits")
+    rest = every.join(exact.select("_q"), "_q", "left_anti")
+    return exact.unionByName(best_aliases(rest, entries, scorer))
+
+
 def resolve_names(df: DataFrame, col: str, alias_dim: DataFrame,
                   threshold: float = DEFAULT_THRESHOLD, scorer: str = "levenshtein",
                   out: str = "canonical", score_col: str | None = "score") -> DataFrame:
     """Add ``out`` (canonical name or NULL) and optionally the best ``score``.
 
-    1. distinct ``lower(col)``;  2. with a dictionary of several chunks,
-    exact alias hits are taken by an equi-join first and score 100 (no
-    other alias can reach 100 under either scorer, so the exact hit is the
-    top-1) — with one chunk the scoring pass finds them anyway;  3. the rest
-    are scored against every alias, best score wins, ties go to the alias
-    first in dictionary order;  4. accepted iff score > threshold;
-    5. joined back to ``df`` on the lower-cased input.
+    1. distinct ``lower(col)``;  2. each scored against the dictionary, best
+    score wins, ties go to the alias first in dictionary order: a small
+    dictionary is a literal (or a broadcast list) of the plan, a larger one a
+    table whose exact hits are taken by an equi-join (100, which no other alias
+    can reach) and whose best aliases come from an index (``alias_index``);
+    3. accepted iff score > threshold;  4. joined back to ``df`` on the
+    lower-cased input.  The rule is the same at every size.
     """
+    if scorer not in ("levenshtein", "weighted"):
+        raise ValueError(f"unknown scorer {scorer!r}")
     spark = df.sparkSession
     inputs = df.select(F.lower(F.col(col)).alias("_q")).distinct()
-    dim, chunks = dictionary(alias_dim)
-    single = isinstance(chunks, list) and len(chunks) <= 1
-    if single:
-        exact, rest = None, inputs
-    else:
-        # Empty text is no exact hit: both scorers give it 0.
-        same = (F.col("_q") == F.col("_alias")) & (F.col("_q") != "")
-        exact = (inputs.join(dim, same, "inner")
-                 .select("_q", F.lit(100.0).alias("_score"), F.col("canonical").alias("_canon")))
-        rest = inputs.join(dim, same, "left_anti")
-    per_chunk = []
-    for i, chunk in enumerate(chunks):
-        if scorer == "levenshtein":
-            best = _lev_best(F.col("_q"), chunk)
-        elif scorer == "weighted":
-            best = _weighted_best_udf(spark.sparkContext.broadcast(chunk))(F.col("_q"))
-        else:
-            raise ValueError(f"unknown scorer {scorer!r}")
-        per_chunk.append(rest.select("_q", best.alias("_b"), F.lit(-i).alias("_chunk")))
-    if per_chunk:
-        scored = per_chunk[0]
-        for extra in per_chunk[1:]:
-            scored = scored.unionByName(extra)
-        if len(per_chunk) > 1:
-            # Chunks are in dictionary order: keep the best score, earliest chunk on ties.
-            scored = scored.groupBy("_q").agg(
-                F.max_by("_b", F.struct(F.col("_b.score"), F.col("_chunk"))).alias("_b"))
-        fuzzy = scored.select("_q", F.col("_b.score").alias("_score"),
-                              F.col("_b.canonical").alias("_canon"))
-        resolved = fuzzy if exact is None else exact.unionByName(fuzzy)
+    local = dictionary(alias_dim)
+    if local:
+        best = (_lev_best(F.col("_q"), local) if scorer == "levenshtein"
+                else _weighted_best_udf(spark.sparkContext.broadcast(local))(F.col("_q")))
+        resolved = inputs.select("_q", best.alias("_b")).select(
+            "_q", F.col("_b.score").alias("_score"), F.col("_b.canonical").alias("_canon"))
+    elif local is None:
+        resolved = _resolved_from_tables(inputs.filter(F.col("_q").isNotNull()), alias_dim, scorer)
     else:
-        resolved = exact if exact is not None else inputs.select(
-            "_q", F.lit(0.0).alias("_score"), F.lit(None).cast("string").alias("_canon"))
+        resolved = inputs.select("_q", F.lit(0.0).alias("_score"), F.lit(None).cast("string").alias("_canon"))
     resolved = resolved.select(
         "_q", F.when(F.col("_score") > F.lit(threshold), F.col("_canon")).alias(out),
         F.greatest(F.col("_score"), F.lit(0.0)).alias("_score"))

@@ -82,7 +82,8 @@ def test_resolve_chunked_dictionary_equals_single_chunk(spark, monkeypatch):
     dim = reference_alias_dim(spark)
     df = spark.createDataFrame([("celtcs",), ("lakrs",), ("nets",), ("la",)], "name string")
     one = sorted(tuple(r) for r in resolve_names(df, "name", dim).collect())
-    monkeypatch.setattr(R, "CHUNK", 7)
+    monkeypatch.setattr(R, "LOCAL_DICT", 7)
+    monkeypatch.setattr("rivalry.operators.alias_index.BLOCK", 9)
     many = sorted(tuple(r) for r in resolve_names(df, "name", dim).collect())
     assert one == many
 
@@ -103,8 +104,10 @@ def test_one_rule_at_every_dictionary_size(spark, scorer, monkeypatch):
                                 "alias string, canonical string, ord bigint")
     df = spark.createDataFrame([("AB",), ("",), (None,), ("abc",), ("zz",), ("AB",)], "t string")
     found = []
-    for chunk in (5000, 1):
-        monkeypatch.setattr(R, "CHUNK", chunk)
+    for local in (5000, 1):
+        monkeypatch.setattr(R, "LOCAL_DICT", local)
+        monkeypatch.setattr("rivalry.operators.alias_index.BLOCK", 2)
+        monkeypatch.setattr("rivalry.operators.alias_index.PART", 1)
         found.append(sorted(map(repr, resolve_names(df, "t", dim, scorer=scorer).collect())))
     assert found[0] == found[1] and len(found[0]) == 6
     assert sum("t='AB', canonical='X', score=100.0" in r for r in found[0]) == 2 and not any("canonical='E'" in r for r in found[0])
@@ -115,3 +118,58 @@ def test_repeated_tokens_are_compared_once_too():
     # Exactly eight times as long still counts as 0.9.
     assert Z.wratio("ab", "ab" + "x" * 14) == pytest.approx(90.0)
     assert Z.wratio("ab", "ab" + "x" * 15) == pytest.approx(60.0)
+
+
+def edited(r, text, n, letters="abcdef gh"):
+    for _ in range(n):
+        at, kind = r.randrange(len(text) + 1), r.randrange(3)
+        text = text[:at] + (r.choice(letters) if kind else "") + text[at + (kind != 1):]
+    return text
+
+
+def plain_best(q, names):
+    def lev(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+    best, who = -1.0, None
+    for alias, canonical, _ in sorted(names, key=lambda x: (x[2] is not None, x[2] or 0, x[0])):
+        m = max(len(q), len(alias))
+        score = 100 * (m - lev(q, alias)) / m if m else 0.0
+        if score > best:
+            best, who = score, canonical
+    return (who if best > 70 else None), max(best, 0.0)
+
+
+def test_the_index_finds_what_scoring_every_alias_finds(spark, monkeypatch):
+    """Repeated grams, ties, short and empty texts, and inputs like no alias."""
+    import random
+    from rivalry.operators import resolve as R
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdef gh") for _ in range(r.choice([1, 2, 3, 6, 9, 14, 25]))) for _ in range(150)]
+    names = sorted({(w, f"N{i % 40}", r.choice([None, i % 9])) for i, w in enumerate([*words, "aaaaaaaaaa", "aaaaaaaaaaaa", ""])},
+                   key=repr)
+    names = list({w: (w, c, o) for w, c, o in names}.values())
+    inputs = [edited(r, r.choice(words), r.choice([0, 1, 2, 3, 6])) for _ in range(150)] + ["", "a", "aaaaaaaaa", "zzzzzzzzzzzzzz", "zz", None]
+    dim = spark.createDataFrame(names, "alias string, canonical string, ord int")
+    df = spark.createDataFrame([(x,) for x in inputs], "t string")
+    monkeypatch.setattr(R, "LOCAL_DICT", 3)
+    monkeypatch.setattr("rivalry.operators.alias_index.BLOCK", 40)
+    got = {x.t: (x.canonical, x.score) for x in R.resolve_names(df, "t", dim).collect()}
+    assert got == {x: plain_best(x, names) if x is not None else (None, 0.0) for x in inputs}
+
+
+def test_levels_end_most_inputs_before_the_scan(spark):
+    import random
+    from rivalry.operators import alias_index as A
+    r = random.Random(3)
+    words = sorted({"".join(r.choice("abcdefghijklmnop") for _ in range(18)) for _ in range(400)})
+    entries = A.entries_of(spark.createDataFrame([(w, w.upper(), i) for i, w in enumerate(words)], "alias string, canonical string, ord int"))
+    index, counts = A.gram_index(entries)
+    inputs = spark.createDataFrame([(edited(r, w, 1, "abcdefghijklmnop"),) for w in words[:60]], "_q string").distinct()
+    found = A.at_level(inputs, index, counts, 90)
+    assert found.count() == inputs.count() and found.filter("_score < 90").count() == 0
+    assert A.at_level(spark.createDataFrame([("qqqqqqqqqqqqqqqq",), ("ab",), ("",)], "_q string"), index, counts, 80).count() == 0
