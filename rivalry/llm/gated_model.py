@@ -1,10 +1,10 @@
 """A gated recurrent language model in numpy with a class-factored output.
 
 Symbols 0..words-1 are frequent words, in classes of ``width``; the symbols
-after them stand for all other words, one per class of endings.  The chance of
-a frequent word is that of its class times that of the word in the class, both
-from the state; of another word, the model gives the chance of its class of
-endings (its share within the class is counted, not learned).  Documents run
+after them stand for all other words, one per ending, and are the last class.
+The chance of a frequent word is that of its class times that of the word in
+the class, both from the state; of another word, the model gives the chance of
+its ending in the same way (its share of the ending is counted, not learned).  Documents run
 side by side in lanes, one after another in each; a lane's state is carried
 from window to window and starts anew with a document.
 """
@@ -24,12 +24,13 @@ class Shape:
     def __init__(self, words: int, endings: int, hidden: int = 16, width: int = 64):
         self.words, self.endings, self.hidden, self.width = words, endings, hidden, width
         self.groups = -(-words // width)
-        self.classes = self.groups + endings
+        self.classes = self.groups + 1
         self.start = words + endings
         h = hidden
         self.parts = {"input": (words + endings + 1, 3 * h), "gates": (h, 2 * h), "candidate": (h, h),
                       "class_w": (h, self.classes), "class_b": (self.classes,),
-                      "word_w": (self.groups, h, width), "word_b": (self.groups, width)}
+                      "word_w": (self.groups, h, width), "word_b": (self.groups, width),
+                      "ending_w": (h, endings), "ending_b": (endings,)}
         self.size = sum(int(np.prod(s)) for s in self.parts.values())
 
     def split(self, vector: np.ndarray) -> dict[str, np.ndarray]:
@@ -45,14 +46,15 @@ class Shape:
         vector = np.zeros(self.size, FLOAT)
         p = self.split(vector)
         random = np.random.default_rng(seed)
-        for name in ("input", "gates", "candidate", "class_w", "word_w"):
+        for name in ("input", "gates", "candidate", "class_w", "word_w", "ending_w"):
             p[name][...] = random.normal(0, 0.1, p[name].shape)
         grid = np.full(self.groups * self.width, -1e9)
         grid[:self.words] = np.log(word_counts + 0.1)
         p["word_b"][...] = grid.reshape(self.groups, self.width)
         padded = np.zeros(self.groups * self.width)
         padded[:self.words] = word_counts + 0.1
-        p["class_b"][...] = np.log(np.concatenate([padded.reshape(self.groups, -1).sum(axis=1), ending_counts + 0.1]))
+        p["class_b"][...] = np.log(np.append(padded.reshape(self.groups, -1).sum(axis=1), (ending_counts + 0.1).sum()))
+        p["ending_b"][...] = np.log(ending_counts + 0.1)
         return vector
 
 
@@ -78,7 +80,7 @@ class Lanes:
                 self.target[at:end, i], self.doc[at:end, i] = docs[d], d
                 self.input[at + 1:end, i] = docs[d][:-1]
                 at = end
-        self.keep = (self.input != start).astype(FLOAT)[:, :, None]
+        self.begins = self.input == start
 
 
 # Room for exponentials: sums of a class's outputs stay below 1e38, and outputs may lie 160 apart.
@@ -108,32 +110,39 @@ class Model:
         self.shape, self.vector = shape, vector.astype(FLOAT)
         self.p = shape.split(self.vector)
 
-    def states(self, h, inputs, keep):
-        """States after each step of a window, and what a backward pass needs."""
+    def states(self, h, inputs, begins, backward: bool = True):
+        """States after each step of a window, and what a backward pass needs.
+
+        A lane in which a document begins starts from zero.  Each array of a step lies in one piece, and every step
+        writes into the arrays of the window; without a backward pass, into the same ones.
+        """
         p, n = self.p, self.shape.hidden
-        given = p["input"][inputs]
         steps, lanes = inputs.shape
-        before, after, reset = (np.empty((steps, lanes, n), FLOAT) for _ in range(3))
-        gates, candidate = np.empty((steps, lanes, 2 * n), FLOAT), np.empty((steps, lanes, n), FLOAT)
-        # Every step writes into the arrays of the window; sigmoid(x) = 1 / (1 + exp(-x)).
-        minus = -p["gates"]
-        to_gates, to_candidate = -given[:, :, :2 * n], given[:, :, 2 * n:]
+        given = p["input"][inputs]
+        # sigmoid(x) = 1 / (1 + exp(-x))
+        to_update, to_reset = -given[:, :, :n], -given[:, :, n:2 * n]
+        to_candidate = np.ascontiguousarray(given[:, :, 2 * n:])
+        w_update, w_reset, w_candidate = (np.ascontiguousarray(w) for w in (-p["gates"][:, :n], -p["gates"][:, n:], p["candidate"]))
+        after, slots = np.empty((steps, lanes, n), FLOAT), steps if backward else 1
+        before, inner, update, reset, candidate = (np.empty((slots, lanes, n), FLOAT) for _ in range(5))
         for t in range(steps):
-            b, g, r, c = before[t], gates[t], reset[t], candidate[t]
-            np.multiply(h, keep[t], out=b)
-            np.matmul(b, minus, out=g)
-            g += to_gates[t]
-            np.exp(g, out=g)
-            g += 1
-            np.reciprocal(g, out=g)
-            np.multiply(g[:, n:], b, out=r)
-            np.matmul(r, p["candidate"], out=c)
+            b, r, u, f, c = (x[t % slots] for x in (before, inner, update, reset, candidate))
+            b[...] = h
+            b[begins[t]] = 0
+            for gate, weights, x in ((u, w_update, to_update[t]), (f, w_reset, to_reset[t])):
+                np.matmul(b, weights, out=gate)
+                gate += x
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+            np.multiply(f, b, out=r)
+            np.matmul(r, w_candidate, out=c)
             c += to_candidate[t]
             np.tanh(c, out=c)
             h = np.subtract(c, b, out=after[t])
-            h *= g[:, :n]
+            h *= u
             h += b
-        return h, (before, after, reset, gates, candidate)
+        return h, (before, after, inner, update, reset, candidate)
 
     def outputs(self, states, targets, backward: bool):
         """Log chance of each target (of its class, and of a frequent word in it); gradients if asked for.
@@ -147,11 +156,10 @@ class Model:
         targets = targets[order]
         s = np.empty((len(order), h + 1), FLOAT)
         s[:, :h], s[:, h] = states[order], 1
-        is_word = targets < shape.words
-        group = np.where(is_word, targets // shape.width, targets - shape.words + shape.groups)
+        group = np.where(targets < shape.words, targets // shape.width, shape.groups)
         weights = shifted(np.vstack([p["class_w"], p["class_b"]]))
         score, e, total = chances(s, weights, group)
-        ends = np.searchsorted(group, np.arange(shape.groups + 1))
+        ends = np.searchsorted(group, np.arange(shape.classes + 1))
         if backward:
             inverse = (1 / total)[:, None]
             g_class = (s * inverse).T @ e
@@ -159,28 +167,31 @@ class Model:
             g_class[:, own] -= np.add.reduceat(s, first, axis=0).T
             g_states = (e @ p["class_w"].T) * inverse - p["class_w"].T[group]
             g_word = np.zeros((shape.groups, h + 1, shape.width), FLOAT)
-        for k in range(shape.groups):
+            g_ending = np.zeros((h + 1, shape.endings), FLOAT)
+        for k in range(shape.classes):
             part = slice(ends[k], ends[k + 1])
             if ends[k] == ends[k + 1]:
                 continue
-            weights = shifted(np.concatenate([p["word_w"][k], p["word_b"][k][None]]))
-            inside = targets[part] - k * shape.width
-            more, e, total = chances(s[part], weights, inside)
+            w, bias, low = ((p["word_w"][k], p["word_b"][k], k * shape.width) if k < shape.groups
+                            else (p["ending_w"], p["ending_b"], shape.words))
+            inside = targets[part] - low
+            more, e, total = chances(s[part], shifted(np.concatenate([w, bias[None]])), inside)
             score[part] += more
             if backward:
                 inverse = (1 / total)[:, None]
-                g_word[k] = (s[part] * inverse).T @ e
-                g_states[part] += (e @ p["word_w"][k].T) * inverse - p["word_w"][k].T[inside]
+                (g_word[k] if k < shape.groups else g_ending)[...] = (s[part] * inverse).T @ e
+                g_states[part] += (e @ w.T) * inverse - w.T[inside]
         out = np.empty_like(score)
         out[order] = score
         if not backward:
             return out, {}
-        words = targets[:ends[-1]]
-        if len(words):
-            own, first = np.unique(words, return_index=True)
-            g_word[own // shape.width, :, own % shape.width] -= np.add.reduceat(s[:ends[-1]], first, axis=0)
+        own, first = np.unique(targets, return_index=True)
+        per_target = np.add.reduceat(s, first, axis=0)
+        words = own < shape.words
+        g_word[own[words] // shape.width, :, own[words] % shape.width] -= per_target[words]
+        g_ending[:, own[~words] - shape.words] -= per_target[~words].T
         grads = {"class_w": g_class[:h], "class_b": g_class[h], "word_w": g_word[:, :h], "word_b": g_word[:, h],
-                 "states": np.empty_like(g_states)}
+                 "ending_w": g_ending[:h], "ending_b": g_ending[h], "states": np.empty_like(g_states)}
         grads["states"][order] = g_states
         return out, grads
 
@@ -191,10 +202,10 @@ class Model:
             part = slice(t, t + steps)
             live = np.flatnonzero((lanes.target[part] >= 0).any(axis=0))
             if len(live) < h.shape[0]:
-                yield h[live], lanes.input[part][:, live], lanes.keep[part][:, live], lanes.target[part][:, live], \
+                yield h[live], lanes.input[part][:, live], lanes.begins[part][:, live], lanes.target[part][:, live], \
                     lanes.doc[part][:, live], (h, live)
             else:
-                yield h, lanes.input[part], lanes.keep[part], lanes.target[part], lanes.doc[part], (h, live)
+                yield h, lanes.input[part], lanes.begins[part], lanes.target[part], lanes.doc[part], (h, live)
 
     def score(self, docs: list[np.ndarray], steps: int = 64) -> np.ndarray:
         """Natural log chance of every document's symbols (for words that aren't frequent: of their class)."""
@@ -202,8 +213,8 @@ class Model:
         if not docs:
             return total
         lanes = Lanes(docs, self.shape.start)
-        for h, inputs, keep, targets, doc, (carried, live) in self.windows(lanes, steps):
-            last, (_, after, *_) = self.states(h, inputs, keep)
+        for h, inputs, begins, targets, doc, (carried, live) in self.windows(lanes, steps):
+            last, (_, after, *_) = self.states(h, inputs, begins, False)
             carried[live] = last
             real = targets >= 0
             score, _ = self.outputs(after[real], targets[real], False)
@@ -218,50 +229,51 @@ class Model:
         if not docs:
             return
         lanes = Lanes(docs, self.shape.start)
-        for h, inputs, keep, targets, _, (carried, live) in self.windows(lanes, steps):
-            last, kept = self.states(h, inputs, keep)
+        for h, inputs, begins, targets, _, (carried, live) in self.windows(lanes, steps):
+            last, kept = self.states(h, inputs, begins)
             carried[live] = last
             real = targets >= 0
             n = max(1, int(real.sum()))
             _, grads = self.outputs(kept[1][real], targets[real], True)
-            gradient = self.backward(inputs, keep, real, kept, grads) / FLOAT(n)
+            gradient = self.backward(inputs, begins, real, kept, grads) / FLOAT(n)
             squares += gradient * gradient
             self.vector -= FLOAT(rate) * gradient / (np.sqrt(squares) + FLOAT(1e-6))
 
-    def backward(self, inputs, keep, real, kept, grads) -> np.ndarray:
+    def backward(self, inputs, begins, real, kept, grads) -> np.ndarray:
         p, n = self.p, self.shape.hidden
-        before, after, reset, gates, candidate = kept
+        before, after, inner, update, reset, candidate = kept
         steps, lanes = inputs.shape
         out = np.zeros((steps, lanes, n), FLOAT)
         out[real] = grads["states"]
-        given = np.empty((steps, lanes, 3 * n), FLOAT)
-        carry = np.zeros((lanes, n), FLOAT)
-        gates_t, candidate_t = np.ascontiguousarray(p["gates"].T), np.ascontiguousarray(p["candidate"].T)
+        d_update, d_reset, d_candidate = (np.empty((steps, lanes, n), FLOAT) for _ in range(3))
+        carry, more = np.zeros((lanes, n), FLOAT), np.empty((lanes, n), FLOAT)
+        update_t, reset_t, candidate_t = (np.ascontiguousarray(w.T) for w in (p["gates"][:, :n], p["gates"][:, n:], p["candidate"]))
         # What doesn't depend on later steps, for the whole window at once.
-        update, forget = gates[:, :, :n], gates[:, :, n:]
-        to_candidate = update * (1 - candidate * candidate)
-        to_update = (candidate - before) * update * (1 - update)
-        to_forget = before * forget * (1 - forget)
         stays = 1 - update
+        to_candidate = update * (1 - candidate * candidate)
+        to_update = (candidate - before) * update * stays
+        to_reset = before * reset * (1 - reset)
         for t in range(steps - 1, -1, -1):
-            d, g = out[t], given[t]
+            d, du, df, dc = out[t], d_update[t], d_reset[t], d_candidate[t]
             d += carry
-            dc = np.multiply(d, to_candidate[t], out=g[:, 2 * n:])
-            dr = dc @ candidate_t
-            np.multiply(d, to_update[t], out=g[:, :n])
-            np.multiply(dr, to_forget[t], out=g[:, n:2 * n])
-            np.matmul(g[:, :2 * n], gates_t, out=carry)
-            dr *= forget[t]
-            carry += dr
+            np.multiply(d, to_candidate[t], out=dc)
+            np.multiply(d, to_update[t], out=du)
+            np.matmul(dc, candidate_t, out=more)
+            np.multiply(more, to_reset[t], out=df)
+            np.multiply(more, reset[t], out=carry)
+            np.matmul(du, update_t, out=more)
+            carry += more
+            np.matmul(df, reset_t, out=more)
+            carry += more
             d *= stays[t]
             carry += d
-            carry *= keep[t]
-        flat = given.reshape(-1, 3 * n)
+            carry[begins[t]] = 0
+        flat = np.concatenate([d_update.reshape(-1, n), d_reset.reshape(-1, n), d_candidate.reshape(-1, n)], axis=1)
         vector = np.zeros(self.shape.size, FLOAT)
         q = self.shape.split(vector)
         q["gates"][...] = before.reshape(-1, n).T @ flat[:, :2 * n]
-        q["candidate"][...] = reset.reshape(-1, n).T @ flat[:, 2 * n:]
-        for name in ("class_w", "class_b", "word_w", "word_b"):
+        q["candidate"][...] = inner.reshape(-1, n).T @ flat[:, 2 * n:]
+        for name in ("class_w", "class_b", "word_w", "word_b", "ending_w", "ending_b"):
             q[name][...] = grads[name]
         ids = inputs.ravel()
         order = np.argsort(ids, kind="stable")

@@ -15,7 +15,7 @@ def small(seed=0, hidden=3):
     vector = shape.first(np.arange(1, 7), np.array([2, 3]))
     random = np.random.default_rng(seed)
     p = shape.split(vector)
-    for name in ("input", "gates", "candidate", "class_w", "word_w"):
+    for name in ("input", "gates", "candidate", "class_w", "word_w", "ending_w"):
         p[name][...] = random.normal(0, 0.7, p[name].shape)
     return shape, vector
 
@@ -33,7 +33,7 @@ def step_by_step(shape, vector, doc):
         h = h + g[:n] * (c - h)
         classes = soft(h @ p["class_w"] + p["class_b"])
         every = [classes[w // shape.width] + soft(h @ p["word_w"][w // shape.width] + p["word_b"][w // shape.width])[w % shape.width]
-                 for w in range(shape.words)] + [classes[shape.groups + k] for k in range(shape.endings)]
+                 for w in range(shape.words)] + (classes[shape.groups] + soft(h @ p["ending_w"] + p["ending_b"])).tolist()
         chances.append(np.exp(every).sum())
         total += every[s]
         before = s
@@ -59,9 +59,9 @@ def test_gradients_agree_with_differences():
     model = Model(shape, vector)
     h = np.zeros((lanes.target.shape[1], shape.hidden), np.float32)
     real = lanes.target >= 0
-    _, kept = model.states(h, lanes.input, lanes.keep)
+    _, kept = model.states(h, lanes.input, lanes.begins)
     _, grads = model.outputs(kept[1][real], lanes.target[real], True)
-    gradient = model.backward(lanes.input, lanes.keep, real, kept, grads)
+    gradient = model.backward(lanes.input, lanes.begins, real, kept, grads)
     random = np.random.default_rng(5)
     for i in random.choice(np.flatnonzero(np.abs(gradient) > 0.05), 40):
         change = []
