@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rivalry.plans import delta
 from rivalry.plans.guard import bounded_broadcast, materialize
 from rivalry.plans.refresh import build_models
 from rivalry.schemas import GAME_KEY, GAMES_COLS
@@ -74,18 +75,41 @@ def publish_all(spark: SparkSession, fact: DataFrame, root: str) -> None:
     VersionedTable(spark, f"{root}/{RANGES}").publish(season_ranges(fact))
 
 
+def publish_from(spark: SparkSession, table_path: str, root: str) -> None:
+    """Full build from a fact table, and the state that later refreshes go on from (``delta``)."""
+    table = PartitionedTable(spark, table_path)
+    version = table.version()
+    fact = table.read(version).select(*GAMES_COLS)
+    publish_all(spark, fact, root)
+    delta.write_state(spark, root, delta.full_state(fact), version)
+
+
 def refresh_seasons(spark: SparkSession, table_path: str, root: str, seasons: DataFrame,
                     stage: DataFrame | None = None) -> list:
     """Recompute the models for ``seasons`` and republish; returns the seasons."""
-    table = PartitionedTable(spark, table_path)
-    unit = table.unit
-    ranges = VersionedTable(spark, f"{root}/{RANGES}").read() if stage is None else publish_ranges(spark, root, stage)
+    if stage is not None:
+        publish_ranges(spark, root, stage)
     todo, _ = bounded_broadcast(seasons.distinct())
     names = [r["season"] for r in todo.collect()]
     if not names:
         return []
     wanted = todo.withColumnRenamed("season", "_s")
     touched = F.col("season").eqNullSafe(F.col("_s"))
+    fresh = build_models(rows_of_seasons(spark, table_path, root, todo))
+    for name in MODEL_NAMES:
+        table = VersionedTable(spark, f"{root}/{name}")
+        kept = table.read().join(wanted, touched, "left_anti")
+        table.publish(kept.unionByName(fresh[name]))
+    return names
+
+
+def rows_of_seasons(spark: SparkSession, table_path: str, root: str, seasons: DataFrame) -> DataFrame:
+    """The fact rows of ``seasons`` (distinct), from the partitions inside their date ranges and that without a date."""
+    table = PartitionedTable(spark, table_path)
+    unit = table.unit
+    ranges = VersionedTable(spark, f"{root}/{RANGES}").read()
+    wanted = seasons.withColumnRenamed("season", "_s")
+    touched = F.col("season").eqNullSafe(F.col("_s"))
     spans = merged_spans(ranges.join(wanted, touched, "left_semi")
                          .select("first_date", "last_date").filter("first_date IS NOT NULL").distinct())
     # The date ranges stand on the partition column, so the scan lists only
@@ -96,13 +120,20 @@ def refresh_seasons(spark: SparkSession, table_path: str, root: str, seasons: Da
                                                     partition_value(F.lit(last), unit))
     low_high = [(first_of(first, unit), last) for first, last in spans]
     near = table.read(keep=lambda v: v is None or any(a <= v <= b for a, b in low_high))
-    fact = near.filter(in_ranges).join(wanted, touched, "left_semi").select(*GAMES_COLS)
-    fresh = build_models(fact)
-    for name in MODEL_NAMES:
-        table = VersionedTable(spark, f"{root}/{name}")
-        kept = table.read().join(wanted, touched, "left_anti")
-        table.publish(kept.unionByName(fresh[name]))
-    return names
+    return near.filter(in_ranges).join(wanted, touched, "left_semi").select(*GAMES_COLS)
+
+
+def refresh_models(spark: SparkSession, table_path: str, root: str, seasons: DataFrame) -> list:
+    """Bring the models up to the fact table; returns ``seasons``.
+
+    With a state (``publish_from``) only the partitions that have changed since
+    are read; without one the seasons are computed anew.
+    """
+    def rows(of):
+        return rows_of_seasons(spark, table_path, root, of)
+    if not delta.refresh_delta(spark, table_path, root, rows):
+        return refresh_seasons(spark, table_path, root, seasons)
+    return [r["season"] for r in seasons.distinct().collect()]
 
 
 def first_of(day, unit: str):
@@ -203,7 +234,7 @@ def advance(spark: SparkSession, table_path: str, root: str, until: str = "done"
         if cycle.phase == "announced" and cycle.stage is not None:
             upsert_into(spark, table_path, spark.read.parquet(cycle.stage))
         elif cycle.phase == "merged":
-            names = refresh_seasons(spark, table_path, root, cycle.seasons)
+            names = refresh_models(spark, table_path, root, cycle.seasons)
         elif cycle.phase == "refreshed":
             test_and_snapshot(spark, root, MODEL_NAMES, cycle.run_ts)
         phase = PHASES[PHASES.index(cycle.phase) + 1]

@@ -234,6 +234,33 @@ def q_refresh_recovered(spark, sf_dir):
     return I.read_models(spark, root)["team_season_stats"]
 
 
+@register("refresh_delta", O.with_ctes(
+    f"""SELECT s.*, e.margin_type, e.date, e.opponent_team, e.point_margin, c.total_close_games, c.avg_ppg_in_close_wins
+FROM ({O.team_season_stats_sql("team_results")}) s
+LEFT JOIN ({O.biggest_win_loss_sql("team_results")}) e ON s.team = e.team AND s.season = e.season
+LEFT JOIN ({O.close_game_stats_sql("team_results")}) c ON s.team = c.team AND s.season = c.season""",
+    games=O.GAMES, target=MERGE_TARGET, **stage_where("late", f"date >= DATE '{INCREMENT_FROM}'"),
+    **stage_where("early", f"date < DATE '{EARLY_UNTIL}'"), once=merge_sql("target", "late"),
+    merged=merge_sql("once", "early"), team_results=O.team_results_sql("merged")))
+def q_refresh_delta(spark, sf_dir):
+    """All models after two cycles that add what has changed to the state of the first build."""
+    from rivalry.plans import incremental as I
+    base = work_dir(spark, "delta")
+    fact, root, asked = f"{base}/games", f"{base}/models", F.col("parameters.date")
+    write_partitioned(X.merge_target(spark, sf_dir), fact, unit=FIXTURE_UNIT)
+    I.publish_from(spark, fact, root)
+    docs = X.payload_documents(spark, sf_dir)
+    docs.filter(asked >= INCREMENT_FROM).write.json(f"{base}/late")
+    docs.filter(asked < EARLY_UNTIL).write.json(f"{base}/early")
+    I.daily_cycle(spark, f"{base}/late", fact, root, "2024-01-01 00:00:00")
+    I.daily_cycle(spark, f"{base}/early", fact, root, "2024-01-02 00:00:00")
+    m = I.read_models(spark, root)
+    keys = ["team", "season"]
+    extremes = m["team_season_biggest_win_loss"].select(*keys, "margin_type", "date", "opponent_team", "point_margin")
+    close = m["close_game_season_stats"].select(*keys, "total_close_games", "avg_ppg_in_close_wins")
+    return m["team_season_stats"].join(extremes, keys, "left").join(close, keys, "left")
+
+
 # Fixed values of the NULL scenario: every fifth game has no date, every
 # seventh no season; the increment moves games into and out of the NULL season.
 NULLED = """

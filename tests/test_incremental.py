@@ -158,7 +158,7 @@ def started(spark, tmpdir_spark):
     write_partitioned(games_df(spark, [
         ("2020-01-10", "2019-2020", "A", "B", 100, 90), ("2020-01-15", "2019-2020", "A", "C", 100, 95),
         ("2020-01-20", "2019-2020", "C", "B", 70, 71), ("2020-11-01", "2020-2021", "A", "C", 70, 71)]), fact)
-    I.publish_all(spark, I.current_fact(spark, fact), root)
+    I.publish_from(spark, fact, root)
     return fact, root
 
 
