@@ -39,7 +39,17 @@ strength AS (SELECT level, CASE WHEN rho <= 0 THEN 1000.0 ELSE least(1000.0, gre
 ms AS (SELECT suffix, (g.mean * w + k) / (w + n) AS m FROM s, strength,
               (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) AS mean FROM s) g WHERE level = 's'),
 md AS (SELECT d.domain, d.suffix, (ms.m * w + d.k) / (w + d.n) AS m FROM d JOIN ms USING (suffix), strength WHERE level = 'd'),
-ab AS (SELECT host, n, md.m * w + k AS a, (1 - md.m) * w + n - k AS b FROM h JOIN md USING (domain, suffix), strength WHERE level = 'h'),
+w AS (SELECT coalesce(max(w) FILTER (level = 'h'), 1000.0) AS h, coalesce(max(w) FILTER (level = 'd'), 1000.0) AS d,
+             coalesce(max(w) FILTER (level = 's'), 1000.0) AS s FROM strength),
+-- What is left of a prior's strength through two and three levels.
+far AS (SELECT *, h / (h + 1) * d / (d + 1) AS hd, h / (h + 1) * d / (d + 1) * s / (s + 1) AS hds FROM w),
+prior AS (
+  SELECT l.host, coalesce(h.n, 0.0) AS n, coalesce(h.k, 0.0) AS k, coalesce(md.m, ms.m, g.mean) AS m,
+         CASE WHEN md.m IS NOT NULL THEN far.h WHEN ms.m IS NOT NULL THEN hd / (1 - hd) ELSE hds / (1 - hds) END AS w
+  FROM (SELECT DISTINCT host, domain, suffix FROM levels) l
+  LEFT JOIN h ON l.host = h.host LEFT JOIN md ON l.domain = md.domain AND l.suffix = md.suffix LEFT JOIN ms ON l.suffix = ms.suffix,
+  far, (SELECT (coalesce(sum(k), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) AS mean FROM s) g),
+ab AS (SELECT host, n, m * w + k AS a, (1 - m) * w + n - k AS b FROM prior),
 known AS (SELECT host, n, a / (a + b) - 1.645 * (sqrt(a * b / (a + b + 1)) / (a + b)) AS lower_bound FROM ab),
 rules(what, rule, rule_host, rule_path) AS (VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
   ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),

@@ -71,3 +71,26 @@ def test_strength_estimate():
     assert estimate(0, 0, 0, 0.0, 0.0) == STRONGEST
     # Ten hosts of 100 pages, half all bad and half all good: hardly any shrinkage.
     assert estimate(1000, 500, 9, 250.0, 100.0) == 1.0
+
+
+def test_the_sql_judges_hosts_without_labels_by_the_same_priors(spark, tmp_path):
+    """New hosts of a bad domain, of a good one, of a known suffix and of none."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from rivalry.llm import oracle
+    from rivalry.llm.queries import op2_url_reputation
+    urls = [f"http://h{i % 20}.{'bad' if i % 2 else 'good'}.info/{i}" for i in range(1200)]
+    urls += ["http://new.bad.info/x", "http://new.good.info/", "http://a.other.info/9999999", "http://b.none.biz/x", "http://1.2.3.4/5", None, "x"]
+    pq.write_table(pa.table({"page_id": list(range(len(urls))), "url": urls, "html": [""] * len(urls)}), tmp_path / "pages.parquet")
+    pq.write_table(pa.table({"doc_id": list(range(1200)), "quality": [0 if i % 2 and i % 30 != 1 else 1 for i in range(1200)],
+                             "toxic": [0] * 1200}), tmp_path / "labels.parquet")
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    columns = ["page_id", "host", "path", "rule", "verdict", "n_labelled"]
+    want = sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({oracle.SQL['op2_url_reputation']})").fetchall(), key=repr)
+    got = sorted((tuple(r) for r in op2_url_reputation(spark, str(tmp_path)).select(*columns).collect()), key=repr)
+    assert got == want
+    verdict = {r[0]: r[4] for r in got}
+    assert verdict[1200] == "block" and verdict[1201] == verdict[1203] == "allow"
