@@ -87,12 +87,11 @@ class Lanes:
 ROOM = FLOAT(75)
 
 
-def shifted(weights: np.ndarray) -> np.ndarray:
-    """A softmax's weights (biases in the last row), the biases moved so that no output exceeds ``ROOM``: states are
-    within 1, so the weights bound the outputs."""
-    out = weights.copy()
-    out[-1] += ROOM - (np.abs(weights[:-1]).sum(axis=0) + weights[-1]).max()
-    return out
+def shifted(weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    """A softmax's weights with its biases as one more row, moved so that no output exceeds ``ROOM``: states are within 1,
+    so the weights bound the outputs.  Of several softmaxes at once, each is moved on its own."""
+    most = (np.abs(weights).sum(axis=-2) + biases).max(axis=-1, keepdims=True)
+    return np.concatenate([weights, (biases + (ROOM - most))[..., None, :]], axis=-2)
 
 
 def chances(states: np.ndarray, weights: np.ndarray, target: np.ndarray):
@@ -109,6 +108,16 @@ class Model:
     def __init__(self, shape: Shape, vector: np.ndarray):
         self.shape, self.vector = shape, vector.astype(FLOAT)
         self.p = shape.split(self.vector)
+        self.softmaxes = None
+
+    def weights(self, fixed: bool):
+        """The weights of all softmaxes: of the classes, then of the words of each class, the endings last.  They are made
+        once if the parameters are ``fixed``."""
+        if self.softmaxes is None or not fixed:
+            p = self.p
+            words = shifted(p["word_w"], p["word_b"])
+            self.softmaxes = shifted(p["class_w"], p["class_b"]), [*words, shifted(p["ending_w"], p["ending_b"])]
+        return self.softmaxes
 
     def states(self, h, inputs, begins, backward: bool = True):
         """States after each step of a window, and what a backward pass needs.
@@ -118,10 +127,9 @@ class Model:
         """
         p, n = self.p, self.shape.hidden
         steps, lanes = inputs.shape
-        given = p["input"][inputs]
         # sigmoid(x) = 1 / (1 + exp(-x))
-        to_update, to_reset = -given[:, :, :n], -given[:, :, n:2 * n]
-        to_candidate = np.ascontiguousarray(given[:, :, 2 * n:])
+        to_update, to_reset, to_candidate = (table[inputs] for table in (
+            -p["input"][:, :n], -p["input"][:, n:2 * n], np.ascontiguousarray(p["input"][:, 2 * n:])))
         w_update, w_reset, w_candidate = (np.ascontiguousarray(w) for w in (-p["gates"][:, :n], -p["gates"][:, n:], p["candidate"]))
         after, slots = np.empty((steps, lanes, n), FLOAT), steps if backward else 1
         before, inner, update, reset, candidate = (np.empty((slots, lanes, n), FLOAT) for _ in range(5))
@@ -144,27 +152,29 @@ class Model:
             h += b
         return h, (before, after, inner, update, reset, candidate)
 
-    def outputs(self, states, targets, backward: bool):
+    def outputs(self, states, targets, backward: bool, rows=None):
         """Log chance of each target (of its class, and of a frequent word in it); gradients if asked for.
 
-        Rows are taken in the order of their targets, so those of a class, and those of a word, are runs.  A gradient is
-        that of the chances, whose sums scale the states and not the many outputs, less that of the targets, added up
-        per run.
+        ``rows``: the places of the states (all) that ``targets`` belong to.  Rows are taken in the order of their targets,
+        so those of a class, and those of a word, are runs.  A gradient is that of the chances, whose sums scale the states
+        and not the many outputs, less that of the targets, added up per run.
         """
         p, shape, h = self.p, self.shape, self.shape.hidden
         order = np.argsort(targets, kind="stable")
         targets = targets[order]
         s = np.empty((len(order), h + 1), FLOAT)
-        s[:, :h], s[:, h] = states[order], 1
+        s[:, :h], s[:, h] = states[order if rows is None else rows[order]], 1
+        of_classes, of_words = self.weights(not backward)
         group = np.where(targets < shape.words, targets // shape.width, shape.groups)
-        weights = shifted(np.vstack([p["class_w"], p["class_b"]]))
-        score, e, total = chances(s, weights, group)
+        score, e, total = chances(s, of_classes, group)
         ends = np.searchsorted(group, np.arange(shape.classes + 1))
         if backward:
             inverse = (1 / total)[:, None]
             g_class = (s * inverse).T @ e
-            own, first = np.unique(group, return_index=True)
-            g_class[:, own] -= np.add.reduceat(s, first, axis=0).T
+            own, first = np.unique(targets, return_index=True)
+            per_target = np.add.reduceat(s, first, axis=0)
+            classes, begin = np.unique(group[first], return_index=True)
+            g_class[:, classes] -= np.add.reduceat(per_target, begin, axis=0).T
             g_states = (e @ p["class_w"].T) * inverse - p["class_w"].T[group]
             g_word = np.zeros((shape.groups, h + 1, shape.width), FLOAT)
             g_ending = np.zeros((h + 1, shape.endings), FLOAT)
@@ -172,21 +182,18 @@ class Model:
             part = slice(ends[k], ends[k + 1])
             if ends[k] == ends[k + 1]:
                 continue
-            w, bias, low = ((p["word_w"][k], p["word_b"][k], k * shape.width) if k < shape.groups
-                            else (p["ending_w"], p["ending_b"], shape.words))
-            inside = targets[part] - low
-            more, e, total = chances(s[part], shifted(np.concatenate([w, bias[None]])), inside)
+            inside = targets[part] - (k * shape.width if k < shape.groups else shape.words)
+            more, e, total = chances(s[part], of_words[k], inside)
             score[part] += more
             if backward:
                 inverse = (1 / total)[:, None]
                 (g_word[k] if k < shape.groups else g_ending)[...] = (s[part] * inverse).T @ e
-                g_states[part] += (e @ w.T) * inverse - w.T[inside]
+                back = of_words[k][:h].T
+                g_states[part] += (e @ back) * inverse - back[inside]
         out = np.empty_like(score)
         out[order] = score
         if not backward:
             return out, {}
-        own, first = np.unique(targets, return_index=True)
-        per_target = np.add.reduceat(s, first, axis=0)
         words = own < shape.words
         g_word[own[words] // shape.width, :, own[words] % shape.width] -= per_target[words]
         g_ending[:, own[~words] - shape.words] -= per_target[~words].T
@@ -216,9 +223,9 @@ class Model:
         for h, inputs, begins, targets, doc, (carried, live) in self.windows(lanes, steps):
             last, (_, after, *_) = self.states(h, inputs, begins, False)
             carried[live] = last
-            real = targets >= 0
-            score, _ = self.outputs(after[real], targets[real], False)
-            total += np.bincount(doc[real], weights=score, minlength=len(docs))
+            real = np.flatnonzero(targets.ravel() >= 0)
+            score, _ = self.outputs(after.reshape(-1, self.shape.hidden), targets.ravel()[real], False, real)
+            total += np.bincount(doc.ravel()[real], weights=score, minlength=len(docs))
         return total
 
     def train(self, docs: list[np.ndarray], squares: np.ndarray, rate: float, steps: int = 32) -> None:
@@ -232,9 +239,9 @@ class Model:
         for h, inputs, begins, targets, _, (carried, live) in self.windows(lanes, steps):
             last, kept = self.states(h, inputs, begins)
             carried[live] = last
-            real = targets >= 0
-            n = max(1, int(real.sum()))
-            _, grads = self.outputs(kept[1][real], targets[real], True)
+            real = np.flatnonzero(targets.ravel() >= 0)
+            n = max(1, len(real))
+            _, grads = self.outputs(kept[1].reshape(-1, self.shape.hidden), targets.ravel()[real], True, real)
             gradient = self.backward(inputs, begins, real, kept, grads) / FLOAT(n)
             squares += gradient * gradient
             self.vector -= FLOAT(rate) * gradient / (np.sqrt(squares) + FLOAT(1e-6))
@@ -244,7 +251,7 @@ class Model:
         before, after, inner, update, reset, candidate = kept
         steps, lanes = inputs.shape
         out = np.zeros((steps, lanes, n), FLOAT)
-        out[real] = grads["states"]
+        out.reshape(-1, n)[real] = grads["states"]
         d_update, d_reset, d_candidate = (np.empty((steps, lanes, n), FLOAT) for _ in range(3))
         carry, more = np.zeros((lanes, n), FLOAT), np.empty((lanes, n), FLOAT)
         update_t, reset_t, candidate_t = (np.ascontiguousarray(w.T) for w in (p["gates"][:, :n], p["gates"][:, n:], p["candidate"]))

@@ -58,9 +58,9 @@ def test_gradients_agree_with_differences():
     lanes = Lanes(DOCS, shape.start)
     model = Model(shape, vector)
     h = np.zeros((lanes.target.shape[1], shape.hidden), np.float32)
-    real = lanes.target >= 0
+    real = np.flatnonzero(lanes.target.ravel() >= 0)
     _, kept = model.states(h, lanes.input, lanes.begins)
-    _, grads = model.outputs(kept[1][real], lanes.target[real], True)
+    _, grads = model.outputs(kept[1].reshape(-1, shape.hidden), lanes.target.ravel()[real], True, real)
     gradient = model.backward(lanes.input, lanes.begins, real, kept, grads)
     random = np.random.default_rng(5)
     for i in random.choice(np.flatnonzero(np.abs(gradient) > 0.05), 40):
