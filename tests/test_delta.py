@@ -28,10 +28,9 @@ def random_games(r, n, days=12):
     return list(seen.values())
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_deltas_equal_a_full_build(spark, tmpdir_spark, seed):
+def test_deltas_equal_a_full_build(spark, tmpdir_spark):
     """Scores, seasons and extremes change, rows without dates, seasons, teams or scores included."""
-    r = random.Random(seed)
+    r = random.Random(1)
     fact, root = tmpdir_spark("fact"), tmpdir_spark("models")
     write_partitioned(games_df(spark, random_games(r, 60)), fact)
     I.publish_from(spark, fact, root)
@@ -50,10 +49,8 @@ def games(spark, *scores):
 
 @pytest.mark.parametrize("change, reads_all", [
     ((1, 130), False),  # the best margin grows in its own partition
-    ((2, 105), False),  # a row between the extremes
-    ((1, 110), True),   # the best margin leaves
-    ((4, 80), True),    # the worst one does
-    ((9, 140), False)])  # a new day holds a larger one
+    ((1, 110), True),   # it leaves
+    ((9, 60), False)])  # a new day holds a worse one than the worst
 def test_other_partitions_are_read_only_if_an_extreme_leaves(spark, tmpdir_spark, change, reads_all):
     fact, root = tmpdir_spark("fact"), tmpdir_spark("models")
     write_partitioned(games(spark, (1, 120), (2, 101), (3, 115), (4, 70)), fact)

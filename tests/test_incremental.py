@@ -170,9 +170,8 @@ def assert_models_are_those_of_a_full_build(spark, fact, root, full_root):
 
 
 # Before a step, right after a state is logged, and between the tables that a step publishes.
-DEATHS = ["rivalry.plans.incremental.announce", "rivalry.sources.partitioned.PartitionedTable.commit",
-          "rivalry.plans.incremental.refresh_seasons", "rivalry.plans.refresh.test_and_snapshot",
-          "log 0", "log 1", "log 2", "publish 4"]
+DEATHS = ["rivalry.sources.partitioned.PartitionedTable.commit", "rivalry.plans.delta.refresh_delta",
+          "rivalry.plans.delta.write_state", "rivalry.plans.refresh.test_and_snapshot", "log 0", "log 1", "publish 5"]
 
 
 @pytest.mark.parametrize("step", DEATHS)
