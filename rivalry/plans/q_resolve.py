@@ -8,6 +8,7 @@ from rivalry.operators.resolve import alias_dim_from_lists, resolve_names
 from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
+from rivalry.plans.oracle_weighted import best_ctes
 from rivalry.plans.q_serve import best_alias_sql
 
 PART_DIM = """
@@ -46,9 +47,11 @@ def q_fuzzy_resolve_lev(spark, sf_dir):
                          scorer="levenshtein")
 
 
-@register("fuzzy_resolve_weighted", None)
+@register("fuzzy_resolve_weighted", O.with_ctes(
+    "SELECT i.input, b.canonical, b.score FROM fin i JOIN best b ON lower(i.input) = b.q",
+    part_dim=PART_DIM, fin=FUZZY_IN, inp="SELECT DISTINCT lower(input) AS q FROM fin", **best_ctes("inp", "part_dim")))
 def q_fuzzy_resolve_weighted(spark, sf_dir):
-    """Weighted-ratio scorer (pandas UDF); no SQL oracle, unit-tested on known values."""
+    """Weighted-ratio scorer, in Arrow batches."""
     return resolve_names(X.fuzzy_inputs(spark, sf_dir), "input", X.alias_dim_part(spark, sf_dir),
                          scorer="weighted")
 

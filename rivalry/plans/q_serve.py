@@ -12,6 +12,7 @@ from rivalry.plans import fixtures as X
 from rivalry.plans import oracle as O
 from rivalry.plans.catalog import register
 from rivalry.plans.models import build_biggest_win_loss, build_team_season_stats
+from rivalry.plans.oracle_weighted import best_ctes
 from rivalry.session import work_dir
 from rivalry.sources.partitioned import write_partitioned
 
@@ -81,7 +82,7 @@ RESOLVED_CTES = {"requests": REQUESTS, "alias_dim": ALIAS_NATION, "parsed": PARS
                  "st": "SELECT *, CASE WHEN NOT ok THEN 'invalid_request' WHEN team IS NULL THEN "
                        "'invalid_team' WHEN season IS NULL THEN 'invalid_season' END AS bad FROM res"}
 
-ANSWER_SQL = O.with_ctes(f"""
+ANSWER_BODY = f"""
 SELECT request_id, kind, bad AS status, team, season, NULL::BIGINT AS total_games, NULL::BIGINT AS total_wins,
        NULL::BIGINT AS total_losses, NULL::VARCHAR AS win_pct_text, NULL::DOUBLE AS avg_ppg,
        NULL::DOUBLE AS avg_ppg_in_wins, NULL::DOUBLE AS avg_ppg_in_losses, NULL::DOUBLE AS avg_points_allowed, NULL::DOUBLE AS avg_points_allowed_in_wins, NULL::DOUBLE AS avg_points_allowed_in_losses, NULL::DATE AS date,
@@ -108,7 +109,18 @@ SELECT r.request_id, r.kind, CASE WHEN e.team IS NULL THEN 'no_data' ELSE 'ok' E
 FROM st r LEFT JOIN (SELECT * FROM extremes WHERE margin_type = 'biggest_loss') e
   ON r.team = e.team AND r.season = e.season
 WHERE r.bad IS NULL AND r.kind = 'biggestloss'
-""", **MODEL_CTES, **RESOLVED_CTES)
+"""
+ANSWER_SQL = O.with_ctes(ANSWER_BODY, **MODEL_CTES, **RESOLVED_CTES)
+
+
+def _weighted_ctes() -> dict[str, str]:
+    out = {}
+    for name, sql in RESOLVED_CTES.items():
+        out |= best_ctes("inp", "alias_dim") if name == "best" else {name: sql}
+    return out
+
+
+WEIGHTED_ANSWER_SQL = O.with_ctes(ANSWER_BODY, **MODEL_CTES, **_weighted_ctes())
 
 
 def _models(spark, sf_dir):
@@ -285,9 +297,9 @@ def q_biggest_loss(spark, sf_dir):
     return S.lookup_extremes(keys.select("request_id", "team", "season"), ex, "biggest_loss")
 
 
-@register("answer_requests_weighted", None)
+@register("answer_requests_weighted", WEIGHTED_ANSWER_SQL)
 def q_answer_requests_weighted(spark, sf_dir):
-    """``answer_requests`` with the weighted-ratio scorer (no SQL oracle)."""
+    """``answer_requests`` with the weighted-ratio scorer."""
     stats, extremes = _models(spark, sf_dir)
     return S.answer_requests(X.requests(spark, sf_dir), stats, extremes,
                              X.alias_dim_nation(spark, sf_dir), scorer="weighted")

@@ -173,3 +173,27 @@ def test_levels_end_most_inputs_before_the_scan(spark):
     found = A.at_level(inputs, index, counts, 90)
     assert found.count() == inputs.count() and found.filter("_score < 90").count() == 0
     assert A.at_level(spark.createDataFrame([("qqqqqqqqqqqqqqqq",), ("ab",), ("",)], "_q string"), index, counts, 80).count() == 0
+
+
+def test_the_sql_of_the_weighted_scorer_scores_the_same():
+    """Whole, token and partial scores, repeated tokens, blanks, empty texts; ties by dictionary order."""
+    import random
+    import duckdb
+    from rivalry.plans.oracle_weighted import best_ctes
+    r = random.Random(4)
+    text = lambda n: "".join(r.choice("abcde  ") for _ in range(n))
+    inputs = sorted({text(r.randint(1, 14)) for _ in range(60)} | {"", " ", "la la", "b", "spurs", "celtics boston"})
+    names = sorted({text(r.choice([1, 2, 3, 5, 8, 13, 30])) for _ in range(60)} | {"la", "lb", "boston celtics", "x"})
+    con = duckdb.connect()
+    con.execute("CREATE TABLE inp (q VARCHAR)")
+    con.execute("CREATE TABLE dim (alias VARCHAR, canonical VARCHAR, ord INTEGER)")
+    con.executemany("INSERT INTO inp VALUES (?)", [(x,) for x in inputs])
+    con.executemany("INSERT INTO dim VALUES (?, ?, ?)", [(x, f"N{i}", i // 3) for i, x in enumerate(names)])
+    ctes = best_ctes("inp", "dim")
+    run = lambda body: con.execute("WITH " + ", ".join(f"{k} AS ({v})" for k, v in ctes.items()) + body).fetchall()
+    for q, a, score in run(" SELECT q, a, score FROM w_scored"):
+        assert score == pytest.approx(Z.wratio(q, a), abs=1e-9), (q, a)
+    ordered = [(x, f"N{i}") for i, x in sorted(enumerate(names), key=lambda t: (t[0] // 3, t[1]))]
+    for q, canonical, score in run(" SELECT * FROM best"):
+        _, who, best = Z.best_match(q, ordered)
+        assert score == pytest.approx(max(best, 0.0), abs=1e-9) and canonical == (who if best > 70 else None), q
