@@ -54,9 +54,12 @@ def _versions(src: DataFrame, keys: list[str], valid_from: Column, cols: list[st
 def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_ts,
              strategy: str = "check", check_cols: list[str] | None = None,
              updated_at: str | None = None, hard_deletes: bool = False,
-             materialize_source: bool = True) -> DataFrame:
+             materialize_source: bool = True, history: DataFrame | None = None) -> DataFrame:
     """Return the snapshot table after one run over ``source``.
 
+    ``history``: the closed rows, if they are stored apart and ``current``
+    holds open ones only; they are not part of the result then.
+
     ``materialize_source=False`` when the source already is a written table
     (for example a published model version): it is then read as is.
     """
@@ -76,7 +79,9 @@ def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_
     if materialize_source:
         source = materialize(source, "snapshot_source")
 
-    history = current.filter(F.col("valid_to").isNotNull())
+    apart = history is not None
+    if not apart:
+        history = current.filter(F.col("valid_to").isNotNull())
     live = current.filter(F.col("valid_to").isNull())
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols], src_from.alias("_s_vf"),
                       F.lit(True).alias("_s_hit"))
@@ -105,8 +110,8 @@ def snapshot(current: DataFrame | None, source: DataFrame, keys: list[str], run_
                       .withColumn("_vf", F.greatest(F.col("_vf"), F.col("_last_to")))
                       .drop("_last_to"))
     new = _versions(fresh, keys, F.col("_vf"), cols)
-    return history.select(*cols, *SCD_COLS).unionByName(old.select(*cols, *SCD_COLS)) \
-                  .unionByName(new.select(*cols, *SCD_COLS))
+    rows = old.select(*cols, *SCD_COLS).unionByName(new.select(*cols, *SCD_COLS))
+    return rows if apart else history.select(*cols, *SCD_COLS).unionByName(rows)
 
 
 def as_of(snap: DataFrame, at) -> DataFrame:

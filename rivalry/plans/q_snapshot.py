@@ -141,6 +141,31 @@ def q_snapshot_as_of(spark, sf_dir):
     return as_of(q_snapshot_check(spark, sf_dir), AS_OF)
 
 
+def _stored(spark, m1, m2, cfg, name):
+    from rivalry.sources.history import SnapshotStore
+    store = SnapshotStore(spark, work_dir(spark, name))
+    kw = {k: v for k, v in cfg.items() if k not in ("model", "keys")}
+    store.run(m1, cfg["keys"], TS1, **kw)
+    store.run(m2, cfg["keys"], TS2, **kw)
+    return store
+
+
+@register("snapshot_stored", O.with_ctes("SELECT * FROM snap2", **_ext_ctes(True)))
+def q_snapshot_stored(spark, sf_dir):
+    """Two runs of the extremes' snapshot in the append-only store."""
+    return _stored(spark, build_biggest_win_loss(_v1(spark, sf_dir)), build_biggest_win_loss(_v2(spark, sf_dir)),
+                   EXT_CFG, "stored-extremes").read()
+
+
+@register("snapshot_stored_as_of", O.with_ctes(
+    f"SELECT * FROM snap2 WHERE valid_from <= TIMESTAMP '{AS_OF}' "
+    f"AND (valid_to IS NULL OR TIMESTAMP '{AS_OF}' < valid_to)", **_stats_ctes()))
+def q_snapshot_stored_as_of(spark, sf_dir):
+    """The statistics between two runs, from the append-only store: open rows and the overlapping closed folders."""
+    return _stored(spark, build_team_season_stats(_v1(spark, sf_dir)), build_team_season_stats(_v2(spark, sf_dir)),
+                   STATS_CFG, "stored-stats").as_of(AS_OF)
+
+
 def _refresh_sql() -> str:
     c = {**V_CTES,
          "m1": O.team_season_stats_sql("r1"), "m2": O.team_season_stats_sql("r2")}
