@@ -238,21 +238,21 @@ def score(docs: DataFrame, language: Language, vector: np.ndarray, counts: DataF
         # One more place, for words beyond the head.
         base, share = np.append(language.base(language.counts), 0.0), np.zeros(len(language.head) + 1)
         share[frequent:-1] = language.share(symbols.of(language.head[frequent:]) - frequent, language.counts[frequent:])
-        known = np.append(language.counts > 0, False)
+        known = np.append(language.counts > 0, False).astype(np.int64)
         for found, ids in blocks((b.column("text"), b.column("doc_id")) for b in batches):
             # Equal texts have equal scores: each is walked once a block.
             every = found.dictionary_encode()
             place = every.indices.to_numpy(zero_copy_only=False)
             words = Words(every.dictionary, END)
             distinct = words.distinct
-            own = np.array([number_of.get(w, -1) for w in distinct], np.int64)
+            own = np.array([number_of.get(w, -1) for w in distinct], np.int32)
             numbers, first = own[words.codes], words.starts[:-1]
             sizes = np.diff(words.starts)
             logs = model.score(np.split(symbols.of(distinct)[words.codes], first[1:])) / math.log(10)
-            sums = [np.add.reduceat(x, first) for x in (known[numbers].astype(np.int64), base[numbers], share[numbers])]
+            sums = [np.add.reduceat(each[numbers], first) for each in (known, base, share)]
             # Words beyond the head: how often each stands in each text.
             rest = np.flatnonzero(numbers < 0)
-            owner = np.repeat(np.arange(len(sizes)), sizes)[rest]
+            owner = np.searchsorted(words.starts, rest, side="right") - 1
             pairs, tf = np.unique(owner * len(distinct) + words.codes[rest], return_counts=True)
             ends = np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(distinct))
             tails = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
