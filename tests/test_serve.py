@@ -1,4 +1,7 @@
 import datetime as dt
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from conftest import games_df
 from rivalry.operators import models as M
@@ -40,6 +43,37 @@ def test_games_on_dates_statuses(spark):
     assert out == [(1, "ok", "A"), (1, "ok", "C"), (2, "invalid_date", None), (3, "no_data", None)]
 
 
+def hot_lookup(spark):
+    """Requests and games of one hot date, another and none: some ids are null, some requests come twice."""
+    games = [("2024-01-05", "s", f"H{i % 20}", f"A{i // 20}", i, i + 1) for i in range(300)]
+    games += [("2024-01-06", "s", "A", "B", 1, 2), ("2024-01-07", "s", "A", "B", 3, 4), (None, "s", "X", "Y", 5, 6)]
+    days = ["2024-1-5"] * 400 + ["2024-01-06", "2024-01-08", "2024-02-30", None]
+    req = [(None if i < 150 else i // 2, day) for i, day in enumerate(days)]
+    return (spark.createDataFrame(req, "request_id long, text string"), games_df(spark, games),
+            400 * 300 + 1, [(200, "no_data"), (201, "invalid_date"), (201, "invalid_date")])
+
+
+def spread(out):
+    """Rows of each task of the result."""
+    return [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_games_on_dates_spreads_its_result(spark, monkeypatch):
+    monkeypatch.setattr(S, "TASK_ROWS", 10_000, raising=False)
+    monkeypatch.setattr(S, "CELL_SIDE", 40, raising=False)
+    req, games, found, missing = hot_lookup(spark)
+    out = S.games_on_dates(req, games)
+    assert max(spread(out)) < 40_000
+    rows = out.collect()
+    ok = Counter((r.request_id, str(r.date), r.season, r.home_team, r.home_score, r.away_team, r.away_score)
+                 for r in rows if r.status == "ok")
+    expected = Counter((q.request_id, str(g.date), g.season, g.home_team, g.home_score, g.away_team, g.away_score)
+                       for q in req.collect() for g in games.collect()
+                       if q.text and g.date and q.text.replace("2024-1-5", "2024-01-05") == str(g.date))
+    assert ok == expected and ok.total() == found
+    assert sorted((r.request_id, r.status) for r in rows if r.status != "ok") == missing
+
+
 def test_single_date_lookup_prunes_partitions(spark, tmpdir_spark):
     from rivalry.sources.partitioned import write_partitioned
     for unit in ("day", "month"):
