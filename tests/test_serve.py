@@ -64,16 +64,29 @@ def test_games_on_dates_spreads_its_result(spark, monkeypatch):
     req, games, found, missing = hot_lookup(spark)
     out = S.games_on_dates(req, games)
     assert max(spread(out)) < 40_000
-    rows = out.collect()
+    rows, all_games = out.collect(), games.collect()
     ok = Counter((r.request_id, str(r.date), r.season, r.home_team, r.home_score, r.away_team, r.away_score)
                  for r in rows if r.status == "ok")
     expected = Counter((q.request_id, str(g.date), g.season, g.home_team, g.home_score, g.away_team, g.away_score)
-                       for q in req.collect() for g in games.collect()
+                       for q in req.collect() for g in all_games
                        if q.text and g.date and q.text.replace("2024-1-5", "2024-01-05") == str(g.date))
     assert ok == expected and ok.total() == found
     assert sorted((r.request_id, r.status) for r in rows if r.status != "ok") == missing
 
 
+def test_pruned_games_on_dates_spreads_its_result(spark, monkeypatch, tmpdir_spark):
+    from rivalry.sources.partitioned import write_partitioned
+    monkeypatch.setattr(S, "TASK_ROWS", 10_000, raising=False)
+    monkeypatch.setattr(S, "CELL_SIDE", 40, raising=False)
+    req, games, found, missing = hot_lookup(spark)
+    path = tmpdir_spark("games")
+    write_partitioned(games, path, unit="month")
+    out = S.games_on_dates_of(spark, path, req)
+    assert max(spread(out)) < 25_000
+    rows, plain = out.collect(), S.games_on_dates(req, games).collect()
+    assert Counter(rows) == Counter(plain) and len(rows) == found + len(missing)
+
+
 def test_single_date_lookup_prunes_partitions(spark, tmpdir_spark):
     from rivalry.sources.partitioned import write_partitioned
     for unit in ("day", "month"):
